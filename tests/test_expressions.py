@@ -1,0 +1,133 @@
+"""Cleaning, path and clock expressions on single values."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from trendlake.functions import cleaning, clock
+from trendlake.functions.columns import flatten_struct, missing_columns, resolve_column
+from trendlake.functions.paths import decode_key, region_of_path
+
+
+def value(spark, column, data, dtype="string"):
+    return spark.createDataFrame([(data,)], f"v {dtype}").select(column.alias("r")).first()["r"]
+
+
+@pytest.mark.parametrize(
+    ("text", "day"),
+    [
+        ("17.14.11", dt.date(2017, 11, 14)),
+        ("95.01.02", dt.date(2095, 2, 1)),
+        ("2017-11-14", dt.date(2017, 11, 14)),
+        ("2017-11-14T10:00:00Z", dt.date(2017, 11, 14)),
+        ("17.31.02", None),
+        ("garbage", None),
+        ("", None),
+        (None, None),
+    ],
+)
+def test_trending_day(spark, text, day):
+    assert value(spark, cleaning.trending_day(F.col("v")), text) == day
+
+
+@pytest.mark.parametrize(
+    ("text", "count"),
+    [
+        ("12", 12),
+        (" 12 ", 12),
+        ("12.7", 12),
+        ("-3.9", -3),
+        ("x1", None),
+        ("1e3", None),
+        ("", None),
+        (None, None),
+        ("60000000000", 60_000_000_000),
+        ("9223372036854775807", 2**63 - 1),
+        ("9223372036854775808", None),
+    ],
+)
+def test_to_count(spark, text, count):
+    assert value(spark, cleaning.to_count(F.col("v"), T.StringType()), text) == count
+
+
+def test_to_count_of_numbers(spark):
+    assert value(spark, cleaning.to_count(F.col("v"), T.IntegerType()), 7, "int") == 7
+    assert value(spark, cleaning.to_count(F.col("v"), T.DoubleType()), 7.9, "double") == 7
+    assert value(spark, cleaning.to_count(F.col("v"), T.DoubleType()), float("inf"), "double") is None
+
+
+def test_regions(spark):
+    assert value(spark, cleaning.region_key(F.col("v")), "  CA ") == "ca"
+    assert value(spark, cleaning.region_key(F.col("v")), "\tCA") == "\tca"
+    assert value(spark, cleaning.landing_region(F.col("v")), "\t CA\r\n") == "ca"
+
+
+@pytest.mark.parametrize(
+    ("path", "region"),
+    [
+        ("a/region=us/date=1/x.json", "us"),
+        ("region=us/region=ca/x.json", "us"),
+        ("a/subregion=us/x.json", "unknown"),
+        ("a/region=/x.json", "unknown"),
+        ("a/b/x.json", "unknown"),
+        (None, "unknown"),
+    ],
+)
+def test_region_of_path(spark, path, region):
+    assert value(spark, region_of_path(F.col("v")), path) == region
+
+
+def test_decode_key(spark):
+    assert value(spark, decode_key(F.col("v")), "a%2Fregion%3Dus/b+c") == "a/region=us/b c"
+    assert value(spark, decode_key(F.col("v")), "a%zz") == "a%zz"
+    assert value(spark, decode_key(F.col("v"), plus_is_space=False), "b+c%20d") == "b+c d"
+
+
+def test_percent_of_views(spark):
+    rows = spark.createDataFrame([(1, 3), (5, 0), (5, -1), (2, 1)], "n bigint, v bigint")
+    got = [r[0] for r in rows.select(cleaning.percent_of_views(F.col("n"), F.col("v"))).collect()]
+    assert got == [33.3333, 0.0, 0.0, 200.0]
+
+
+def test_exact_mean_mixes_small_and_huge_ratios(spark):
+    values = [33.3333, 0.0001, -2.5, 9.2e20, 12345.6789, None]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    got = rows.agg(cleaning.exact_mean(F.col("v"))).first()[0]
+    expected = (33.3333 + 0.0001 - 2.5 + 9.2e20 + 12345.6789) / 5
+    assert got == pytest.approx(expected, rel=1e-15)
+    small = spark.createDataFrame([(0.1,)] * 10, "v double")
+    assert small.agg(cleaning.exact_mean(F.col("v"))).first()[0] == 0.1
+    assert small.limit(0).agg(cleaning.exact_mean(F.col("v")).alias("m")).first()["m"] is None
+
+
+def test_clock(spark):
+    moment = clock.instant(F.col("v"))
+    assert value(spark, clock.run_id(moment), "2024-01-02T03:04:05+00:00") == "20240102_030405"
+    assert value(spark, clock.iso_text(moment), "2024-01-02T03:04:05+02:00") == "2024-01-02T01:04:05.000000+00:00"
+    assert value(spark, clock.iso_text(moment), "2024-01-02 03:04:05") == "2024-01-02T03:04:05.000000+00:00"
+    assert value(spark, clock.day_text(clock.hours_before(moment, 48)), "2024-01-02T00:00:00Z") == "2023-12-31"
+    assert value(spark, moment, "no time") is None
+    assert len(value(spark, clock.subject_line(F.repeat(F.col("v"), 99)), "ab")) == 100
+
+
+def test_resolve_column_spellings(spark):
+    nested = spark.sql("SELECT named_struct('snippet', named_struct('title', 'n')) AS item")
+    assert nested.select(resolve_column(nested, "snippet.title", "item")).first()[0] == "n"
+    for name in ("snippet.title", "snippet__title", "snippet_title"):
+        flat = spark.createDataFrame([("f",)], [name])
+        assert flat.select(resolve_column(flat, "snippet.title")).first()[0] == "f"
+    snake = spark.createDataFrame([("s",)], ["snippet_channel_title"])
+    assert snake.select(resolve_column(snake, "snippet.channelTitle")).first()[0] == "s"
+    assert resolve_column(snake, "snippet.title") is None
+
+
+def test_flatten_struct_keeps_arrays(spark):
+    frame = spark.sql("SELECT 1 AS a, named_struct('b', 2, 'c', named_struct('d', array(3))) AS s")
+    flat = flatten_struct(frame)
+    assert flat.columns == ["a", "s.b", "s.c.d"]
+    assert tuple(flat.first()) == (1, 2, [3])
+    assert missing_columns(flat, ["a", "z", "y"]) == ["y", "z"]

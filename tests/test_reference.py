@@ -1,0 +1,116 @@
+"""Category files: reading, errors, last item wins, newest file per region, lookup."""
+
+from __future__ import annotations
+
+import os
+
+from conftest import as_tuples
+from pyspark.sql import functions as F
+
+from trendlake import schemas
+from trendlake.operators import reference as ref
+from trendlake.operators.enrich import enrich_category, ensure_category_name
+from trendlake.config import BroadcastLimit
+from trendlake.plans.silver import bronze_to_silver_reference
+from trendlake.sources.quarantine import split_quarantine
+from trendlake.sources.reference import read_reference_json
+
+
+def category(key, title, **more):
+    snippet = {"channelId": "c", "title": title, "assignable": True}
+    return {"kind": "category", "etag": f"e{key}", "id": key, "snippet": snippet, **more}
+
+
+def listing(*items):
+    return {"kind": "list", "etag": "l", "items": list(items)}
+
+
+def test_last_item_of_an_id_wins_and_ids_may_share_a_title(spark, write):
+    write("region=us/a.json", listing(category("1", "old"), category("2", "x"), category("1", "x")))
+    root = write("region=ca/a.json", category("9", "single"))
+    good, bad = split_quarantine(read_reference_json(spark, root), require_items=True)
+    silver = ref.silver_reference(good)
+    assert silver.columns == schemas.SILVER_REFERENCE.names
+    assert as_tuples(silver, "region", "id", "snippet_title") == [
+        ("ca", "9", "single"), ("us", "1", "x"), ("us", "2", "x"),
+    ]
+    assert bad.count() == 0
+    assert silver.first()["_ingestion_timestamp"].endswith("+00:00")
+
+
+def test_broken_and_empty_files_are_reported(spark, write):
+    write("region=us/a.json", listing(category("1", "ok")))
+    write("region=ca/a.json", '{"items": [{"id": "1"')
+    write("region=mx/a.json", listing())
+    root = write("nowhere/a.json", listing(category("5", "lost")))
+    good, bad = split_quarantine(read_reference_json(spark, root), require_items=True)
+    assert as_tuples(bad, "region", "error") == [("ca", "malformed JSON"), ("mx", "no category data found")]
+    assert as_tuples(good, "region") == [("unknown",), ("us",)]
+
+
+def test_region_is_replaced_by_its_newest_file(spark, write, tmp_path):
+    root = write("region=us/date=1/a.json", listing(category("1", "old"), category("2", "gone")))
+    write("region=us/date=2/a.json", listing(category("1", "new")))
+    write("region=ca/a b.json", listing(category("1", "ca")))
+    os.utime(f"{root}/region=us/date=1/a.json", (1, 1))
+    target = str(tmp_path / "silver")
+    run = bronze_to_silver_reference(spark, root, target)
+    silver = spark.read.schema(schemas.SILVER_REFERENCE).parquet(target)
+    assert as_tuples(silver, "region", "id", "snippet_title") == [("ca", "1", "ca"), ("us", "1", "new")]
+    assert as_tuples(run.processed, "region", "rows") == [("ca", 1), ("us", 1)]
+    assert any(name.endswith("/region=ca/a b.json") for (name, _) in as_tuples(run.processed, "_source_file", "rows"))
+    write("region=us/date=3/a.json", listing(category("3", "newest")))
+    bronze_to_silver_reference(spark, root, target, regions=["us"])
+    silver = spark.read.schema(schemas.SILVER_REFERENCE).parquet(target)
+    assert as_tuples(silver, "region", "id") == [("ca", "1"), ("us", "3")]
+
+
+def test_only_broken_files(spark, write, tmp_path):
+    root = write("region=us/a.json", "{")
+    run = bronze_to_silver_reference(spark, root, str(tmp_path / "silver"))
+    assert (run.processed.count(), run.errors.count()) == (0, 1)
+
+
+def reference(spark, *rows):
+    return spark.createDataFrame(rows, "id string, snippet_title string, _ingestion_timestamp string, region string")
+
+
+def test_category_lookup_takes_the_latest_name(spark):
+    rows = reference(spark, ("1", "a", "2024-01-01", "us"), ("1", "b", "2024-01-02", "ca"), ("2", "z", None, "us"), ("2", "y", None, "ca"))
+    assert as_tuples(ref.category_lookup(rows), "category_id", "category_name") == [(1, "b"), (2, "z")]
+    dotted = rows.withColumnRenamed("snippet_title", "snippet.title")
+    assert ref.category_lookup(dotted).count() == 2
+    assert ref.category_lookup(rows.drop("snippet_title")) is None
+
+
+def statistics(spark):
+    return spark.createDataFrame([("v1", 1), ("v2", 9), ("v3", None)], "video_id string, category_id bigint")
+
+
+def test_enrich_category(spark):
+    rows = reference(spark, ("1", "a", None, "us"), ("4", "b", None, "us"), ("bad", "c", None, "us"))
+    expected = [("v1", "a"), ("v2", "Unknown"), ("v3", "Unknown")]
+    enriched = enrich_category(statistics(spark), rows)
+    assert as_tuples(enriched, "video_id", "category_name") == expected
+    assert "BroadcastHashJoin" in enriched._jdf.queryExecution().executedPlan().toString()
+    assert as_tuples(enrich_category(statistics(spark), None), "category_name") == [("Unknown",)] * 3
+    assert as_tuples(enrich_category(statistics(spark), rows.drop("snippet_title")), "category_name") == [("Unknown",)] * 3
+
+
+def test_a_large_lookup_is_not_broadcast(spark):
+    rows = reference(spark, ("1", "a", None, "us"), ("4", "b", None, "us"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        enriched = enrich_category(statistics(spark), rows, BroadcastLimit(rows=1))
+        assert "SortMergeJoin" in enriched._jdf.queryExecution().executedPlan().toString()
+        assert as_tuples(enriched, "video_id", "category_name")[0] == ("v1", "a")
+        enriched = enrich_category(statistics(spark), rows, BroadcastLimit(bytes=10))
+        assert "SortMergeJoin" in enriched._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_ensure_category_name(spark):
+    assert ensure_category_name(statistics(spark)).first()["category_name"] == "Unknown"
+    named = statistics(spark).withColumn("category_name", F.when(F.col("video_id") == "v1", F.lit("a")))
+    assert as_tuples(ensure_category_name(named), "category_name") == [("Unknown",), ("Unknown",), ("a",)]

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: year, day and month with two digits each.
 SHORT_DATE = r"^\d{2}\.\d{2}\.\d{2}$"
+NUMBER = r"^\s*[+-]?\d+(\.\d*)?\s*$"
 
 
 def region_key(region: Column) -> Column:
@@ -19,15 +23,17 @@ def landing_region(region: Column) -> Column:
     return F.lower(F.btrim(region, F.lit(" \t\r\n\f\v")))
 
 
-def to_count(value: Column) -> Column:
-    """Whole number, or null for text that holds none.
+def to_count(value: Column, dtype: T.DataType) -> Column:
+    """Whole number, or null for text that holds none; a number is only widened.
 
-    Text with a fraction keeps its whole part, as the lenient cast did; the detour over
-    decimal is only taken when the direct cast gives null.
+    Text with a fraction keeps its whole part, as the lenient cast did. Unusable text is
+    sorted out by its form: a failing cast raises and catches an error for every row.
     """
-    text = value.cast("string")
-    fraction = F.when(~text.rlike("[eE]"), text.try_cast("decimal(38,6)"))
-    return F.coalesce(value.try_cast("bigint"), fraction.try_cast("bigint"))
+    if isinstance(dtype, T.LongType):
+        return value
+    if not isinstance(dtype, T.StringType):
+        return value.try_cast("bigint")
+    return F.when(value.rlike(NUMBER), F.substring_index(value, ".", 1).try_cast("bigint"))
 
 
 def is_short_date(text: Column) -> Column:
@@ -61,15 +67,24 @@ def percent_of_views(amount: Column, views: Column) -> Column:
     return F.when(views > 0, F.round(amount / views * 100, 4)).otherwise(F.lit(0.0))
 
 
+# Ratios below this many percent are summed as whole ten-thousandths.
+_SMALL_RATIO = 10_000.0
+
+
 def exact_mean(value: Column) -> Column:
     """Mean of a four-decimal ratio that does not depend on the order of the rows.
 
-    Sums of doubles differ in the last digit from run to run; the decimal sum is exact,
-    so a retried task gives the same result. Decimal(25,4) holds every possible ratio.
+    Sums of doubles differ in the last digit from run to run; here every sum is exact, so
+    a retried task gives the same result. Usual ratios are summed as bigint, which is far
+    cheaper than a decimal; only absurd ones take the decimal, which holds them all.
     """
-    return F.sum(value.cast("decimal(25,4)")).cast("double") / F.count(value)
+    small = (value < _SMALL_RATIO) & (value > -_SMALL_RATIO)
+    units = F.coalesce(F.sum(F.when(small, F.floor(value * 10_000 + 0.5))), F.lit(0))
+    rest = F.coalesce(F.sum(F.when(~small, value.cast("decimal(25,4)"))), F.lit(0))
+    total = units.cast("decimal(20,0)") * F.lit(Decimal("0.0001")) + rest.cast("decimal(35,4)")
+    return F.try_divide(total.cast("double"), F.count(value))
 
 
 def exact_mean_count(value: Column) -> Column:
     """Mean of a bigint column from its exact sum."""
-    return F.sum(value) / F.count(value)
+    return F.try_divide(F.sum(value), F.count(value))

@@ -34,10 +34,14 @@ def detect_format(df: DataFrame) -> str:
 
 
 def _as_statistics(df: DataFrame, found: dict[str, Column], keep_landed_at: bool) -> DataFrame:
-    columns = [
-        (to_count(found[f.name]) if f.name in COUNT_COLUMNS else found[f.name].cast("string")).alias(f.name)
-        for f in schemas.STATISTICS.fields
-    ]
+    source = df.select(*(found[name].alias(name) for name in schemas.STATISTICS.names)).schema
+
+    def convert(name: str) -> Column:
+        if name in COUNT_COLUMNS:
+            return to_count(found[name], source[name].dataType)
+        return found[name].cast("string")
+
+    columns = [convert(name).alias(name) for name in schemas.STATISTICS.names]
     if keep_landed_at:
         landed = F.col(_LANDED) if _LANDED in df.columns else F.lit(None).cast("timestamp")
         columns.append(landed.alias(_LANDED))

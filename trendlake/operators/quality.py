@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,7 +72,7 @@ def null_pct_check(df: DataFrame, table: str, rules: QualityRules) -> list[Check
             continue
         nulls = F.col(f"nulls_{name}")
         share = F.coalesce(F.try_divide(nulls, F.col(_ROWS)) * 100, F.lit(0.0))
-        text = f"{name} null%%: %.2f%%%% (max: {rules.max_null_pct}%%)"
+        text = f"{name} null%%: %.2f%% (max: {rules.max_null_pct}%%)"
         checks.append(
             Check(
                 _report_row(
@@ -189,7 +190,8 @@ def check_table(
 
 def unreadable_report(spark: SparkSession, table: str, error: Exception) -> DataFrame:
     """The single failed row of a table that could not be read."""
-    row = {"check": "read_table", "table": table, "passed": False, "message": str(error)}
+    message = str(error).split("\n\tat ")[0]  # without the stack trace
+    row = {"check": "read_table", "table": table, "passed": False, "message": message}
     return spark.createDataFrame([row], schemas.DQ_REPORT)
 
 
@@ -211,7 +213,7 @@ def run_checks(
         try:
             report = check_table(sample_scan(load(), sample_rows), table, rules, now)
             reports.append(spark.createDataFrame(report.collect(), schemas.DQ_REPORT))
-        except PySparkException as error:
+        except (PySparkException, Py4JJavaError) as error:
             reports.append(unreadable_report(spark, table, error))
     empty = spark.createDataFrame([], schemas.DQ_REPORT)
     return reduce(DataFrame.unionByName, reports, empty)

@@ -70,7 +70,9 @@ def category_lookup(reference: DataFrame) -> DataFrame | None:
         else F.lit(None).cast("string")
     )
     named = reference.select(
-        to_count(F.col("id")).alias("category_id"), title.alias("category_name"), ingested.alias("_ingested")
+        to_count(F.col("id"), reference.schema["id"].dataType).alias("category_id"),
+        title.alias("category_name"),
+        ingested.alias("_ingested"),
     )
     latest = F.max_by("category_name", F.struct("_ingested", "category_name"))
     return named.groupBy("category_id").agg(latest.alias("category_name"))

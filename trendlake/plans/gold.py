@@ -45,5 +45,5 @@ def silver_to_gold(
         shaped = metrics.watch(frame.hint("rebalance", "region"))
         target = None if tables is None else tables.get(name)
         write_partitions(shaped, f"{gold.rstrip('/')}/{name}", table=target, rebalance=False)
-        written[name] = metrics.result()["rows"]
+        written[name] = metrics.result().get("rows", 0)
     return written

@@ -22,10 +22,13 @@ from trendlake.sources.statistics import explode_items, read_stats_api_json, rea
 
 @dataclass(frozen=True)
 class StatisticsRun:
-    """What a statistics run did; ``skipped`` when there was nothing to read."""
+    """What a statistics run did; ``skipped`` when there was nothing to read.
+
+    ``rows_read`` is None when no row had an id, as nothing was then counted.
+    """
 
     skipped: bool = False
-    rows_read: int = 0
+    rows_read: int | None = 0
     rows_written: int = 0
     null_counts: dict[str, int] = field(default_factory=dict)
 
@@ -81,8 +84,8 @@ def bronze_to_silver_statistics(
     write_partitions(checked, silver, table=table, rebalance=False)
     counts = written.result()
     return StatisticsRun(
-        rows_read=read.result()["rows"],
-        rows_written=counts.pop("rows"),
+        rows_read=read.result().get("rows"),
+        rows_written=counts.pop("rows", 0),
         null_counts={name.removeprefix("null_"): count for name, count in counts.items()},
     )
 

@@ -37,9 +37,10 @@ def land_raw_json(documents: DataFrame, root: str, landed_at: Column) -> None:
     """Append responses below ``root`` by region, date and hour, one object per line.
 
     Many responses share a file, which later reads need (``layout="lines"``): one file
-    per response would be far too many small files.
+    per response would be far too many small files. The rebalancing brings the responses
+    of a folder together before they are written.
     """
-    landed = landing_metadata(documents, landed_at)
+    landed = landing_metadata(documents, landed_at).hint("rebalance", "region", "date", "hour")
     landed.write.mode("append").partitionBy("region", "date", "hour").json(root)
 
 

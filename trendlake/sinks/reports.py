@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -63,4 +64,10 @@ class RowMetrics:
         return df.observe(self.observation, *measures)
 
     def result(self) -> dict[str, int]:
-        return dict(self.observation.get)
+        """The counts, after the write. Empty when adaptive execution found the whole
+        result to be empty and dropped the plan the rows would have passed through.
+        """
+        try:
+            return self.observation.get
+        except Py4JJavaError:
+            return {}

@@ -57,9 +57,10 @@ def _write_csv(rows: DataFrame, folder: str, mode: str = "errorifexists") -> Non
 
 
 def _land_documents(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """API documents as files, landed at the start of their day: one folder per region and day."""
     folder = new_folder(spark, label)
-    documents = inputs.api_documents(spark, sf_dir).select("region", "landed_at", "items")
-    land_raw_json(documents.select("region", "items", "landed_at"), folder, F.col("landed_at"))
+    documents = inputs.api_documents(spark, sf_dir).withColumn("landed_at", F.date_trunc("day", "landed_at"))
+    land_raw_json(documents.drop("page"), folder, F.col("landed_at"))
     return folder
 
 
@@ -366,7 +367,7 @@ def audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 _BOTH = f"""{BRONZE},{BRONZE_TEXT},{API},
 landed AS (
     SELECT * REPLACE (lower(trim(region)) AS region), CAST(NULL AS TIMESTAMP) AS landed_at FROM bronze_text
-    UNION ALL SELECT * FROM api
+    UNION ALL SELECT * REPLACE (date_trunc('day', landed_at) AS landed_at) FROM api
 ),{standard("landed", landed=True)},{silver(landed=True)}"""
 
 
@@ -381,11 +382,14 @@ def bronze_to_silver_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_(SILVER_OF_TEXT, f"SELECT {', '.join(SILVER_COLUMNS)} FROM silver"))
 def incremental_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two drops of files, merged one after the other, give the table of one batch."""
+    """Two drops of files, merged one after the other, give the table of one batch.
+
+    The second drop holds part of the latest days, so only those are merged again.
+    """
     bronze, store, checkpoint = (new_folder(spark, label) for label in ("drops", "store", "progress"))
     rows = inputs.bronze_files(inputs.bronze_statistics(spark, sf_dir))
-    first = F.coalesce(F.col("title") < "m", F.lit(True))
-    for drop in (rows.filter(first), rows.filter(~first)):
+    late = (F.col("title") >= "m") & (F.col("publish_time") >= "2001-03")
+    for drop in (rows.filter(~late), rows.filter(late)):
         _write_csv(drop, bronze, "append")
         run_new_statistics(spark, bronze, store, checkpoint, source="csv")
     return spark.read.schema(STORE_SCHEMA).parquet(store).select(*SILVER_COLUMNS)
