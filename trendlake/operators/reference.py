@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trendlake import schemas
@@ -18,10 +18,14 @@ _SOURCE = ("_source_file", "region")
 
 
 def newest_file_per_region(documents: DataFrame) -> DataFrame:
-    """Documents of the last written file of each region: a region is replaced as a whole."""
-    order = [F.col("_modified_at").desc(), F.col("_source_file").desc()]
-    place = F.rank().over(Window.partitionBy("region").orderBy(*order))
-    return documents.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place")
+    """Documents of the last written file of each region: a region is replaced as a whole.
+
+    The newest file is found by an aggregate, so the documents of a region, which may all
+    be lines of one large file, are never gathered in one task.
+    """
+    newest = documents.groupBy("region").agg(F.max(F.struct("_modified_at", "_source_file")).alias("_newest"))
+    files = newest.select("region", "_newest._source_file")
+    return documents.join(files, ["region", "_source_file"], "left_semi")
 
 
 def explode_reference_items(documents: DataFrame) -> DataFrame:

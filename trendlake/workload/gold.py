@@ -15,7 +15,7 @@ from trendlake.plans.medallion import run_all as run_medallion
 from trendlake.sinks.landing import land_reference_json
 from trendlake.sinks.reports import failed_checks_json
 from trendlake.sources.tables import optional_table as optional
-from trendlake.staging import new_folder
+from trendlake.staging import materialize, new_folder
 from trendlake.workload import inputs
 from trendlake.workload.oracle_ctes import (
     BRONZE,
@@ -305,7 +305,7 @@ def failed_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two gates before the same rollup; the one that asks for more rows stays shut."""
-    silver = silver_frame(spark, sf_dir)
+    silver = materialize(silver_frame(spark, sf_dir), "silver")
     gates = {"default": QualityRules(), "unreachable": QualityRules(min_rows=1 << 60)}
     built = silver.groupBy("region").agg(F.count(F.lit(1)).alias("videos"))
     opened = []
@@ -352,7 +352,8 @@ def _gold_sql(ctes: str, source: str) -> str:
 def silver_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The gold job: three tables written by region, then read back and counted."""
     gold = new_folder(spark, "gold")
-    run_gold(silver_frame(spark, sf_dir), lambda: inputs.reference_rows(spark, sf_dir), gold)
+    silver = materialize(silver_frame(spark, sf_dir), "silver")
+    run_gold(silver, lambda: inputs.reference_rows(spark, sf_dir), gold)
     return _gold_summary(spark, gold)
 
 

@@ -293,11 +293,11 @@ def region_from_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_(SILVER, f"SELECT {', '.join(SILVER_COLUMNS)} FROM silver"))
 def write_read_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The silver table written twice to the same folder: the second run replaces the first."""
+    """The silver table written by region; a second run over two regions replaces those."""
     folder = new_folder(spark, "roundtrip")
     frame = silver_frame(spark, sf_dir)
     write_partitions(frame, folder)
-    write_partitions(frame, folder)
+    write_partitions(read_table(spark, path=folder).filter(F.col("region") < "am"), folder)
     return read_table(spark, path=folder, schema=schemas.SILVER_STATISTICS).select(*SILVER_COLUMNS)
 
 
