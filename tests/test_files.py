@@ -233,11 +233,14 @@ def test_command_line(spark, write, tmp_path, capsys):
     assert cli.main(["statistics", "--bronze", stats, "--silver", f"{silver}/{STATISTICS_TABLE}"]) == 0
     assert cli.main(["reference", "--bronze", reference, "--silver", f"{silver}/{REFERENCE_TABLE}"]) == 0
     assert cli.main(["quality", "--silver", silver]) == 0
+    wrong = ["quality", "--silver", silver, "--tables", f"{STATISTICS_TABLE},{REFERENCE_TABLE},absent", "--sample-rows", "20"]
+    assert cli.main(wrong) == 1
     assert cli.main(["gold", "--silver", silver, "--gold", gold]) == 0
     lines = [json.loads(line) for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
     assert lines[0] == {"skipped": False, "read": 32, "written": 32}
-    assert lines[2]["quality_passed"] is True
-    assert lines[3]["channel_analytics"] == 2
+    assert lines[2] == {"quality_passed": True, "checks_passed": 9, "checks_total": 9}
+    assert lines[3] == {"quality_passed": False, "checks_passed": 14, "checks_total": 15}
+    assert lines[4]["channel_analytics"] == 2
 
 
 def test_gold_without_reference_table(spark, write, tmp_path):

@@ -1,4 +1,4 @@
-"""Settings of the jobs: quality thresholds, critical columns and region codes."""
+"""Settings of the jobs: quality thresholds, critical columns and size limits."""
 
 from __future__ import annotations
 
@@ -10,7 +10,6 @@ STATISTICS_TABLE = "clean_statistics"
 REFERENCE_TABLE = "clean_reference_data"
 
 # They must equal the published behaviour for the verdicts to agree.
-DEFAULT_REGIONS = ("us", "gb", "ca", "de", "fr", "in", "jp", "kr", "mx", "ru")
 UNKNOWN_REGION = "unknown"
 UNKNOWN_CATEGORY = "Unknown"
 CRITICAL_COLUMNS: Mapping[str, tuple[str, ...]] = {

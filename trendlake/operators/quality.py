@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendlake import schemas
-from trendlake.config import FRESHNESS_COLUMNS, STATISTICS_TABLE, QualityRules
+from trendlake.config import FRESHNESS_COLUMNS, QualityRules
 from trendlake.functions.clock import hours_before, instant
 from trendlake.functions.columns import missing_columns, quoted
 from trendlake.sources.tables import sample_scan
@@ -247,7 +247,3 @@ class QualityGateError(RuntimeError):
 def quality_gate(report: DataFrame) -> bool:
     """Verdict over a report; the one row of the summary is all that is collected."""
     return bool(check_summary(report).first()["quality_passed"])
-
-
-def default_tables() -> tuple[str, ...]:
-    return (STATISTICS_TABLE,)

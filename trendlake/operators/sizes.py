@@ -1,0 +1,23 @@
+"""Broadcasting only what has been measured."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from trendlake.config import BroadcastLimit
+
+
+def fits_broadcast(df: DataFrame, limit: BroadcastLimit) -> bool:
+    """Whether the rows of ``df`` are few and small enough to send to every executor.
+
+    Counts rows and bytes of text in one small job; the result is one row.
+    """
+    width = F.octet_length(F.to_json(F.struct(*df.columns)))
+    size = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).first()
+    return size["rows"] <= limit.rows and size["bytes"] <= limit.bytes
+
+
+def broadcast_if_small(df: DataFrame, limit: BroadcastLimit | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if it is below ``limit``, else as it is."""
+    return F.broadcast(df) if fits_broadcast(df, limit or BroadcastLimit()) else df

@@ -19,8 +19,8 @@ from trendlake.sources.tables import read_table
 from trendlake.streaming.incremental import incremental_reference, incremental_statistics
 
 
-def _regions(text: str) -> list[str]:
-    return [region.strip() for region in text.split(",") if region.strip()]
+def _names(text: str) -> list[str]:
+    return [name.strip() for name in text.split(",") if name.strip()]
 
 
 def build_parser() -> argparse.ArgumentParser:
@@ -34,7 +34,7 @@ def build_parser() -> argparse.ArgumentParser:
         return sub
 
     def bronze_options(sub: argparse.ArgumentParser) -> None:
-        sub.add_argument("--regions", type=_regions, help="only these region folders, comma separated")
+        sub.add_argument("--regions", type=_names, help="only these region folders, comma separated")
         sub.add_argument("--layout", choices=("document", "lines"), default="document")
 
     statistics = job("statistics", "bronze", "silver")
@@ -49,6 +49,8 @@ def build_parser() -> argparse.ArgumentParser:
     reference.add_argument("--table", help="catalog name to register")
 
     quality = job("quality", "silver")
+    quality.add_argument("--tables", type=_names, default=[STATISTICS_TABLE], help="comma separated")
+    quality.add_argument("--sample-rows", type=int, help="look at this many rows only")
     quality.add_argument("--report", help="folder the report rows are appended to")
 
     gold = job("gold", "silver", "gold")
@@ -67,6 +69,12 @@ def build_parser() -> argparse.ArgumentParser:
     return parser
 
 
+def table_loader(spark: SparkSession, silver: str, name: str):
+    """Loader of a silver table, of one of another name by its folder."""
+    known = silver_loaders(spark, silver)
+    return known.get(name, lambda: read_table(spark, path=f"{silver.rstrip('/')}/{name}"))
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> dict:
     """Run the chosen job and return its summary."""
     if args.job == "statistics":
@@ -88,7 +96,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
         )
         return {"files_written": done.processed.count(), "files_failed": done.errors.count()}
     if args.job == "quality":
-        done = silver_quality(spark, silver_loaders(spark, args.silver), QualityRules.from_env(), args.report)
+        loaders = {name: table_loader(spark, args.silver, name) for name in args.tables}
+        done = silver_quality(spark, loaders, QualityRules.from_env(), args.report, args.sample_rows)
         return {
             "quality_passed": done.quality_passed,
             "checks_passed": done.checks_passed,

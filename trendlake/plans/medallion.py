@@ -44,9 +44,10 @@ def silver_quality(
     tables: Mapping[str, Callable[[], DataFrame]],
     rules: QualityRules | None = None,
     report_path: str | None = None,
+    sample_rows: int | None = None,
 ) -> QualityRun:
     """Check the tables, keep the report and give the verdict."""
-    report = run_checks(spark, tables, rules)
+    report = run_checks(spark, tables, rules, sample_rows=sample_rows)
     if report_path is not None:
         write_dq_report(report, report_path)
     summary = check_summary(report).first()

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from trendlake.operators.clean import silver_statistics
 from trendlake.operators.normalize import unify_formats
@@ -112,7 +111,3 @@ def write_reference(documents: DataFrame, silver: str, table: str | None = None)
     touched = good.select("region").distinct()
     processed = run_summary(written.join(touched, "region", "left_semi"))
     return ReferenceRun(processed=processed, errors=errors.select("_source_file", "error"))
-
-
-def count_by_region(silver: DataFrame) -> DataFrame:
-    return silver.groupBy("region").agg(F.count(F.lit(1)).alias("rows"))
