@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlake import schemas
-from trendlake.operators import normalize
+from trendlake.config import QualityRules
+from trendlake.operators import normalize, quality
 from trendlake.operators import reference as ref
 from trendlake.plans.silver import bronze_to_silver_reference as run_reference
 from trendlake.sinks.landing import land_reference_json
@@ -168,18 +169,18 @@ def overwrite_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT 'schema' AS check_name, 'pages' AS table_name, 'id, snippet.title' AS missing, false AS passed,
-              count(*) AS rows FROM pages"""
+    """SELECT 'schema' AS check_name, 'id, snippet.title' AS missing, false AS passed, NULL AS value
+       UNION ALL SELECT 'row_count', NULL, count(*) >= 10, CAST(count(*) AS DOUBLE) FROM pages"""
 )
 def required_columns_warning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table without the reference columns is warned about and still read."""
     pages = inputs.table(spark, sf_dir, "pages")
     warning = normalize.required_columns_warning(pages, ("id", "snippet.title"), "pages")
-    rows = pages.agg(F.count(F.lit(1)).alias("rows"))
-    return warning.crossJoin(rows).select(
+    read = quality.evaluate(pages, quality.row_count_check(pages, "pages", QualityRules()))
+    report = warning.unionByName(read, allowMissingColumns=True)
+    return report.select(
         F.col("check").alias("check_name"),
-        F.col("table").alias("table_name"),
         F.array_join("missing_columns", ", ").alias("missing"),
         "passed",
-        "rows",
+        "value",
     )
