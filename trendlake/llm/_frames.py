@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bytes of text handled at a time inside a task, whatever the size of the Arrow batch.
-PART_BYTES = 4 << 20
+PART_BYTES = 2 << 20
 
 
 def pick(df: DataFrame, **names: str) -> DataFrame:
@@ -36,6 +36,12 @@ class Carried:
     def key(self, name: str) -> str:
         return self.flat.columns[self.names.index(name)]
 
+    def forget(self, name: str) -> None:
+        """Leave the first column of this name out of what ``named`` gives."""
+        at = self.names.index(name)
+        self.flat = self.flat.drop(self.flat.columns[at])
+        del self.names[at]
+
     def named(self, df: DataFrame, replaced: dict[str, Column] | None = None, added: dict[str, Column] | None = None) -> DataFrame:
         """``df`` with the first names again.
 

@@ -1,4 +1,4 @@
-"""Getting this package to the Python workers of a session that was started without it."""
+"""Getting a session ready for the operators: package and Arrow batches."""
 
 from __future__ import annotations
 
@@ -12,6 +12,16 @@ from pyspark.sql import SparkSession
 
 _ROOT = Path(__file__).resolve().parents[2]
 
+#: Bytes of an Arrow batch. Spark's default holds ten thousand texts or 64 MB at a time, several
+#: times over in each task's Java and Python memory.
+BATCH_BYTES = "4m"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by bytes and ship the package where it is needed."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    ship(spark)
+
 
 def ship(spark: SparkSession) -> None:
     """Add the package to the session's Python files, as ``--py-files`` would.

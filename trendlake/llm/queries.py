@@ -9,9 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trendlake.llm import bpe_codec, simhash_dedup, token_counts
+from trendlake.llm import bpe_codec, mixing, quality_classifier, quality_rules, sharding, simhash_dedup, token_counts
 from trendlake.llm._frames import pick
-from trendlake.llm._ship import ship
+from trendlake.llm._ship import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,7 +21,7 @@ def query(sql: str | None = None):
     def register(function):
         @wraps(function)
         def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship(spark)
+            prepare(spark)
             return function(spark, sf_dir)
 
         QUERIES[function.__name__] = shipped
@@ -36,6 +36,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text", source="source", lang="lang")
+    scored = quality_classifier.classify(docs, table(spark, sf_dir, "labels"), keep_text=False)
+    return scored.select("doc_id", "source", "lang", "evidence", "host_share", "path_share", "quality", "kept")
+
+
 @query()
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
@@ -55,6 +62,26 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
+    return sharding.assign(docs, 24, keep_text=False)
+
+
+@query()
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text", source="source")
+    mixed = mixing.mix_sources(docs, keep_text=False)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+@query()
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text", lang="lang", source="source")
+    judged = quality_rules.judge(docs, keep_text=False)
+    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
+
+
 @query()
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
