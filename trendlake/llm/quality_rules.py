@@ -31,12 +31,12 @@ class Rules:
     reach: float = 3.0
     least_docs: int = 50
     relative: float = 0.1
-    short: float = 10.0
+    short: float = 20.0
     floors: tuple[tuple[str, float], ...] = (
         ("chars_per_word", 0.3),
         ("symbols_per_word", 0.05),
-        ("dup_lines_per_line", 0.1),
-        ("repeated_per_word", 0.02),
+        ("dup_lines_per_line", 0.2),
+        ("repeated_per_word", 0.06),
     )
 
     @property
