@@ -24,8 +24,8 @@ FROM summed GROUP BY conv_id
 
 TOPK = """
 WITH q AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
   SELECT a.vec_id AS query_id, b.vec_id AS vec_id, list_dot_product(a.v, b.v)::BIGINT AS score
   FROM q a JOIN q b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
@@ -33,3 +33,158 @@ WITH q AS (
 SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
 FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
 """
+
+_POLYNOMIAL = 0xEDB88320
+
+SHARDS = rf"""
+WITH RECURSIVE bits AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, {_POLYNOMIAL}) ELSE c >> 1 END)) AS crc
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(octet_length(encode(text)), 0) + 8 AS size,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::HUGEINT AS k,
+    xor(list_reduce(list_concat([4294967295], list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)),
+      lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+  FROM documents, bits
+), walk AS (
+  SELECT r, k, 0::BIGINT AS place, 0::BIGINT AS ahead FROM d
+  UNION ALL
+  SELECT r, k2, ahead, floor((ahead + 1) * (2147483648::DOUBLE / ((k2 >> 33) + 1)::DOUBLE))::BIGINT
+  FROM (SELECT r, ahead, ((k * 2862933555777941757::HUGEINT + 1) % 18446744073709551616::HUGEINT) AS k2 FROM walk WHERE ahead < 25)
+), placed AS (
+  SELECT r, max(place) FILTER (place < 24) AS shard, max(place) AS grown FROM walk WHERE place < 25 GROUP BY r
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, shard::INTEGER AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown::INTEGER AS grown_shard
+FROM d JOIN placed USING (r)
+"""
+
+MIX = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS k
+  FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, ([5, 2, 1])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::BIGINT] AS w
+  FROM d GROUP BY source
+), level AS (
+  SELECT 0 AS step, 0::DOUBLE AS share
+  UNION ALL
+  SELECT step + 1, (sum(source_size) - sum(CASE WHEN 3 * source_size < share * w THEN 3 * source_size ELSE 0 END))::DOUBLE
+    / sum(CASE WHEN 3 * source_size < share * w THEN 0 ELSE w END)::DOUBLE
+  FROM level, s WHERE step < 60 GROUP BY step, share
+), goal AS (
+  SELECT source, source_size, least((3 * source_size)::DOUBLE, share * w) AS target FROM s, level WHERE step = 60
+), placed AS (
+  SELECT d.*, source_size, target, floor(target + 0.5)::BIGINT AS budget,
+    sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) - size AS earlier
+  FROM d JOIN goal ON d.source IS NOT DISTINCT FROM goal.source
+)
+SELECT doc_id, size, source_size, target, source,
+  CASE WHEN source_size = 0 THEN 0
+    ELSE (budget // source_size) * size + greatest(0, least(size, budget % source_size - earlier)) END::BIGINT AS taken
+FROM placed
+"""
+
+
+def rules_sql(rules) -> str:
+    """The counts, the sketches and the fences of the quality rules, with the values of ``rules``."""
+    names = [name for name, _ in rules.floors]
+    rates = {
+        "chars_per_word": "word_chars / nullif(n_words, 0)",
+        "symbols_per_word": "n_symbols / nullif(n_words, 0)",
+        "dup_lines_per_line": "n_dup_lines / nullif(n_lines, 0)",
+        "repeated_per_word": "n_repeat_words / nullif(n_words, 0)",
+    }
+    zero = -(1 << 62)
+    gamma, step = rules.gamma, rules.log_gamma
+    value = f"CASE WHEN bucket = {zero} THEN 0.0 ELSE pow({gamma!r}::DOUBLE, bucket::DOUBLE) * {2 / (1 + gamma)!r}::DOUBLE END"
+
+    def quartiles(table: str, group: str) -> str:
+        keys = f"{group}, metric" if group else "metric"
+        at = ", ".join(f"min({value}) FILTER (upto >= {share}::DOUBLE * docs) AS q{i}" for i, share in ((1, 0.25), (2, 0.5), (3, 0.75)))
+        return f"""{table} AS (
+  SELECT {keys}, max(docs) AS docs, {at} FROM (
+    SELECT {keys}, bucket, sum(n) OVER (PARTITION BY {keys} ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {keys}) AS docs
+    FROM (SELECT {keys}, bucket, sum(n) AS n FROM sketch GROUP BY {keys}, bucket)) GROUP BY {keys})"""
+
+    seen = " UNION ALL ".join(f"SELECT lang, source, '{n}' AS metric, {n} AS rate FROM rated WHERE {n} IS NOT NULL" for n in names)
+    fences = " AND ".join(
+        f"""coalesce((SELECT {n} <= q3 + {rules.reach!r}::DOUBLE * spread AND {n} >= q1 - {rules.reach!r}::DOUBLE * spread FROM (
+      SELECT *, greatest(q3 - q1, {floor!r}::DOUBLE, q2 * {rules.relative!r}::DOUBLE) * (1 + {rules.short!r}::DOUBLE / n_words) AS spread
+      FROM used WHERE metric = '{n}' AND used.lang IS NOT DISTINCT FROM rated.lang AND used.source IS NOT DISTINCT FROM rated.source)), true)"""
+        for n, floor in rules.floors
+    )
+    return rf"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), windows AS (
+  SELECT r, i, array_to_string(w[i:i + 4], ' ') AS win FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM split)
+), covered AS (
+  SELECT r, count(DISTINCT p) AS n FROM (
+    SELECT r, unnest(range(i, i + 5)) AS p FROM (SELECT *, count(*) OVER (PARTITION BY r, win) AS times FROM windows) WHERE times > 1)
+  GROUP BY r
+), counted AS (
+  SELECT r, doc_id, lang, source, len(w)::BIGINT AS n_words,
+    coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    len(lines)::BIGINT AS n_lines, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+    coalesce(covered.n, 0)::BIGINT AS n_repeat_words
+  FROM split LEFT JOIN covered USING (r)
+), rated AS (
+  SELECT *, {", ".join(f"{expression} AS {n}" for n, expression in rates.items())},
+    n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
+  FROM counted
+), sketch AS (
+  SELECT lang, source, metric, CASE WHEN rate > 0 THEN ceil(ln(rate) / {step!r}::DOUBLE)::BIGINT ELSE {zero} END AS bucket, count(*) AS n
+  FROM ({seen}) GROUP BY ALL
+), {quartiles("own", "lang, source")}, {quartiles("by_lang", "lang")}, {quartiles("overall", "")}, used AS (
+  SELECT own.lang, own.source, own.metric,
+    CASE WHEN own.docs >= {rules.least_docs} THEN own.q1 WHEN by_lang.docs >= {rules.least_docs} THEN by_lang.q1 ELSE overall.q1 END AS q1,
+    CASE WHEN own.docs >= {rules.least_docs} THEN own.q2 WHEN by_lang.docs >= {rules.least_docs} THEN by_lang.q2 ELSE overall.q2 END AS q2,
+    CASE WHEN own.docs >= {rules.least_docs} THEN own.q3 WHEN by_lang.docs >= {rules.least_docs} THEN by_lang.q3 ELSE overall.q3 END AS q3
+  FROM own JOIN by_lang ON own.lang IS NOT DISTINCT FROM by_lang.lang AND own.metric = by_lang.metric JOIN overall ON own.metric = overall.metric
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {fences} AS kept
+FROM rated
+"""
+
+
+def licenses_sql(templates, least: float) -> str:
+    """Likeness of every line, paragraph and text to the templates, by sets of word bigrams."""
+    quoted = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in templates)
+    lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = "regexp_extract_all(" + lower + ", '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+    grams = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
+    with_word = "list_filter(string_split({}, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]'))"
+    return f"""
+WITH template AS (
+  SELECT name, {grams} AS g FROM (SELECT name, {words.format("text")} AS w FROM (VALUES {quoted}) t(name, text))
+), d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents
+), paragraph AS (
+  SELECT r, p, len({with_word.format("p")}) AS n FROM (SELECT r, unnest(string_split_regex(text, '\\n([\\x20\\x09\\x0B-\\x0D]*\\n)+')) AS p FROM d)
+), unit AS (
+  SELECT r, unnest({with_word.format("text")}) AS u FROM d
+  UNION ALL SELECT r, p FROM paragraph WHERE n > 1
+  UNION ALL SELECT r, text FROM d WHERE r IN (SELECT r FROM paragraph WHERE n > 0 GROUP BY r HAVING count(*) > 1)
+), told AS (
+  SELECT r, u, {grams} AS g FROM (SELECT r, u, {words.format("u")} AS w FROM unit)
+), scored AS (
+  SELECT r, row_number() OVER () AS k, g FROM told WHERE len(g) > 0
+), hit AS (
+  SELECT r, k, name, 2 * len(list_intersect(scored.g, template.g)) / (len(scored.g) + len(template.g)) AS score
+  FROM scored JOIN template ON 2 * least(len(scored.g), len(template.g)) >= {least!r} * (len(scored.g) + len(template.g))
+), best AS (
+  SELECT r, k, name, score FROM hit WHERE score >= {least!r}
+  QUALIFY row_number() OVER (PARTITION BY k ORDER BY score DESC, name) = 1
+), found AS (
+  SELECT r, first(name ORDER BY score DESC, name) AS license, max(score) AS license_score, count(*) AS n_matches,
+    array_to_string(list_sort(list_distinct(list(name))), ',') AS licenses
+  FROM best GROUP BY r
+)
+SELECT doc_id, license, license_score, coalesce(n_matches, 0) AS n_matches, coalesce(licenses, '') AS licenses FROM d LEFT JOIN found USING (r)
+"""

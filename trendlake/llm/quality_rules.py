@@ -43,6 +43,10 @@ class Rules:
     def gamma(self) -> float:
         return (1 + self.accuracy) / (1 - self.accuracy)
 
+    @property
+    def log_gamma(self) -> float:
+        return math.log(self.gamma)
+
 
 def metrics() -> dict[str, Column]:
     """The rates that are held against thresholds; null where a text has no word."""

@@ -107,27 +107,27 @@ def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
 
 
-@query()
+@query(oracles.SHARDS)
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
     return sharding.assign(docs, 24, keep_text=False)
 
 
-@query()
+@query(oracles.MIX)
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text", source="source")
     mixed = mixing.mix_sources(docs, keep_text=False)
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
-@query()
+@query(oracles.rules_sql(quality_rules.Rules()))
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text", lang="lang", source="source")
     judged = quality_rules.judge(docs, keep_text=False)
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
 
 
-@query()
+@query(oracles.licenses_sql(license_scans.TEMPLATES, 0.8))
 def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
     scanned = license_scans.scan(docs)
