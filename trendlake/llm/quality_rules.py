@@ -115,7 +115,7 @@ def within(rules: Rules) -> Column:
     checks = []
     for name, floor in rules.floors:
         q1, q2, q3 = (F.col(f"t_{name}.{q}") for q in ("q1", "q2", "q3"))
-        spread = F.greatest(q3 - q1, F.lit(floor), q2 * rules.relative) * (1 + rules.short / F.col("_s.n_words"))
+        spread = F.greatest(q3 - q1, F.lit(floor), q2 * rules.relative) * (1 + rules.short / F.greatest(F.col("_s.n_words"), F.lit(1)))
         inside = (F.col(name) <= q3 + rules.reach * spread) & (F.col(name) >= q1 - rules.reach * spread)
         checks.append(F.coalesce(inside, F.lit(True)))
     passed = checks[0]
