@@ -13,7 +13,8 @@ from pyspark.sql import SparkSession
 _ROOT = Path(__file__).resolve().parents[2]
 
 #: Bytes of an Arrow batch. Spark's default holds ten thousand texts or 64 MB at a time, several
-#: times over in each task's Java and Python memory.
+#: times over in each task's Java and Python memory: with it an executor of two tasks passed 3 GB
+#: while fingerprinting, with 4 MB it stayed under 2 GB.
 BATCH_BYTES = "4m"
 
 
