@@ -1,0 +1,59 @@
+import zlib
+
+import numpy as np
+from conftest import ODD_ROWS, rows
+from pyspark.sql import functions as F
+
+from trendlake.llm.sharding import assign, jump, write_shards
+
+
+def one_jump(key, shards):
+    """The published loop for a single key."""
+    at, ahead = -1, 0
+    while ahead < shards:
+        at = ahead
+        key = (key * 2862933555777941757 + 1) % 2**64
+        ahead = int((at + 1) * (float(1 << 31) / float((key >> 33) + 1)))
+    return at
+
+
+def test_jump_is_the_published_one():
+    keys = np.random.default_rng(9).integers(0, 2**63, 500)
+    for shards in (1, 2, 24, 25, 1000):
+        assert jump(keys, shards).tolist() == [one_jump(int(k), shards) for k in keys]
+
+
+def test_growing_moves_rows_only_into_the_new_shard(spark):
+    df = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    small, large = (dict(map(tuple, assign(df, n).select("doc_id", "shard").collect())) for n in (24, 25))
+    grown = dict(map(tuple, assign(df, 24).select("doc_id", "grown_shard").collect()))
+    assert grown == large
+    moved = [i for i in small if small[i] != large[i]]
+    assert {large[i] for i in moved} == {24} and 100 < len(moved) < 320
+    counts = np.bincount(list(small.values()))
+    assert len(counts) == 24 and counts.min() > 120 and counts.max() < 300
+
+
+def test_slots_have_no_gaps(spark):
+    df = spark.range(3000).select((F.col("id") % 40).alias("doc_id"), F.repeat(F.lit("é"), (F.col("id") % 7).cast("int")).alias("text"))
+    got = assign(df.repartition(7), 5).select("shard", "slot", "doc_id", "size").collect()
+    for shard in range(5):
+        own = sorted((r for r in got if r.shard == shard), key=lambda r: r.slot)
+        assert [r.slot for r in own] == list(range(len(own)))
+        assert [(r.doc_id, r.size) for r in own] == sorted((r.doc_id, r.size) for r in own)
+
+
+def test_odd_rows(spark, odd, empty, clashing):
+    got = assign(clashing(odd, "shard", "_slot", "Size"), 24)
+    want = [(i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode()), "key") for i, t, _, _ in ODD_ROWS]
+    assert rows(got, "doc_id", "size", "text_crc32", "law") == sorted(want, key=repr)
+    assert len(set(rows(got.where("doc_id IS NULL"), "shard"))) == 1
+    assert assign(empty, 24).collect() == []
+
+
+def test_written_shards_hold_all_rows(spark, odd, tmp_path):
+    path = str(tmp_path / "shards")
+    write_shards(odd, path, 4, files=2)
+    assert rows(spark.read.parquet(path), "doc_id", "text") == rows(odd, "doc_id", "text")
+    law = {r.doc_id: r.shard for r in assign(odd, 4).collect()}
+    assert all(law[r.doc_id] == r.shard for r in spark.read.parquet(path).collect())

@@ -1,0 +1,120 @@
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from conftest import rows
+
+from trendlake.llm import _simhash_bits
+from trendlake.llm._components import components
+from trendlake.llm._simhash_bits import fingerprint
+from trendlake.llm.simhash_dedup import keep_first, links, near_duplicates
+
+
+def plain_fingerprint(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    shingles = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or ([" ".join(words)] if words else [])
+    votes = [0] * 64
+    for s in shingles:
+        h = xxhash.xxh64_intdigest(s.encode(), 42)
+        for b in range(64):
+            votes[b] += h >> b & 1
+    return sum(1 << b for b in range(64) if 2 * votes[b] > len(shingles))
+
+
+def plain_components(ids, prints, distance):
+    parent = list(range(len(ids)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(ids)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= distance:
+                parent[find(i)] = find(j)
+    least = {}
+    for i, id in enumerate(ids):
+        if id is not None:
+            least[find(i)] = min(id, least.get(find(i), id))
+    return [least.get(find(i)) for i in range(len(ids))]
+
+
+def texts():
+    random.seed(3)
+    vocabulary = [f"w{i}" for i in range(400)] + ["Ärger", "ÉCOLE", "I x"]
+    out = []
+    for _ in range(60):
+        words = [random.choice(vocabulary) for _ in range(random.randint(1, 150))]
+        out.append(" ".join(words))
+        for _ in range(random.randint(0, 5)):
+            copy = list(words)
+            for _ in range(random.randint(0, 2)):
+                copy[random.randrange(len(copy))] = random.choice(vocabulary).upper()
+            out.append(random.choice([" ", "\n", " \t"]).join(copy))
+    return [*out, "", None, "   ", "ab", "AB", "a b c " * 5000]
+
+
+def test_fingerprints_of_whole_texts(monkeypatch):
+    for text in texts():
+        assert fingerprint((text or "").encode()) & (1 << 64) - 1 == plain_fingerprint(text)
+    monkeypatch.setattr(_simhash_bits, "_PART", 7)
+    monkeypatch.setattr(_simhash_bits, "_SHINGLES", 3)
+    for text in texts():
+        if text and len(text) < 3000:
+            assert fingerprint(text.encode()) & (1 << 64) - 1 == plain_fingerprint(text)
+
+
+def test_components_against_all_pairs(spark):
+    given = [(i if i % 11 else None, t) for i, t in enumerate(texts())]
+    got = near_duplicates(spark.createDataFrame(given, "doc_id bigint, text string"))
+    prints = [plain_fingerprint(t) for _, t in given]
+    ids = [i for i, _ in given]
+    want = sorted(zip(ids, (f"{p:016x}" for p in prints), plain_components(ids, prints, 2), strict=True), key=repr)
+    assert rows(got) == want
+
+
+@pytest.mark.parametrize("distance", [0, 1, 2])
+def test_no_link_is_lost(spark, distance):
+    rng = np.random.default_rng(5)
+    prints = set()
+    for centre in rng.integers(-(2**63), 2**63, 12):
+        for _ in range(30):
+            flips = rng.choice(64, rng.integers(0, 4), replace=False)
+            value = int(centre) & (1 << 64) - 1
+            for b in flips:
+                value ^= 1 << int(b)
+            prints.add(value - (1 << 64) if value >> 63 else value)
+    prints = sorted(prints)
+    got = links(spark.createDataFrame([(p,) for p in prints], "fp bigint"), distance).collect()
+    want = {(a, b) for i, a in enumerate(prints) for b in prints[i + 1 :] if ((a ^ b) & (1 << 64) - 1).bit_count() <= distance}
+    assert {(min(r), max(r)) for r in map(tuple, got)} == want
+
+
+def test_distance_has_a_range(spark):
+    with pytest.raises(ValueError):
+        links(spark.range(1).toDF("fp"), 3)
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(200, 240)] + [(239, 110)] + [(-5, -4), (3, 3)]
+    got, _ = components(spark.createDataFrame(edges, "a bigint, b bigint"))
+    found = dict(map(tuple, got.collect()))
+    assert {found[n] for n in [*range(100, 161), *range(200, 240), 7]} == {7}
+    assert found[-4] == found[-5] == -5 and 3 not in found
+    none, _ = components(spark.createDataFrame([], "a bigint, b bigint"))
+    assert none.collect() == []
+
+
+def test_odd_rows_and_clashing_columns(spark, odd, empty, clashing):
+    got = near_duplicates(odd)
+    assert sorted(map(str, rows(got, "component_id"))) == sorted(map(str, [(1,), (1,), (1,), (2,), (2,), (2,), (5,), (6,), (2,), (7,)]))
+    assert near_duplicates(empty).collect() == [] and keep_first(empty).collect() == []
+    more = near_duplicates(clashing(odd, "fp", "fingerprint", "Component_ID", "node", "root"))
+    assert rows(more, "doc_id", "fingerprint", "component_id") == rows(got, "doc_id", "fingerprint", "component_id")
+    kept = keep_first(clashing(odd, "fp", "root"))
+    assert kept.columns == clashing(odd, "fp", "root").columns
+    assert [r[0] for r in rows(kept, "doc_id")] == [1, 2, 5, 6, 7]
