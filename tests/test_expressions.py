@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -93,15 +94,31 @@ def test_percent_of_views(spark):
     assert got == [33.3333, 0.0, 0.0, 200.0]
 
 
+def mean_in_two_steps(rows, parts=3):
+    """The mean of ``v`` from parts that are summed up first."""
+    split = rows.withColumn("g", F.spark_partition_id() % parts).groupBy("g").agg(*cleaning.ratio_parts("v"))
+    return split.agg(cleaning.mean_of_parts("v").alias("m")).first()["m"]
+
+
 def test_exact_mean_mixes_small_and_huge_ratios(spark):
     values = [33.3333, 0.0001, -2.5, 9.2e20, 12345.6789, None]
     rows = spark.createDataFrame([(v,) for v in values], "v double")
-    got = rows.agg(cleaning.exact_mean(F.col("v"))).first()[0]
     expected = (33.3333 + 0.0001 - 2.5 + 9.2e20 + 12345.6789) / 5
-    assert got == pytest.approx(expected, rel=1e-15)
+    assert mean_in_two_steps(rows) == pytest.approx(expected, rel=1e-15)
     small = spark.createDataFrame([(0.1,)] * 10, "v double")
-    assert small.agg(cleaning.exact_mean(F.col("v"))).first()[0] == 0.1
-    assert small.limit(0).agg(cleaning.exact_mean(F.col("v")).alias("m")).first()["m"] is None
+    assert mean_in_two_steps(small) == 0.1
+    assert mean_in_two_steps(small.limit(0)) is None
+
+
+def test_both_ways_to_sum_a_ratio_agree(spark, monkeypatch):
+    rng = random.Random(3)
+    values = [round(rng.uniform(-1, 1) * 10 ** rng.randint(0, 9), 4) for _ in range(500)]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").repartition(5)
+    means = set()
+    for limit in (0.0, 1.0, 10_000.0, 1e12):
+        monkeypatch.setattr(cleaning, "_SMALL_RATIO", limit)
+        means.add(mean_in_two_steps(rows))
+    assert len(means) == 1
 
 
 def test_clock(spark):

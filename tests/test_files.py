@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import json
 
 import pytest
@@ -12,17 +13,21 @@ from pyspark.sql import functions as F
 from trendlake import schemas
 from trendlake.config import REFERENCE_TABLE, STATISTICS_TABLE, QualityRules
 from trendlake.operators.quality import QualityGateError
+from trendlake.operators import rollups
+from trendlake.operators.rollups import gold_base
 from trendlake.plans import cli
+from trendlake.plans.gold import silver_to_gold
 from trendlake.plans.medallion import run_all, silver_loaders, silver_quality
-from trendlake.plans.silver import bronze_to_silver_statistics, read_bronze_statistics
+from trendlake.plans.silver import STORE_SCHEMA, LayoutError, bronze_to_silver_statistics, read_bronze_statistics
 from trendlake.sinks.landing import land_raw_json, land_reference_json
 from trendlake.sinks.reports import RowMetrics
 from trendlake.sinks.tables import write_partitions
 from trendlake.sources.quarantine import split_quarantine
 from trendlake.sources.statistics import explode_items, read_stats_api_json, read_stats_csv
-from trendlake.sources.tables import is_empty, optional_table, read_table, region_pruned_scan
+from trendlake.sources.tables import optional_table, read_table, region_pruned_scan
+from trendlake.staging import materialize, shared_dir
 from trendlake.streaming import incremental
-from trendlake.streaming.incremental import STORE_SCHEMA, incremental_reference, incremental_statistics
+from trendlake.streaming.incremental import error_folder, incremental_reference, incremental_statistics
 
 HEADER = "video_id,trending_date,title,channel_title,category_id,publish_time,tags,views,likes,dislikes,comment_count\n"
 
@@ -81,13 +86,13 @@ def test_mixed_formats_and_depths(spark, write):
     write("region=us/date=2024-01-02/hour=05/r.json", document("a1", "a2"))
     write("loose.json", document("a3", region="mx"))
     write("region=us/date=2024-01-02/hour=06/broken.json", '{"items": [{"id"')
-    rows = read_bronze_statistics(spark, root)
+    rows, errors = read_bronze_statistics(spark, root)
     assert as_tuples(rows, "video_id", "region", "trending_date") == [
         ("a1", "us", "24.02.01"), ("a2", "us", "24.02.01"), ("a3", "mx", "24.02.01"),
         ("v1", "ca", "17.14.11"), ("v2", "ca", "garbage"),
     ]
     _, bad = split_quarantine(read_stats_api_json(spark, root))
-    assert as_tuples(bad, "region", "error") == [("us", "malformed JSON")]
+    assert as_tuples(bad, "region", "error") == as_tuples(errors, "region", "error") == [("us", "malformed JSON")]
 
 
 def test_layout_is_checked(spark, write):
@@ -147,7 +152,6 @@ def test_region_filter_prunes_partitions(spark, tmp_path):
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(region" in plan
     assert as_tuples(pruned, "region", "n") == [("us", 1)]
-    assert not is_empty(pruned) and is_empty(pruned.filter("n > 5"))
 
 
 def test_optional_table_hides_only_absence(spark):
@@ -165,7 +169,7 @@ def test_landing(spark, tmp_path):
     landed_at = F.lit("2024-01-02 05:06:07").cast("timestamp")
     for _ in range(2):
         land_raw_json(documents, root, landed_at)
-    back = read_stats_api_json(spark, root, layout="lines")
+    back = read_stats_api_json(spark, root)
     meta = as_tuples(back, "region", "_metadata.run_id", "_metadata.video_count", "_metadata.timestamp")
     expected = [(r, "20240102_050607", n, "2024-01-02T05:06:07.000000+00:00") for r, n in (("ca", 1), ("mx", 0), ("us", 2))]
     assert meta == sorted(expected * 2, key=repr)
@@ -233,11 +237,11 @@ def test_command_line(spark, write, tmp_path, capsys):
     assert cli.main(["statistics", "--bronze", stats, "--silver", f"{silver}/{STATISTICS_TABLE}"]) == 0
     assert cli.main(["reference", "--bronze", reference, "--silver", f"{silver}/{REFERENCE_TABLE}"]) == 0
     assert cli.main(["quality", "--silver", silver]) == 0
-    wrong = ["quality", "--silver", silver, "--tables", f"{STATISTICS_TABLE},{REFERENCE_TABLE},absent", "--sample-rows", "20"]
+    wrong = ["quality", "--silver", silver, "--tables", f"{STATISTICS_TABLE},{REFERENCE_TABLE},absent"]
     assert cli.main(wrong) == 1
     assert cli.main(["gold", "--silver", silver, "--gold", gold]) == 0
     lines = [json.loads(line) for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
-    assert lines[0] == {"skipped": False, "read": 32, "written": 32}
+    assert lines[0] == {"skipped": False, "read": 32, "written": 32, "errors": {"count": 0, "first": []}}
     assert lines[2] == {"quality_passed": True, "checks_passed": 9, "checks_total": 9}
     assert lines[3] == {"quality_passed": False, "checks_passed": 14, "checks_total": 15}
     assert lines[4]["channel_analytics"] == 2
@@ -290,13 +294,171 @@ def test_incremental_csv_with_unknown_dates_and_regions(spark, write, tmp_path):
     assert run() == [("v1", "us", 9), ("v1", None, 9), ("v2", "us", 5), ("v3", None, 9)]
 
 
-def test_many_touched_partitions_are_joined(spark):
-    stored = spark.createDataFrame([("us", None, 1), (None, None, 2), ("ca", None, 3)], "region string, trending_date_parsed date, n int")
-    fresh = stored.filter("n < 3")
-    listed = incremental.stored_rows(stored, fresh)
-    joined = incremental.stored_rows(stored, fresh, limit=1)
-    assert as_tuples(listed, "n") == as_tuples(joined, "n") == [(1,), (2,)]
-    assert "LeftSemi" in joined._jdf.queryExecution().executedPlan().toString()
+def test_stored_rows_are_pruned_and_exact(spark, tmp_path):
+    path = str(tmp_path / "store")
+    days = [f"2024-01-{d:02}" for d in range(1, 29)]
+    rows = [(r, d, r, i) for i, d in enumerate([*days, None]) for r in ("us", "ca", None)]
+    stored = spark.createDataFrame(rows, "region string, trending_date_parsed string, r string, n int")
+    stored = stored.withColumn("trending_date_parsed", F.col("trending_date_parsed").cast("date"))
+    write_partitions(stored, path, incremental.STORE_PARTITIONS)
+    back = spark.read.parquet(path)
+    touched = [("us", "2024-01-03"), ("us", "2024-01-05"), (None, None), (None, "2024-01-01")]
+    fresh = spark.createDataFrame(touched, "region string, trending_date_parsed string")
+    fresh = fresh.withColumn("trending_date_parsed", F.col("trending_date_parsed").cast("date"))
+    found = incremental.stored_rows(back, fresh)
+    assert as_tuples(found, "r", "n") == sorted([("us", 2), ("us", 4), (None, 28), (None, 0)], key=repr)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "LeftSemi" in plan
+
+
+def test_broken_replacement_is_taken_up_again(spark, write, tmp_path, monkeypatch):
+    store, progress = str(tmp_path / "store"), str(tmp_path / "progress")
+
+    def run():
+        incremental_statistics(spark, str(tmp_path / "bronze"), store, progress)
+        return as_tuples(spark.read.schema(STORE_SCHEMA).parquet(store), "video_id", "views")
+
+    write("region=us/date=2024-01-02/hour=05/r.json", document("a1", "a2", views="50"))
+    assert run() == [("a1", 50), ("a2", 50)]
+    write("region=us/date=2024-01-02/hour=09/r.json", document("a3", timestamp="2024-01-02T09:00:00Z"))
+    plain = incremental.write_partitions
+
+    def lost(df, path, *more):
+        # The driver is lost when the old files are gone and the new ones not yet there.
+        incremental.remove_folders(spark, [path])
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(incremental, "write_partitions", lost)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    monkeypatch.setattr(incremental, "write_partitions", plain)
+    assert run() == [("a1", 50), ("a2", 50), ("a3", 10)]
+    assert run() == [("a1", 50), ("a2", 50), ("a3", 10)]
+
+
+def test_both_layouts_below_one_root(spark, write, tmp_path):
+    root = str(tmp_path / "bronze")
+    schema = "region string, items " + schemas.API_DOCUMENT["items"].dataType.simpleString()
+    many = [("us", [(f"a{i}", ("t", "c", "1", "p"), ("10", "1", None))]) for i in range(20)]
+    land_raw_json(spark.createDataFrame(many, schema), root, F.lit("2024-01-02 05:06:07").cast("timestamp"))
+    write("region=us/date=2024-01-02/hour=06/one.json", document("b1", "b2"))
+    several = "\n".join(json.dumps(document(f"c{i}")) for i in range(5))
+    write("region=us/date=2024-01-02/hour=07/several.json", several)
+    indented = "\n\n".join(json.dumps(document(f"d{i}"), indent=1) for i in range(3))
+    write("region=us/date=2024-01-02/hour=08/indented.json", indented)
+    target = str(tmp_path / "silver")
+    run = bronze_to_silver_statistics(spark, root, target)
+    assert run.rows_written == 30 and run.errors.count() == 0
+
+
+def test_text_after_a_document_is_an_error(spark, write):
+    write("region=us/a.json", json.dumps(document("a1")) + " {}")
+    write("region=us/b.json", json.dumps(document("a2")) + "\nrest")
+    tricky = document("a3")
+    tricky["items"][0]["snippet"]["title"] = '} { "}\n{" \\'
+    root = write("region=us/c.json", tricky)
+    good, bad = split_quarantine(read_stats_api_json(spark, root))
+    assert as_tuples(explode_items(good), "item.id") == [("a3",)]
+    assert as_tuples(bad, "error") == [("malformed JSON",)] * 2
+
+
+def test_broken_files_are_reported_by_every_run(spark, write, tmp_path):
+    root = write("region=us/date=2024-01-02/hour=05/r.json", document("a1"))
+    write("region=ca/date=2024-01-02/hour=05/r.json", "{")
+    batch = bronze_to_silver_statistics(spark, root, str(tmp_path / "silver"))
+    assert as_tuples(batch.errors, "region", "error") == [("ca", "malformed JSON")]
+    store = str(tmp_path / "store")
+    for _ in range(2):
+        incremental_statistics(spark, root, store, str(tmp_path / "progress"))
+        assert as_tuples(spark.read.parquet(error_folder(store)), "region", "error") == [("ca", "malformed JSON")]
+
+
+def test_batch_and_incremental_share_a_table(spark, write, tmp_path):
+    target = str(tmp_path / "silver")
+    root = write("region=ca/x.csv", HEADER + csv_line() + csv_line("v2", date="17.15.11"))
+    bronze_to_silver_statistics(spark, root, target)
+    write("region=us/date=2024-01-02/hour=05/r.json", document("a1"))
+    incremental_statistics(spark, root, target, str(tmp_path / "progress"))
+    rows = silver_of(spark, target)
+    assert as_tuples(rows, "video_id", "region") == [("a1", "us"), ("v1", "ca"), ("v2", "ca")]
+    other = str(tmp_path / "old")
+    write_partitions(rows, other)
+    with pytest.raises(LayoutError, match="region"):
+        bronze_to_silver_statistics(spark, root, other)
+    with pytest.raises(LayoutError):
+        incremental_statistics(spark, root, other, str(tmp_path / "more"))
+
+
+def test_days_that_left_bronze_leave_silver(spark, write, tmp_path):
+    target = str(tmp_path / "silver")
+    root = write("region=a b/x.csv", HEADER + csv_line() + csv_line("v2", date="17.15.11"))
+    write("region=us/x.csv", HEADER + csv_line("u1"))
+    bronze_to_silver_statistics(spark, root, target)
+    write("region=a b/x.csv", HEADER + csv_line("v3"))
+    bronze_to_silver_statistics(spark, root, target, regions=["a b"])
+    assert as_tuples(silver_of(spark, target), "video_id", "region") == [("u1", "us"), ("v3", "a b")]
+
+
+def test_largest_counts_do_not_end_a_run(spark, write, tmp_path):
+    huge = str(2**63 - 1)
+    lines = "".join(csv_line(f"v{i}", views=huge, likes=huge, comments=huge) for i in range(3))
+    root = write("stats/region=ca/x.csv", HEADER + lines + "".join(csv_line(f"n{i}", date="17.15.11") for i in range(9)))
+    silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    rules = QualityRules(max_views=2**63 - 1)
+    run = run_all(spark, f"{root}/stats", f"{root}/none", silver, gold, rules)
+    assert run.reference is None and run.gold_rows["trending_analytics"] == 2
+    rows = {str(r["trending_date_parsed"]): r for r in spark.read.parquet(f"{gold}/trending_analytics").collect()}
+    assert rows["2017-11-14"]["total_likes"] is None and rows["2017-11-14"]["max_views"] == 2**63 - 1
+    assert rows["2017-11-15"]["total_likes"] == 45
+    assert rows["2017-11-14"]["avg_engagement_rate"] == 200.0
+
+
+def test_regions_that_left_silver_leave_gold(spark, write, tmp_path):
+    stats, reference = bronze_tree(write)
+    silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    run_all(spark, stats, reference, silver, gold)
+    table = silver_loaders(spark, silver)[STATISTICS_TABLE]().filter("region = 'us'")
+    silver_to_gold(table, None, gold)
+    for name in ("trending_analytics", "channel_analytics", "category_analytics"):
+        assert as_tuples(spark.read.parquet(f"{gold}/{name}").select("region").distinct(), "region") == [("us",)]
+
+
+def test_gold_reads_silver_twice_and_copies_no_row(spark, write, tmp_path):
+    stats, reference = bronze_tree(write)
+    silver = str(tmp_path / "silver")
+    bronze_to_silver_statistics(spark, stats, f"{silver}/{STATISTICS_TABLE}")
+    statistics = silver_loaders(spark, silver)[STATISTICS_TABLE]()
+    base = gold_base(statistics)
+    staged = materialize(base, "base")
+    builds = (rollups.trending_analytics, rollups.channel_totals, rollups.category_analytics)
+    plans = [base, *(build(statistics, staged) for build in builds)]
+    texts = [p._jdf.queryExecution().executedPlan().toString() for p in plans]
+    scans = [line for text in texts for line in text.splitlines() if "FileScan" in line and "video_id#" in line]
+    assert len(scans) == 2 and not any("Expand" in text for text in texts)
+
+
+def test_staged_tables_go_when_the_job_ends(spark, write, tmp_path):
+    stats, _ = bronze_tree(write)
+    silver = str(tmp_path / "silver")
+    bronze_to_silver_statistics(spark, stats, silver)
+    before = set(glob.glob(f"{shared_dir(spark).removeprefix('file:')}/trendlake/*"))
+    silver_to_gold(silver_of(spark, silver), None, str(tmp_path / "gold"))
+    assert set(glob.glob(f"{shared_dir(spark).removeprefix('file:')}/trendlake/*")) == before
+
+
+def test_outcomes_failed_rows_and_report_runs(spark, write, tmp_path):
+    stats, reference = bronze_tree(write)
+    write("stats/region=mx/date=2024-01-02/hour=05/r.json", "{")
+    folders = [str(tmp_path / n) for n in ("silver", "gold", "report", "failed")]
+    run = run_all(spark, stats, reference, *folders[:2], report_path=folders[2], failed_path=folders[3])
+    outcomes = {r["region"]: (r["outcome"], r["errors"]) for r in run.outcomes.collect()}
+    assert outcomes == {"ca": ("success", 0), "us": ("success", 0), "mx": ("failed", 1)}
+    report = spark.read.parquet(folders[2])
+    assert report.select("run_id").distinct().count() == 1 and report.filter("checked_at IS NULL").count() == 0
+    strict = QualityRules(min_rows=10_000)
+    silver_quality(spark, silver_loaders(spark, folders[0]), strict, folders[2], folders[3])
+    assert spark.read.parquet(folders[2]).select("run_id").distinct().count() == 2
+    assert {r["check"] for r in spark.read.json(folders[3]).collect()} == {"row_count"}
 
 
 def test_incremental_reference(spark, write, tmp_path):

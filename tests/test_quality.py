@@ -135,9 +135,9 @@ def test_unreadable_tables_do_not_stop_the_others(spark, tmp_path):
     assert len(texts) == 2 and all(len(r["subject"]) <= 100 for r in texts)
 
 
-def test_sampled_checks_and_no_tables(spark):
-    rows = quality.run_checks(spark, {STATISTICS_TABLE: lambda: table(spark, rows=50)}, now=now(), sample_rows=30)
-    assert {r["value"] for r in rows.collect() if r["check"] == "row_count"} == {30.0}
+def test_whole_tables_are_checked_and_no_tables_pass(spark):
+    rows = quality.run_checks(spark, {STATISTICS_TABLE: lambda: table(spark, rows=50)}, now=now())
+    assert {r["value"] for r in rows.collect() if r["check"] == "row_count"} == {50.0}
     assert quality.quality_gate(quality.run_checks(spark, {}))
 
 

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import os
 
+import pytest
 from conftest import as_tuples
 from pyspark.sql import functions as F
 
 from trendlake import schemas
 from trendlake.operators import reference as ref
 from trendlake.operators.enrich import enrich_category, ensure_category_name
-from trendlake.config import BroadcastLimit
 from trendlake.plans.silver import bronze_to_silver_reference
+from trendlake.sinks.landing import land_reference_json
 from trendlake.sources.quarantine import split_quarantine
 from trendlake.sources.reference import read_reference_json
 
@@ -92,7 +94,6 @@ def test_enrich_category(spark):
     expected = [("v1", "a"), ("v2", "Unknown"), ("v3", "Unknown")]
     enriched = enrich_category(statistics(spark), rows)
     assert as_tuples(enriched, "video_id", "category_name") == expected
-    assert "BroadcastHashJoin" in enriched._jdf.queryExecution().executedPlan().toString()
     assert as_tuples(enrich_category(statistics(spark), None), "category_name") == [("Unknown",)] * 3
     assert as_tuples(enrich_category(statistics(spark), rows.drop("snippet_title")), "category_name") == [("Unknown",)] * 3
 
@@ -101,15 +102,47 @@ def test_a_large_lookup_is_not_broadcast(spark):
     rows = reference(spark, ("1", "a", None, "us"), ("4", "b", None, "us"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        enriched = enrich_category(statistics(spark), rows, BroadcastLimit(rows=1))
+        enriched = enrich_category(statistics(spark), rows)
         assert "SortMergeJoin" in enriched._jdf.queryExecution().executedPlan().toString()
         assert as_tuples(enriched, "video_id", "category_name")[0] == ("v1", "a")
-        enriched = enrich_category(statistics(spark), rows, BroadcastLimit(bytes=10))
-        assert "SortMergeJoin" in enriched._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("tasks", [1, 7])
+def test_all_files_of_a_landing_count_whatever_their_number(spark, tmp_path, tasks):
+    root, target = str(tmp_path / "raw"), str(tmp_path / "silver")
+    schema = "region string, etag string, page int, items " + schemas.REFERENCE_DOCUMENT["items"].dataType.simpleString()
+    item = lambda key, title: ("k", "e", key, ("c", title, True))
+    for day in (1, 2):
+        pages = [("us", f"p{p}", p, [item(f"{day}{p}", "x"), item("same", f"day {day} page {p}")]) for p in range(8)]
+        documents = spark.createDataFrame(pages, schema).repartition(tasks)
+        land_reference_json(documents, root, F.lit(f"2024-01-0{day} 05:00:00").cast("timestamp"), "page")
+    run = bronze_to_silver_reference(spark, root, target)
+    silver = spark.read.schema(schemas.SILVER_REFERENCE).parquet(target)
+    expected = [(f"2{p}", "x") for p in range(8)] + [("same", "day 2 page 7")]
+    assert as_tuples(silver, "id", "snippet_title") == expected
+    assert run.processed.agg(F.sum("rows")).first()[0] == 9
+
+
+def test_further_fields_of_an_item_are_kept(spark, write):
+    more = category("1", "t", grade=7, tags=["a"])
+    more["snippet"]["locale"] = {"x": 1}
+    root = write("region=us/a.json", listing(more, category("2", "u")))
+    write("region=ca/a.json", category("3", "single", grade=None))
+    silver = ref.silver_reference(split_quarantine(read_reference_json(spark, root))[0])
+    found = {r["id"]: r["_extra"] and json.loads(r["_extra"]) for r in silver.collect()}
+    assert found == {"1": {"grade": "7", "tags": '["a"]', "snippet.locale": '{"x":1}'}, "2": None, "3": {"grade": None}}
+
+
+def test_items_without_a_title_are_warned_about(spark, write, tmp_path):
+    root = write("region=us/a.json", listing({"id": "1"}, {"id": "2", "snippet": {"channelId": "c"}}))
+    write("region=ca/a.json", listing(category("1", "t"), {"id": "2"}))
+    run = bronze_to_silver_reference(spark, root, str(tmp_path / "silver"))
+    (warning,) = run.warnings.collect()
+    assert (warning["region"], warning["missing_columns"], warning["passed"]) == ("us", ["snippet_title"], False)
+
+
 def test_ensure_category_name(spark):
     assert ensure_category_name(statistics(spark)).first()["category_name"] == "Unknown"
     named = statistics(spark).withColumn("category_name", F.when(F.col("video_id") == "v1", F.lit("a")))

@@ -43,11 +43,3 @@ class QualityRules:
             min_rows=int(env.get("DQ_MIN_ROW_COUNT", cls.min_rows)),
             max_null_pct=float(env.get("DQ_MAX_NULL_PERCENT", cls.max_null_pct)),
         )
-
-
-@dataclass(frozen=True)
-class BroadcastLimit:
-    """Largest side that may be sent to every executor; anything bigger is shuffled."""
-
-    rows: int = 200_000
-    bytes: int = 32 * 1024 * 1024

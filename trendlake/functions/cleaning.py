@@ -64,27 +64,47 @@ def zero_if_null(count: Column) -> Column:
 
 def percent_of_views(amount: Column, views: Column) -> Column:
     """``amount`` per hundred views with four decimals, 0 where nothing was viewed."""
-    return F.when(views > 0, F.round(amount / views * 100, 4)).otherwise(F.lit(0.0))
+    return F.when(views > 0, F.round(amount.cast("double") / views * 100, 4)).otherwise(F.lit(0.0))
+
+
+def wide(count: Column) -> Column:
+    """A count that can be added up without overflow, whatever a dirty file holds."""
+    return count.cast("decimal(20,0)")
+
+
+def exact_sum(count: Column) -> Column:
+    """Sum of counts as a decimal no table is large enough to overflow."""
+    return F.sum(wide(count)).cast("decimal(38,0)")
+
+
+def whole(total: Column) -> Column:
+    """A finished sum as bigint, null where it is beyond one."""
+    return total.try_cast("bigint")
 
 
 # Ratios below this many percent are summed as whole ten-thousandths.
 _SMALL_RATIO = 10_000.0
 
 
-def exact_mean(value: Column) -> Column:
-    """Mean of a four-decimal ratio that does not depend on the order of the rows.
+def ratio_parts(name: str) -> list[Column]:
+    """Aggregates of a four-decimal ratio from which its mean follows exactly.
 
     Sums of doubles differ in the last digit from run to run; here every sum is exact, so
     a retried task gives the same result. Usual ratios are summed as bigint, which is far
-    cheaper than a decimal; only absurd ones take the decimal, which holds them all.
+    cheaper than a decimal; only absurd ones take the decimal, which holds them all. Both
+    give the same mean.
     """
+    value = F.col(name)
     small = (value < _SMALL_RATIO) & (value > -_SMALL_RATIO)
-    units = F.coalesce(F.sum(F.when(small, F.floor(value * 10_000 + 0.5))), F.lit(0))
-    rest = F.coalesce(F.sum(F.when(~small, value.cast("decimal(25,4)"))), F.lit(0))
-    total = units.cast("decimal(20,0)") * F.lit(Decimal("0.0001")) + rest.cast("decimal(35,4)")
-    return F.try_divide(total.cast("double"), F.count(value))
-
-
-def exact_mean_count(value: Column) -> Column:
-    """Mean of a bigint column from its exact sum."""
-    return F.try_divide(F.sum(value), F.count(value))
+    return [
+        F.coalesce(F.sum(F.when(small, F.floor(value * 10_000 + 0.5))), F.lit(0)).alias(f"{name}_units"),
+        F.coalesce(F.sum(F.when(~small, value.cast("decimal(25,4)"))), F.lit(0)).cast("decimal(35,4)").alias(f"{name}_rest"),
+        F.count(value).alias(f"{name}_n"),
+    ]
+
+
+def mean_of_parts(name: str) -> Column:
+    """Mean of a ratio from any number of rows of its ``ratio_parts``."""
+    units = F.sum(F.col(f"{name}_units").cast("decimal(20,0)")).cast("decimal(30,0)")
+    total = units * F.lit(Decimal("0.0001")) + F.sum(F.col(f"{name}_rest")).cast("decimal(35,4)")
+    return F.try_divide(total.cast("double"), F.sum(f"{name}_n"))

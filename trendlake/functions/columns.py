@@ -43,11 +43,6 @@ def resolve_column(df: DataFrame, path: str, inside: str | None = None) -> Colum
     return None
 
 
-def type_of(df: DataFrame, column: Column) -> T.DataType:
-    """Type of an expression over ``df``, by analysis only."""
-    return df.select(column).schema[0].dataType
-
-
 def missing_columns(df: DataFrame, expected: tuple[str, ...] | list[str]) -> list[str]:
     """Names of ``expected`` that the frame does not have, sorted."""
     return sorted(set(expected) - set(df.columns))

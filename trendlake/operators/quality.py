@@ -16,7 +16,6 @@ from trendlake import schemas
 from trendlake.config import FRESHNESS_COLUMNS, QualityRules
 from trendlake.functions.clock import hours_before, instant
 from trendlake.functions.columns import missing_columns, quoted
-from trendlake.sources.tables import sample_scan
 
 _ROWS = "rows"
 
@@ -200,7 +199,6 @@ def run_checks(
     tables: Mapping[str, Callable[[], DataFrame]],
     rules: QualityRules | None = None,
     now: Column | None = None,
-    sample_rows: int | None = None,
 ) -> DataFrame:
     """Reports of several tables, each given as a loader.
 
@@ -211,7 +209,7 @@ def run_checks(
     reports = []
     for table, load in tables.items():
         try:
-            report = check_table(sample_scan(load(), sample_rows), table, rules, now)
+            report = check_table(load(), table, rules, now)
             reports.append(spark.createDataFrame(report.collect(), schemas.DQ_REPORT))
         except (PySparkException, Py4JJavaError) as error:
             reports.append(unreadable_report(spark, table, error))

@@ -6,7 +6,7 @@ import argparse
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from trendlake import schemas
 from trendlake.config import REFERENCE_TABLE, STATISTICS_TABLE, QualityRules
@@ -35,7 +35,7 @@ def build_parser() -> argparse.ArgumentParser:
 
     def bronze_options(sub: argparse.ArgumentParser) -> None:
         sub.add_argument("--regions", type=_names, help="only these region folders, comma separated")
-        sub.add_argument("--layout", choices=("document", "lines"), default="document")
+        sub.add_argument("--layout", choices=("auto", "document", "lines"), default="auto")
 
     statistics = job("statistics", "bronze", "silver")
     bronze_options(statistics)
@@ -50,8 +50,8 @@ def build_parser() -> argparse.ArgumentParser:
 
     quality = job("quality", "silver")
     quality.add_argument("--tables", type=_names, default=[STATISTICS_TABLE], help="comma separated")
-    quality.add_argument("--sample-rows", type=int, help="look at this many rows only")
     quality.add_argument("--report", help="folder the report rows are appended to")
+    quality.add_argument("--failed", help="folder the failed rows are appended to as JSON")
 
     gold = job("gold", "silver", "gold")
     gold.add_argument("--database", help="catalog database to register the gold tables in")
@@ -59,13 +59,16 @@ def build_parser() -> argparse.ArgumentParser:
     whole = job("all", "bronze-statistics", "bronze-reference", "silver", "gold")
     bronze_options(whole)
     whole.add_argument("--report", help="folder the report rows are appended to")
+    whole.add_argument("--failed", help="folder the failed rows are appended to as JSON")
 
     new_statistics = job("new-statistics", "bronze", "silver", "checkpoint")
     bronze_options(new_statistics)
     new_statistics.add_argument("--source", choices=("json", "csv"), default="json")
+    new_statistics.add_argument("--job-name", default="incremental_statistics")
+    new_statistics.add_argument("--single-line", action="store_true", help="no line breaks inside CSV values")
 
     new_reference = job("new-reference", "bronze", "silver", "checkpoint")
-    new_reference.add_argument("--layout", choices=("document", "lines"), default="document")
+    new_reference.add_argument("--layout", choices=("auto", "document", "lines"), default="auto")
     return parser
 
 
@@ -75,6 +78,12 @@ def table_loader(spark: SparkSession, silver: str, name: str):
     return known.get(name, lambda: read_table(spark, path=f"{silver.rstrip('/')}/{name}"))
 
 
+def listed(rows: DataFrame, most: int = 100) -> dict:
+    """Number of rows and the first of them, for the printed summary; all are in the frame."""
+    shown = rows.orderBy(*rows.columns).limit(most).toJSON().collect()
+    return {"count": rows.count(), "first": [json.loads(row) for row in shown]}
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> dict:
     """Run the chosen job and return its summary."""
     if args.job == "statistics":
@@ -89,15 +98,24 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
             args.table,
             not args.no_rebalance,
         )
-        return {"skipped": done.skipped, "read": done.rows_read, "written": done.rows_written}
+        return {
+            "skipped": done.skipped,
+            "read": done.rows_read,
+            "written": done.rows_written,
+            "errors": listed(done.errors),
+        }
     if args.job == "reference":
         done = bronze_to_silver_reference(
             spark, args.bronze, args.silver, args.regions, args.layout, args.table
         )
-        return {"files_written": done.processed.count(), "files_failed": done.errors.count()}
+        return {
+            "files_written": done.processed.count(),
+            "errors": listed(done.errors),
+            "warnings": listed(done.warnings),
+        }
     if args.job == "quality":
         loaders = {name: table_loader(spark, args.silver, name) for name in args.tables}
-        done = silver_quality(spark, loaders, QualityRules.from_env(), args.report, args.sample_rows)
+        done = silver_quality(spark, loaders, QualityRules.from_env(), args.report, args.failed)
         return {
             "quality_passed": done.quality_passed,
             "checks_passed": done.checks_passed,
@@ -123,8 +141,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
             args.regions,
             args.layout,
             args.report,
+            args.failed,
         )
-        return {"read": done.statistics.rows_read, "written": done.statistics.rows_written, **done.gold_rows}
+        return {
+            "read": done.statistics.rows_read,
+            "written": done.statistics.rows_written,
+            **done.gold_rows,
+            "failed_regions": listed(done.outcomes.filter("outcome = 'failed'")),
+        }
     if args.job == "new-statistics":
         incremental_statistics(
             spark,
@@ -133,7 +157,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
             args.checkpoint,
             args.source,
             args.layout,
-            regions=args.regions,
+            not args.single_line,
+            args.regions,
+            args.job_name,
         )
         return {"done": True}
     incremental_reference(spark, args.bronze, args.silver, args.checkpoint, args.layout)

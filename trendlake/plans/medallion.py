@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from trendlake import schemas
@@ -17,7 +18,8 @@ from trendlake.plans.silver import (
     bronze_to_silver_reference,
     bronze_to_silver_statistics,
 )
-from trendlake.sinks.reports import write_dq_report
+from trendlake.sinks.reports import region_outcomes, run_summary, write_dq_report, write_failed_checks
+from trendlake.sources.files import is_absent, optional_frame
 from trendlake.sources.tables import read_table
 
 
@@ -33,10 +35,16 @@ class QualityRun:
 
 @dataclass(frozen=True)
 class MedallionRun:
+    """What a whole run did; ``reference`` is None when there was no reference folder.
+
+    ``outcomes`` has every region that was landed, with the number of its unusable documents.
+    """
+
     statistics: StatisticsRun
-    reference: ReferenceRun
+    reference: ReferenceRun | None
     quality: QualityRun
     gold_rows: dict[str, int]
+    outcomes: DataFrame
 
 
 def silver_quality(
@@ -44,12 +52,14 @@ def silver_quality(
     tables: Mapping[str, Callable[[], DataFrame]],
     rules: QualityRules | None = None,
     report_path: str | None = None,
-    sample_rows: int | None = None,
+    failed_path: str | None = None,
 ) -> QualityRun:
-    """Check the tables, keep the report and give the verdict."""
-    report = run_checks(spark, tables, rules, sample_rows=sample_rows)
+    """Check the whole tables, keep the report and its failed rows, and give the verdict."""
+    report = run_checks(spark, tables, rules)
     if report_path is not None:
         write_dq_report(report, report_path)
+    if failed_path is not None:
+        write_failed_checks(report, failed_path)
     summary = check_summary(report).first()
     return QualityRun(
         summary["quality_passed"], summary["checks_passed"], summary["checks_total"], report
@@ -76,21 +86,41 @@ def run_all(
     gold: str,
     rules: QualityRules | None = None,
     regions: Sequence[str] | None = None,
-    layout: str = "document",
+    layout: str = "auto",
     report_path: str | None = None,
+    failed_path: str | None = None,
 ) -> MedallionRun:
-    """Silver, gate, gold. A negative verdict raises before anything of gold is written."""
+    """Silver, gate, gold. A negative verdict raises before anything of gold is written.
+
+    Without a reference folder the run goes on: the checks then cover the statistics, and every
+    category without an earlier reference table is unknown.
+    """
     silver = silver.rstrip("/")
-    reference = bronze_to_silver_reference(
-        spark, bronze_reference, f"{silver}/{REFERENCE_TABLE}", regions, layout
+    reference = optional_run(
+        lambda: bronze_to_silver_reference(spark, bronze_reference, f"{silver}/{REFERENCE_TABLE}", regions, layout)
     )
     statistics = bronze_to_silver_statistics(
         spark, bronze_statistics, f"{silver}/{STATISTICS_TABLE}", regions=regions, layout=layout
     )
     loaders = silver_loaders(spark, silver)
-    quality = silver_quality(spark, loaders, rules, report_path)
+    checked = dict(loaders)
+    if reference is None and optional_frame(loaders[REFERENCE_TABLE]) is None:
+        del checked[REFERENCE_TABLE]
+    quality = silver_quality(spark, checked, rules, report_path, failed_path)
     if not quality.quality_passed:
         passed, total = quality.checks_passed, quality.checks_total
         raise QualityGateError(f"{total - passed} of {total} quality checks failed; gold was not built")
     gold_rows = silver_to_gold(loaders[STATISTICS_TABLE](), loaders[REFERENCE_TABLE], gold)
-    return MedallionRun(statistics, reference, quality, gold_rows)
+    stored = run_summary(loaders[STATISTICS_TABLE](), ["region"])
+    errors = statistics.errors if reference is None else statistics.errors.unionByName(reference.errors)
+    return MedallionRun(statistics, reference, quality, gold_rows, region_outcomes(stored, errors))
+
+
+def optional_run(job: Callable[[], ReferenceRun]) -> ReferenceRun | None:
+    """The run, or None when the folder it reads does not exist."""
+    try:
+        return job()
+    except AnalysisException as error:
+        if is_absent(error):
+            return None
+        raise

@@ -4,28 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from trendlake import schemas
 from trendlake.operators.clean import silver_statistics
 from trendlake.operators.normalize import unify_formats
-from trendlake.operators.reference import newest_file_per_region, silver_reference
-from trendlake.schemas import SILVER_REFERENCE
+from trendlake.operators.reference import missing_fields, newest_landing_per_region, silver_reference
+from trendlake.schemas import SILVER_PARTITIONS
 from trendlake.sinks.reports import RowMetrics, run_summary
 from trendlake.sinks.tables import write_partitions
 from trendlake.sources.files import optional_frame
 from trendlake.sources.quarantine import split_quarantine
 from trendlake.sources.reference import read_reference_json
 from trendlake.sources.statistics import explode_items, read_stats_api_json, read_stats_csv
+from trendlake.staging import materialize, remove_folders
+
+# What batch and incremental runs store: the silver columns and the landing time, which decides
+# between duplicates of different runs.
+STORE_SCHEMA = T.StructType([*schemas.SILVER_STATISTICS.fields, schemas.LANDED_AT])
+ERRORS = T.StructType([T.StructField(name, T.StringType()) for name in ("_source_file", "region", "error")])
+
+
+class LayoutError(RuntimeError):
+    """The folder holds a table with other partitions than this job writes."""
 
 
 @dataclass(frozen=True)
 class StatisticsRun:
     """What a statistics run did; ``skipped`` when there was nothing to read.
 
-    ``rows_read`` is None when no row had an id, as nothing was then counted.
+    ``rows_read`` is None when no row had an id, as nothing was then counted. ``errors`` has
+    a row for each document that could not be used.
     """
 
+    errors: DataFrame
     skipped: bool = False
     rows_read: int | None = 0
     rows_written: int = 0
@@ -34,27 +50,31 @@ class StatisticsRun:
 
 @dataclass(frozen=True)
 class ReferenceRun:
-    """Written rows per file, and the files that could not be used."""
+    """Written rows per file, unusable files, and files whose items lack a required field."""
 
     processed: DataFrame
     errors: DataFrame
+    warnings: DataFrame
 
 
 def read_bronze_statistics(
     spark: SparkSession,
     root: str,
     regions: Sequence[str] | None = None,
-    layout: str = "document",
+    layout: str = "auto",
     multi_line: bool = True,
-) -> DataFrame | None:
-    """CSV history and API documents below ``root`` as one frame, None without any file."""
+) -> tuple[DataFrame | None, DataFrame]:
+    """CSV history and API documents below ``root`` as one frame, and the unusable documents.
+
+    The frame is None without any file.
+    """
     csv = optional_frame(lambda: read_stats_csv(spark, root, regions, multi_line=multi_line))
     documents = optional_frame(lambda: read_stats_api_json(spark, root, regions, layout))
-    frames = [] if csv is None else [csv]
+    frames, errors = [] if csv is None else [csv], spark.createDataFrame([], ERRORS)
     if documents is not None:
-        good, _ = split_quarantine(documents)
+        good, errors = split_quarantine(documents)
         frames.append(explode_items(good))
-    return unify_formats(*frames, keep_landed_at=True) if frames else None
+    return unify_formats(*frames, keep_landed_at=True) if frames else None, errors
 
 
 def bronze_to_silver_statistics(
@@ -63,51 +83,101 @@ def bronze_to_silver_statistics(
     silver: str,
     job_name: str = "bronze_to_silver_statistics",
     regions: Sequence[str] | None = None,
-    layout: str = "document",
+    layout: str = "auto",
     multi_line: bool = True,
     table: str | None = None,
     rebalance: bool = True,
 ) -> StatisticsRun:
     """Clean, deduplicate and write the statistics in one job.
 
-    Row and null counts are observed during the write instead of being counted again.
+    Row and null counts are observed during the write instead of being counted again. A region
+    is replaced as a whole: days it no longer has are removed. The unusable documents are staged,
+    so that the caller can look at them.
     """
-    raw = read_bronze_statistics(spark, bronze, regions, layout, multi_line)
+    check_layout(spark, silver, SILVER_PARTITIONS)
+    raw, errors = read_bronze_statistics(spark, bronze, regions, layout, multi_line)
+    errors = materialize(errors, "statistics-errors")
     if raw is None or raw.isEmpty():
-        return StatisticsRun(skipped=True)
+        return StatisticsRun(errors, skipped=True)
     read, written = RowMetrics.new("read"), RowMetrics.new("written")
-    result = silver_statistics(read.watch(raw), job_name)
+    result = silver_statistics(read.watch(raw), job_name, keep_landed_at=True).select(*STORE_SCHEMA.names)
     if rebalance:
-        result = result.hint("rebalance", "region")
-    checked = written.watch(result, nulls=("video_id", "title", "views"))
-    write_partitions(checked, silver, table=table, rebalance=False)
+        result = result.hint("rebalance", *SILVER_PARTITIONS)
+    stamp = F.unix_micros(F.max("_processed_at")).alias("stamp")
+    checked = written.watch(result, nulls=("video_id", "title", "views"), more=[stamp])
+    write_partitions(checked, silver, SILVER_PARTITIONS, table=table, rebalance=False)
     counts = written.result()
+    if (stamp := counts.pop("stamp", None)) is not None:
+        remove_stale_days(spark, silver, stamp)
     return StatisticsRun(
+        errors,
         rows_read=read.result().get("rows"),
         rows_written=counts.pop("rows", 0),
         null_counts={name.removeprefix("null_"): count for name, count in counts.items()},
     )
 
 
+def check_layout(spark: SparkSession, path: str, partitions: Sequence[str]) -> None:
+    """Refuse a folder whose partition folders are not those of ``partitions``, before writing.
+
+    Two depths of folders in one table can't be read any more. Looks at folder names only.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return
+    depth = []
+    while True:
+        inner = [s.getPath() for s in files.listStatus(folder) if s.isDirectory() and "=" in s.getPath().getName()]
+        if not inner:
+            break
+        depth.append(inner[0].getName().split("=")[0])
+        folder = inner[0]
+    if depth and depth != list(partitions):
+        raise LayoutError(f"{path} is partitioned by {depth}, not by {list(partitions)}")
+
+
+def remove_stale_days(spark: SparkSession, silver: str, stamp: int) -> None:
+    """Drop the days that a run did not write, of the regions that it did.
+
+    Rows of a run share their processing time, ``stamp`` in microseconds. One row a partition
+    reaches the driver, and only of partitions that are to be removed.
+    """
+    stored = spark.read.schema(STORE_SCHEMA).parquet(silver)
+    folder = F.regexp_replace(stored.metadataColumn("_metadata").getField("file_path"), "/[^/]*$", "")
+    ours = (F.unix_micros("_processed_at") == stamp).alias("ours")
+    days = stored.select("region", folder.alias("folder"), ours).groupBy("region", "folder").agg(F.bool_or("ours").alias("ours"))
+    regions = days.groupBy(F.col("region").alias("_region")).agg(F.bool_or("ours").alias("_ours"))
+    both = days.join(regions, F.col("region").eqNullSafe(F.col("_region")))
+    stale = both.filter("_ours AND NOT ours").select("folder")
+    remove_folders(spark, [unquote(row["folder"]) for row in stale.collect()])
+
+
 def bronze_to_silver_reference(
     spark: SparkSession,
     bronze: str,
     silver: str,
     regions: Sequence[str] | None = None,
-    layout: str = "document",
+    layout: str = "auto",
     table: str | None = None,
 ) -> ReferenceRun:
-    """Flatten the newest good category file of every region and replace its rows."""
+    """Flatten the newest good landing of every region and replace its rows."""
     documents = read_reference_json(spark, bronze, regions, layout)
     return write_reference(documents, silver, table)
 
 
 def write_reference(documents: DataFrame, silver: str, table: str | None = None) -> ReferenceRun:
-    good, errors = split_quarantine(documents, require_items=True)
-    rows = good.transform(newest_file_per_region).transform(silver_reference)
+    """Replace the rows of every region with a good landing among ``documents``.
+
+    The parsed documents are staged once: the rows, the errors and the summaries come from the
+    staged table, so that a file is not parsed again for each of them.
+    """
+    parsed = materialize(documents, "reference-documents")
+    good, errors = split_quarantine(parsed, require_items=True)
+    rows = materialize(good.transform(newest_landing_per_region).transform(silver_reference), "reference-rows")
     write_partitions(rows, silver, table=table)
-    spark = documents.sparkSession
-    written = spark.read.schema(SILVER_REFERENCE).parquet(silver)
-    touched = good.select("region").distinct()
-    processed = run_summary(written.join(touched, "region", "left_semi"))
-    return ReferenceRun(processed=processed, errors=errors.select("_source_file", "error"))
+    return ReferenceRun(
+        processed=run_summary(rows),
+        errors=errors.select("_source_file", "region", "error"),
+        warnings=missing_fields(rows),
+    )

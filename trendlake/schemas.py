@@ -29,6 +29,9 @@ STATISTICS = _fields(
 # Landing time of the source document; orders duplicates, null for historic files.
 LANDED_AT = T.StructField("_landed_at", _TS, True)
 
+# Folders of the silver statistics, for batch and incremental runs alike.
+SILVER_PARTITIONS = ("region", "trending_date_parsed")
+
 SILVER_STATISTICS = T.StructType(
     STATISTICS.fields
     + _fields(
@@ -69,6 +72,7 @@ REFERENCE_DOCUMENT = _fields(
     ("id", _STR),
     ("snippet", REFERENCE_SNIPPET),
     ("items", T.ArrayType(REFERENCE_ITEM)),
+    ("_metadata", _fields(("run_id", _STR), ("region", _STR), ("timestamp", _STR), ("page", _LONG))),
 )
 
 SILVER_REFERENCE = _fields(
@@ -78,6 +82,7 @@ SILVER_REFERENCE = _fields(
     ("snippet_channel_id", _STR),
     ("snippet_title", _STR),
     ("snippet_assignable", _BOOL),
+    ("_extra", _STR),  # further fields of the item as one JSON object
     ("_ingestion_timestamp", _STR),
     ("_source_file", _STR),
     ("region", _STR),

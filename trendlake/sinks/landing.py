@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 
 from trendlake.functions import clock
 from trendlake.functions.cleaning import landing_region
+from trendlake.sources.files import LINES_FOLDER
 
 
-def landing_metadata(documents: DataFrame, landed_at: Column, count_items: bool = True) -> DataFrame:
+def landing_metadata(
+    documents: DataFrame, landed_at: Column, count_items: bool = True, page: Column | None = None
+) -> DataFrame:
     """Add ``_metadata`` (run, region, time, number of items) and the folder columns.
 
     ``documents`` has one response per row and its ``region``. Category responses carry
-    no item count.
+    no item count but the ``page`` that orders the responses of a region. The folder
+    ``layout=lines`` tells readers that the files hold an object per line.
     """
     region = landing_region(F.col("region"))
     entries = [
@@ -23,6 +27,8 @@ def landing_metadata(documents: DataFrame, landed_at: Column, count_items: bool
     ]
     if count_items:
         entries.append(F.coalesce(F.size("items"), F.lit(0)).cast("bigint").alias("video_count"))
+    if page is not None:
+        entries.append(page.cast("bigint").alias("page"))
     return documents.withColumns(
         {
             "_metadata": F.struct(*entries),
@@ -33,23 +39,36 @@ def landing_metadata(documents: DataFrame, landed_at: Column, count_items: bool
     )
 
 
+def _as_lines(landed: DataFrame) -> DataFrame:
+    name, value = LINES_FOLDER.split("=")
+    return landed.withColumn(name, F.lit(value))
+
+
 def land_raw_json(documents: DataFrame, root: str, landed_at: Column) -> None:
     """Append responses below ``root`` by region, date and hour, one object per line.
 
-    Many responses share a file, which later reads need (``layout="lines"``): one file
-    per response would be far too many small files. The rebalancing brings the responses
-    of a folder together before they are written.
+    Many responses share a file: one file per response would be far too many small files.
+    The rebalancing brings the responses of a folder together before they are written.
     """
     landed = landing_metadata(documents, landed_at).hint("rebalance", "region", "date", "hour")
-    landed.write.mode("append").partitionBy("region", "date", "hour").json(root)
+    _as_lines(landed).write.mode("append").partitionBy("region", "date", "hour", "layout").json(root)
 
 
-def land_reference_json(documents: DataFrame, root: str, landed_at: Column) -> None:
-    """Land category responses by region and date; a second run of a day replaces it."""
-    landed = landing_metadata(documents, landed_at, count_items=False).drop("hour")
+def land_reference_json(
+    documents: DataFrame, root: str, landed_at: Column, page: str | None = None
+) -> None:
+    """Land category responses by region and date; a second run of a day replaces it.
+
+    The responses of a region may be written by any number of tasks: readers take all files of
+    a landing as one, in the order of the column ``page``, which is kept in the metadata only. Name
+    it where an id can be in several responses.
+    """
+    extra = [] if page is None else [page]
+    landed = landing_metadata(documents, landed_at, count_items=False, page=None if page is None else F.col(page)).drop("hour", *extra)
     (
-        landed.write.mode("overwrite")
+        _as_lines(landed)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("region", "date")
+        .partitionBy("region", "date", "layout")
         .json(root)
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -13,9 +14,11 @@ from trendlake.functions.clock import subject_line
 from trendlake.operators.quality import failed_checks
 
 
-def write_dq_report(report: DataFrame, path: str) -> None:
-    """Append the report rows; a report has a few rows per table."""
-    report.write.mode("append").parquet(path)
+def write_dq_report(report: DataFrame, path: str, run_id: str | None = None) -> None:
+    """Append the report rows with the run they belong to; a report has a few rows per table."""
+    run = F.lit(run_id or uuid.uuid4().hex)
+    stamped = report.withColumns({"checked_at": F.current_timestamp(), "run_id": run})
+    stamped.write.mode("append").parquet(path)
 
 
 def failed_checks_json(report: DataFrame, title: str = "Data quality FAILED") -> DataFrame:
@@ -26,6 +29,11 @@ def failed_checks_json(report: DataFrame, title: str = "Data quality FAILED") ->
     )
 
 
+def write_failed_checks(report: DataFrame, path: str) -> None:
+    """Append the failed rows, as an alert needs them, one JSON object per line."""
+    failed_checks_json(report).write.mode("append").json(path)
+
+
 def run_summary(df: DataFrame, by: Sequence[str] = ("_source_file", "region")) -> DataFrame:
     """Rows per file and region."""
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
@@ -58,8 +66,8 @@ class RowMetrics:
     def new(cls, name: str) -> RowMetrics:
         return cls(Observation(name))
 
-    def watch(self, df: DataFrame, nulls: Sequence[str] = ()) -> DataFrame:
-        measures: list[Column] = [F.count(F.lit(1)).alias("rows")]
+    def watch(self, df: DataFrame, nulls: Sequence[str] = (), more: Sequence[Column] = ()) -> DataFrame:
+        measures: list[Column] = [F.count(F.lit(1)).alias("rows"), *more]
         measures += [F.count_if(F.col(name).isNull()).alias(f"null_{name}") for name in nulls]
         return df.observe(self.observation, *measures)
 

@@ -13,9 +13,12 @@ def write_partitions(
     partition_by: Sequence[str] = ("region",),
     table: str | None = None,
     rebalance: bool = True,
+    whole: bool = False,
 ) -> None:
     """Replace the partitions of ``path`` that occur in ``df``; leave the others alone.
 
+    With ``whole`` the table is replaced as a whole, so no partition of an earlier run stays.
+
     Running a job twice therefore gives the same table. ``rebalance`` lets adaptive
     execution shape the files: small partitions are joined, and a region with most of the
     rows is split over many tasks and files. Turn it off when ``df`` already arrives in
@@ -24,7 +27,7 @@ def write_partitions(
     shaped = df.hint("rebalance", *partition_by) if rebalance else df
     (
         shaped.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .option("compression", "snappy")
         .partitionBy(*partition_by)
         .parquet(path)

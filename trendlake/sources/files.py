@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendlake.functions.paths import decode_key, region_of_path
@@ -35,22 +37,64 @@ def source_columns(df: DataFrame) -> tuple[Column, Column, Column]:
     return path, metadata.getField("file_modification_time"), region_of_path(path)
 
 
-def json_reader(reader, schema: T.StructType, layout: str):
-    """Batch or streaming reader for JSON files of ``schema``, keeping broken text.
+# Folder that the landing step puts around files of one object per line.
+LINES_FOLDER = "layout=lines"
 
-    ``layout`` is ``document`` (one object per file) or ``lines`` (one object per line).
+# Between two objects: a brace, a line break, a brace. No JSON string holds a raw line break
+# and no JSON value two objects without a comma, so this can only part documents.
+_BETWEEN = r"(?<=\})[ \t\r]*\n\s*(?=\{)"
+_STRINGS = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+
+
+def json_texts(reader, root: str, layout: str = "auto", pattern: str = "*.json") -> DataFrame:
+    """One row per JSON document below ``root``: ``value``, ``_line`` and the source columns.
+
+    ``auto`` reads files below a folder ``layout=lines``, which the landing step writes, line by
+    line, so that large ones are split, and all other files whole. A whole file may hold
+    several objects as well, each beginning on a line of its own: all of them are returned, with
+    their place in the file as ``_line``. ``lines`` and ``document`` read every file in one way.
+    ``reader`` is a batch or a streaming reader.
+    """
+    if layout not in ("auto", "document", "lines"):
+        raise ValueError(f"layout must be 'auto', 'document' or 'lines', not {layout!r}")
+    reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    frames = []
+    if layout != "document":
+        lines = _texts(reader.text(root, wholetext=False), True if layout == "auto" else None)
+        frames.append(lines.select("value", F.lit(0).alias("_line"), *_SOURCE_COLUMNS))
+    if layout != "lines":
+        whole = _texts(reader.text(root, wholetext=True), False if layout == "auto" else None)
+        pieces = F.posexplode(F.split("value", _BETWEEN)).alias("_line", "value")
+        frames.append(whole.select(pieces, *_SOURCE_COLUMNS).select("value", "_line", *_SOURCE_COLUMNS))
+    return reduce(DataFrame.unionByName, frames).filter(F.trim(F.col("value")) != "")
+
+
+_SOURCE_COLUMNS = ("_source_file", "_modified_at", "_folder")
+
+
+def _texts(texts: DataFrame, in_lines_folder: bool | None) -> DataFrame:
+    """Texts with their source; with a choice of folder, files of the other kind are not opened."""
+    if in_lines_folder is not None:
+        inside = texts.metadataColumn("_metadata").getField("file_path").contains(f"/{LINES_FOLDER}/")
+        texts = texts.filter(inside if in_lines_folder else ~inside)
+    path, modified, region = source_columns(texts)
+    return texts.select("value", path.alias("_source_file"), modified.alias("_modified_at"), region.alias("_folder"))
+
+
+def parse_documents(texts: DataFrame, schema: T.StructType) -> DataFrame:
+    """The fields of ``schema`` beside the columns of ``texts``; broken text in ``_corrupt_record``.
+
+    Broken is what does not parse, and also text that goes on after its first object: a parser
+    stops there and the rest would be lost unseen.
     """
-    if layout not in ("document", "lines"):
-        raise ValueError(f"layout must be 'document' or 'lines', not {layout!r}")
     kept = T.StructType([*schema.fields, T.StructField(CORRUPT_COLUMN, T.StringType(), True)])
-    return (
-        reader.schema(kept)
-        .option("multiLine", layout == "document")
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
-    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    parsed = texts.withColumn("_json", F.from_json("value", kept, options))
+    text = F.btrim(F.col("value"), F.lit(" \t\r\n"))
+    goes_on = ~text.endswith("}") | F.regexp_replace(text, _STRINGS, "").rlike(r"\}\s*\{")
+    corrupt = F.coalesce(F.col(f"_json.{CORRUPT_COLUMN}"), F.when(F.col("_json").isNull() | goes_on, F.col("value")))
+    fields = [F.col(f"_json.{name}").alias(name) for name in schema.names]
+    return parsed.select(*fields, corrupt.alias(CORRUPT_COLUMN), *texts.columns)
 
 
 def is_absent(error: AnalysisException) -> bool:

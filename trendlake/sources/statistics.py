@@ -11,17 +11,18 @@ from pyspark.sql import types as T
 from trendlake import schemas
 from trendlake.config import UNKNOWN_REGION
 from trendlake.functions.clock import instant
-from trendlake.sources.files import json_reader, region_folders, source_columns
+from trendlake.sources.files import json_texts, parse_documents, region_folders, source_columns
 
 
 def read_stats_csv(
     spark: SparkSession,
-    root: str,
+    root: str | list[str],
     regions: Sequence[str] | None = None,
     columns: Sequence[str] | None = None,
     multi_line: bool = True,
 ) -> DataFrame:
-    """Rows of all CSV files below ``root`` as text, with ``region`` from the folder.
+    """Rows of all CSV files below ``root``, or of the files it lists, as text, with ``region``
+    from the folder.
 
     Columns are matched by header name; a file whose header differs from the first one
     fails the read instead of shifting its values (read such regions one by one).
@@ -39,7 +40,7 @@ def read_stats_csv(
     )
     if columns is not None:
         reader = reader.schema(T.StructType([T.StructField(name, T.StringType()) for name in columns]))
-    rows = reader.csv(region_folders(root, regions))
+    rows = reader.csv(region_folders(root, regions) if isinstance(root, str) else root)
     _, _, region = source_columns(rows)
     return rows.withColumn("region", region)
 
@@ -48,32 +49,31 @@ def read_stats_api_json(
     spark: SparkSession,
     root: str,
     regions: Sequence[str] | None = None,
-    layout: str = "document",
+    layout: str = "auto",
 ) -> DataFrame:
-    """One row per API response below ``root``.
+    """One row per API response below ``root``, whichever way its file is laid out.
 
-    ``layout`` is ``document`` for one, possibly indented, object per file and ``lines``
-    for one object per line, the form :mod:`trendlake.sinks.landing` writes. A file of
-    lines must not be read as a document: only its first object would be seen.
-    Broken input keeps its text in ``_corrupt_record``.
+    See :func:`trendlake.sources.files.json_texts` for ``layout``. Broken input keeps its text
+    in ``_corrupt_record``.
     """
-    documents = json_reader(spark.read, schemas.API_DOCUMENT, layout).json(region_folders(root, regions))
-    return with_document_source(documents)
+    return api_documents(json_texts(spark.read, region_folders(root, regions), layout))
 
 
-def with_document_source(documents: DataFrame) -> DataFrame:
-    """Add ``_source_file``, ``region`` and ``_landed_at`` to API documents.
+def api_documents(texts: DataFrame) -> DataFrame:
+    """API responses with ``_source_file``, ``region`` and ``_landed_at``.
 
     The folder names the region; a document outside such a folder names it itself. A
     document without a landing time counts as landed when its file was written.
     """
-    path, modified, folder = source_columns(documents)
+    documents = parse_documents(texts, schemas.API_DOCUMENT)
+    folder = F.col("_folder")
     region = F.when(folder == UNKNOWN_REGION, F.coalesce(F.col("_metadata.region"), folder)).otherwise(folder)
     return documents.select(
-        *documents.columns,
-        path.alias("_source_file"),
+        *schemas.API_DOCUMENT.names,
+        schemas.CORRUPT_COLUMN,
+        "_source_file",
         region.alias("region"),
-        F.coalesce(instant(F.col("_metadata.timestamp")), modified).alias("_landed_at"),
+        F.coalesce(instant(F.col("_metadata.timestamp")), F.col("_modified_at")).alias("_landed_at"),
     )
 
 

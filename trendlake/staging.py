@@ -8,9 +8,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Folders staged inside the cleared_staging blocks that are open now, innermost last.
+_open: list[list[str]] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder of the session; a temporary one only for a local master."""
@@ -37,5 +42,30 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written rows."""
     spark = df.sparkSession
     folder = new_folder(spark, label)
+    if _open:
+        _open[-1].append(folder)
     df.write.mode("errorifexists").parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+@contextmanager
+def cleared_staging(spark: SparkSession) -> Iterator[None]:
+    """Remove what is materialized inside the block when it ends, whether well or not.
+
+    A job writes its results inside the block, so nothing reads the tables afterwards.
+    """
+    folders: list[str] = []
+    _open.append(folders)
+    try:
+        yield
+    finally:
+        _open.remove(folders)
+        remove_folders(spark, folders)
+
+
+def remove_folders(spark: SparkSession, folders: list[str]) -> None:
+    """Delete folders of any file system Spark can reach."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)

@@ -11,6 +11,7 @@ from trendlake.config import REFERENCE_TABLE, STATISTICS_TABLE, QualityRules
 from trendlake.operators import enrich, quality, rollups
 from trendlake.operators.ranking import rank_in_group
 from trendlake.plans.gold import silver_to_gold as run_gold
+from trendlake.plans.gold import staged_base
 from trendlake.plans.medallion import run_all as run_medallion
 from trendlake.sinks.landing import land_reference_json
 from trendlake.sinks.reports import failed_checks_json
@@ -38,6 +39,12 @@ def enriched_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.enrich_category(silver_frame(spark, sf_dir), inputs.reference_rows(spark, sf_dir))
 
 
+def based(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The statistics and their staged base with category names, as the gold job has them."""
+    silver = silver_frame(spark, sf_dir)
+    return silver, staged_base(silver, inputs.reference_rows(spark, sf_dir))
+
+
 def _joined_text(channels: DataFrame) -> DataFrame:
     return channels.withColumn("categories", F.array_join("categories", ","))
 
@@ -72,17 +79,17 @@ def optional_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_(SILVER, TRENDING.format(source="silver")))
 def trending_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.trending_analytics(silver_frame(spark, sf_dir))
+    return rollups.trending_analytics(*based(spark, sf_dir))
 
 
 @query(with_(ENRICHED, CHANNEL.format(source="enriched")))
 def channel_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _joined_text(rollups.channel_analytics(enriched_frame(spark, sf_dir)))
+    return _joined_text(rollups.channel_analytics(*based(spark, sf_dir)))
 
 
 @query(with_(ENRICHED, CATEGORY.format(source="enriched")))
 def category_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.category_analytics(enriched_frame(spark, sf_dir))
+    return rollups.category_analytics(*based(spark, sf_dir))
 
 
 @query(
@@ -316,59 +323,101 @@ def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, opened)
 
 
-def _gold_summary(spark: SparkSession, gold: str) -> DataFrame:
-    def counted(name: str, views: str) -> DataFrame:
-        table = spark.read.schema(rollups.GOLD_TABLES[name][1]).parquet(f"{gold}/{name}")
-        return table.groupBy("region").agg(
-            F.lit(name).alias("table_name"),
-            F.count(F.lit(1)).alias("rows"),
-            F.sum(views).alias("views"),
-            F.count("_aggregated_at").alias("stamped"),
-        )
-
-    return reduce(DataFrame.unionByName, (counted(name, "total_views") for name in rollups.GOLD_TABLES))
+def _gold_rows(spark: SparkSession, gold: str) -> DataFrame:
+    """All rows of the three gold tables with all their columns."""
 
+    def rows(name: str) -> DataFrame:
+        frame = spark.read.schema(rollups.GOLD_TABLES[name][1]).parquet(f"{gold}/{name}")
+        frame = frame.withColumn("stamped", F.col("_aggregated_at").isNotNull()).drop("_aggregated_at")
+        return frame.withColumn("table_name", F.lit(name))
 
-_GOLD_SUMMARY = """
-trending AS ({trending}), channel AS ({channel}), category AS ({category})
-SELECT region, 'trending_analytics' AS table_name, count(*) AS rows,
-       CAST(sum(total_views) AS BIGINT) AS views, count(*) AS stamped FROM trending GROUP BY region
-UNION ALL SELECT region, 'channel_analytics', count(*), CAST(sum(total_views) AS BIGINT), count(*)
-FROM channel GROUP BY region
-UNION ALL SELECT region, 'category_analytics', count(*), CAST(sum(total_views) AS BIGINT), count(*)
-FROM category GROUP BY region"""
+    channels = _joined_text(rows("channel_analytics"))
+    frames = (rows("trending_analytics"), channels, rows("category_analytics"))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def _gold_sql(ctes: str, source: str) -> str:
-    parts = {
-        "trending": TRENDING.format(source=source),
-        "channel": CHANNEL.format(source=source),
-        "category": CATEGORY.format(source=source),
-    }
-    return f"WITH {ctes.strip()},{_GOLD_SUMMARY.format(**parts)}"
+    parts = {"trending": TRENDING, "channel": CHANNEL, "category": CATEGORY}
+    bodies = " UNION ALL BY NAME ".join(
+        f"SELECT *, true AS stamped, '{name}_analytics' AS table_name FROM ({sql.format(source=source)})"
+        for name, sql in parts.items()
+    )
+    return f"WITH {ctes.strip()}\n{bodies}"
 
 
 @query(_gold_sql(ENRICHED, "enriched"))
 def silver_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The gold job: three tables written by region, then read back and counted."""
+    """The gold job: three tables replaced as a whole, then read back with every row.
+
+    A first run over one region only leaves nothing behind.
+    """
     gold = new_folder(spark, "gold")
     silver = materialize(silver_frame(spark, sf_dir), "silver")
+    other = silver.filter(F.col("region") == "asia").withColumn("region", F.lit("gone"))
+    run_gold(other, lambda: inputs.reference_rows(spark, sf_dir), gold)
     run_gold(silver, lambda: inputs.reference_rows(spark, sf_dir), gold)
-    return _gold_summary(spark, gold)
+    return _gold_rows(spark, gold)
+
+
+# In one run all reference rows are ingested at the same time: the greatest name of an id counts.
+_LANDED_LOOKUP = f"""{REFERENCE},
+last_names AS (
+    SELECT region, id, arg_max(snippet_title, position) AS snippet_title FROM reference GROUP BY region, id
+),
+lookup AS (
+    SELECT CAST(id AS BIGINT) AS category_id, max(snippet_title) AS category_name FROM last_names GROUP BY id
+)"""
+
+_NAMED = f"""{SILVER_OF_TEXT},{_LANDED_LOOKUP},
+named AS (
+    SELECT silver.*, coalesce(category_name, 'Unknown') AS category_name
+    FROM silver LEFT JOIN lookup ON silver.category_id = lookup.category_id
+)"""
 
 
-_NAMED = f"""{SILVER_OF_TEXT},
-named AS (SELECT *, CASE WHEN category_id < 20 THEN 'known' ELSE 'Unknown' END AS category_name FROM silver)"""
+def _landed(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, str]:
+    """Fresh folders, with the statistics as CSV in that of the first name."""
+    folders = {name: new_folder(spark, f"all-{name}") for name in names}
+    _write_csv(inputs.bronze_files(inputs.bronze_statistics(spark, sf_dir)), folders[names[0]])
+    return folders
 
 
 @query(_gold_sql(_NAMED, "named"))
 def run_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files to gold through the quality gate."""
-    folders = {name: new_folder(spark, f"all-{name}") for name in ("stats", "reference", "silver", "gold")}
-    _write_csv(inputs.bronze_files(inputs.bronze_statistics(spark, sf_dir)), folders["stats"])
-    documents = inputs.reference_documents(spark, sf_dir).select("region", "kind", "etag", "items")
-    land_reference_json(documents, folders["reference"], F.timestamp_seconds(F.lit(inputs.REFERENCE_EPOCH)))
-    run_medallion(
-        spark, folders["stats"], folders["reference"], folders["silver"], folders["gold"], layout="lines"
-    )
-    return _gold_summary(spark, folders["gold"])
+    """Files to gold through the quality gate, with the names of the landed reference data."""
+    folders = _landed(spark, sf_dir, "stats", "reference", "silver", "gold")
+    documents = inputs.reference_documents(spark, sf_dir)
+    landed_at = F.timestamp_seconds(F.lit(inputs.REFERENCE_EPOCH))
+    land_reference_json(documents, folders["reference"], landed_at, "page")
+    run_medallion(spark, folders["stats"], folders["reference"], folders["silver"], folders["gold"])
+    return _gold_rows(spark, folders["gold"])
+
+
+_UNNAMED = f"""{SILVER_OF_TEXT},
+named AS (SELECT silver.*, 'Unknown' AS category_name FROM silver)"""
+
+
+@query(_gold_sql(_UNNAMED, "named"))
+def run_all_without_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without any reference folder: the run goes on and every category is unknown."""
+    folders = _landed(spark, sf_dir, "stats", "silver", "gold")
+    run_medallion(spark, folders["stats"], new_folder(spark, "no-reference"), folders["silver"], folders["gold"])
+    return _gold_rows(spark, folders["gold"])
+
+
+@query(
+    f"""SELECT 'read_table' AS check_name, 'broken' AS table_name, false AS passed, NULL::DOUBLE AS value
+        UNION ALL SELECT 'row_count', 'lineitem', count(*) >= 10, count(*)::DOUBLE FROM lineitem
+        UNION ALL SELECT 'schema', 'lineitem', true, NULL
+        UNION ALL SELECT 'freshness', 'lineitem', true, NULL"""
+)
+def check_readable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose files are unreadable is a failed row; the other table is checked all the same."""
+    broken = new_folder(spark, "broken")
+    inputs.table(spark, sf_dir, "region").write.option("compression", "none").csv(broken)
+    tables = {
+        "broken": lambda: spark.read.schema("n bigint").option("pathGlobFilter", "*.csv").parquet(broken),
+        "lineitem": lambda: inputs.table(spark, sf_dir, "lineitem"),
+    }
+    report = quality.run_checks(spark, tables, QualityRules())
+    return report.select(F.col("check").alias("check_name"), F.col("table").alias("table_name"), "passed", "value")

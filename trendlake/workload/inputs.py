@@ -46,7 +46,8 @@ def bronze_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("trending_date"),
         F.col("p_name").alias("title"),
         F.col("s_name").alias("channel_title"),
-        F.col("s_nationkey").cast("bigint").alias("category_id"),
+        # Every eleventh category is not in the reference data.
+        F.when(F.col("l_partkey") % 11 == 5, F.col("s_nationkey") + 100).otherwise(F.col("s_nationkey")).cast("bigint").alias("category_id"),
         F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".000Z")).alias("publish_time"),
         F.floor(price).cast("bigint").alias("views"),
         F.when(F.col("l_linenumber") != 7, F.floor(price * F.col("l_discount")).cast("bigint")).alias("likes"),
@@ -82,7 +83,7 @@ def reference_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = table(spark, sf_dir, "customer").join(
         table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    return named.filter(F.col("n_nationkey") < 20).select(
+    return named.select(
         F.col("n_nationkey").cast("string").alias("id"),
         F.concat_ws(" ", "n_name", "c_mktsegment").alias("snippet_title"),
         iso_text(F.timestamp_seconds(F.col("c_custkey") + REFERENCE_EPOCH)).alias("_ingestion_timestamp"),
@@ -122,15 +123,16 @@ def event_number() -> Column:
     return F.get_json_object("props", "$.k").cast("bigint")
 
 
-def api_items(events: DataFrame) -> DataFrame:
-    """One response item per event."""
+def api_items(events: DataFrame, unique: bool = False) -> DataFrame:
+    """One response item per event; with ``unique`` each has an id of its own."""
     k, text = event_number(), lambda c: c.cast("string")
+    video = F.col("event_id") if unique else F.col("user_id")
     return events.select(
         "event_id",
         "event_type",
         "ts",
         F.struct(
-            F.concat(F.lit("v"), F.col("user_id")).alias("id"),
+            F.concat(F.lit("v"), video).alias("id"),
             F.struct(
                 F.col("event_type").alias("title"),
                 F.concat(F.lit("u"), F.col("user_id") % 10).alias("channelTitle"),
@@ -146,12 +148,12 @@ def api_items(events: DataFrame) -> DataFrame:
     )
 
 
-def api_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def api_documents(spark: SparkSession, sf_dir: str, unique: bool = False) -> DataFrame:
     """Responses of at most 50 items: one per event type, day and page of event ids.
 
     The page bounds every document, however many events a type has.
     """
-    items = api_items(table(spark, sf_dir, "events"))
+    items = api_items(table(spark, sf_dir, "events"), unique)
     keys = (
         F.col("event_type").alias("region"),
         F.to_date("ts").alias("day"),

@@ -19,7 +19,7 @@ bronze AS (
              ELSE strftime(m, '%y.%d.%m') END AS trending_date,
         p_name AS title,
         s_name AS channel_title,
-        CAST(s_nationkey AS BIGINT) AS category_id,
+        CAST(CASE WHEN l_partkey % 11 = 5 THEN s_nationkey + 100 ELSE s_nationkey END AS BIGINT) AS category_id,
         strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '.000Z' AS publish_time,
         CAST(floor(l_extendedprice) AS BIGINT) AS views,
         CASE WHEN l_linenumber <> 7 THEN CAST(floor(l_extendedprice * l_discount) AS BIGINT) END AS likes,
@@ -93,7 +93,6 @@ reference AS (
            lower(c_mktsegment) AS region,
            c_custkey AS position
     FROM customer JOIN nation ON c_nationkey = n_nationkey
-    WHERE n_nationkey < 20
 )"""
 
 LOOKUP = r"""

@@ -74,7 +74,7 @@ def distinct_keep_last(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def silver_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents exploded, flattened, and the last item of an id kept in each."""
-    return ref.silver_reference(_documents(spark, sf_dir)).drop("_ingestion_timestamp")
+    return ref.silver_reference(_documents(spark, sf_dir)).drop("_ingestion_timestamp", "_extra")
 
 
 @query(
@@ -86,12 +86,14 @@ def silver_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def newest_file_per_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest = ref.newest_file_per_region(_documents(spark, sf_dir))
-    return ref.silver_reference(newest).drop("_ingestion_timestamp", "_source_file")
+    return ref.silver_reference(newest).drop("_ingestion_timestamp", "_source_file", "_extra")
 
 
-def _land(spark: SparkSession, documents: DataFrame, folder: str, day: int) -> None:
-    landed = documents.select("region", "kind", "etag", "items")
-    land_reference_json(landed, folder, F.timestamp_seconds(F.lit(inputs.REFERENCE_EPOCH + day * 86_400)))
+def _land(spark: SparkSession, documents: DataFrame, folder: str, day: int, tasks: int = 40) -> None:
+    """Land the documents with so many tasks, each writing files of its own."""
+    landed = documents.select("region", "kind", "etag", "items", "page").repartition(tasks)
+    at = F.timestamp_seconds(F.lit(inputs.REFERENCE_EPOCH + day * 86_400))
+    land_reference_json(landed, folder, at, "page")
 
 
 @query(
@@ -105,7 +107,7 @@ def read_reference_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents landed as files, read back and exploded; nothing is removed yet."""
     folder = new_folder(spark, "reference-files")
     _land(spark, _documents(spark, sf_dir), folder, 0)
-    items = ref.explode_reference_items(read_documents(spark, folder, layout="lines"))
+    items = ref.explode_reference_items(read_documents(spark, folder))
     return items.select(
         "region",
         "id",
@@ -115,57 +117,64 @@ def read_reference_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_NEWEST = with_(
-    f"""{_LAST_PER_PAGE},
-    newest AS (SELECT region, max(page) AS page FROM items GROUP BY region)""",
-    f"SELECT {_SILVER_COLUMNS} FROM unique_items SEMI JOIN newest USING (region, page)",
+# A landing is a whole: the last item of an id, by page and place, over all pages of a region.
+_LANDED = with_(
+    f"""{REFERENCE},
+    unique_items AS (
+        SELECT * FROM (
+            SELECT *, row_number() OVER (PARTITION BY region, id ORDER BY position DESC) AS place FROM reference)
+        WHERE place = 1
+    )""",
+    f"SELECT {_SILVER_COLUMNS} FROM unique_items",
 )
 
 
 def _silver_rows(spark: SparkSession, folder: str) -> DataFrame:
     table = spark.read.schema(schemas.SILVER_REFERENCE).parquet(folder)
-    return table.drop("_ingestion_timestamp", "_source_file")
+    return table.drop("_ingestion_timestamp", "_source_file", "_extra")
 
 
-@query(_NEWEST)
+@query(_LANDED)
 def bronze_to_silver_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole job on files: the newest document of each region, written by region."""
+    """The whole job on files: an older landing, then all pages landed by forty tasks."""
     bronze, target = new_folder(spark, "reference-bronze"), new_folder(spark, "reference-silver")
-    _land(spark, ref.newest_file_per_region(_documents(spark, sf_dir)), bronze, 0)
-    run_reference(spark, bronze, target, layout="lines")
+    documents = _documents(spark, sf_dir)
+    _land(spark, documents.withColumn("items", F.transform("items", lambda i: i.withField("id", F.lit("old")))), bronze, 0)
+    _land(spark, documents, bronze, 1)
+    run_reference(spark, bronze, target)
     return _silver_rows(spark, target)
 
 
-@query(_NEWEST)
+@query(_LANDED)
 def incremental_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Older documents first, then the newest as new files, which replace their regions."""
+    """All pages of an older landing first, then a newer landing, which replaces the regions."""
     bronze, target, progress = (new_folder(spark, f"reference-{x}") for x in ("drops", "store", "progress"))
     documents = _documents(spark, sf_dir)
-    oldest = documents.withColumn("_modified_at", F.timestamp_seconds(-F.col("page")))
-    for day, drop in enumerate((oldest, documents)):
-        _land(spark, ref.newest_file_per_region(drop), bronze, day)
-        run_new_reference(spark, bronze, target, progress, layout="lines")
+    older = documents.withColumn("items", F.transform("items", lambda i: i.withField("id", F.concat(F.lit("x"), i.id))))
+    for day, drop in enumerate((older, documents)):
+        _land(spark, drop, bronze, day)
+        run_new_reference(spark, bronze, target, progress)
     return _silver_rows(spark, target)
 
 
 @query(
     with_(
         REFERENCE,
-        """SELECT region, count(*) AS rows, max(snippet_title) AS last_title FROM reference
-           WHERE CASE WHEN region < 'c' THEN position % 2 = 1 ELSE position % 2 = 0 END GROUP BY region""",
+        """SELECT region, id, snippet_title, position,
+                  CASE WHEN region < 'c' THEN '{"grade":"' || position % 7 || '"}' END AS extra
+           FROM reference WHERE region >= 'c' OR position % 2 = 1""",
     )
 )
 def overwrite_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Even rows of all regions first; then odd rows of some regions replace those regions."""
+    """All rows of all regions first; then some regions are replaced by odd rows with a new column."""
     folder = new_folder(spark, "overwrite")
     rows = inputs.reference_rows(spark, sf_dir)
-    even = F.col("position") % 2 == 0
-    write_partitions(rows.filter(even), folder)
-    write_partitions(rows.filter(~even & (F.col("region") < "c")).withColumn("note", F.lit("new")), folder)
+    write_partitions(rows, folder)
+    item = F.to_json(F.struct("id", (F.col("position") % 7).cast("string").alias("grade")))
+    odd = rows.filter((F.col("region") < "c") & (F.col("position") % 2 == 1))
+    write_partitions(odd.withColumn("extra", ref.extra_fields(item)), folder)
     table = read_table(spark, path=folder, merge_schema=True)
-    return table.groupBy("region").agg(
-        F.count(F.lit(1)).alias("rows"), F.max("snippet_title").alias("last_title")
-    )
+    return table.select("region", "id", "snippet_title", "position", "extra")
 
 
 @query(

@@ -6,24 +6,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trendlake import schemas
+from trendlake.config import STATISTICS_TABLE, QualityRules
 from trendlake.functions import cleaning, clock
 from trendlake.functions.columns import flatten_struct
 from trendlake.functions.paths import decode_key, region_of_path
 from trendlake.operators import clean, normalize
+from trendlake.operators.quality import evaluate, row_count_check, value_range_check
 from trendlake.operators.quality import null_counts as count_nulls
+from trendlake.plans.silver import STORE_SCHEMA
 from trendlake.plans.silver import bronze_to_silver_statistics as run_statistics
 from trendlake.sinks.landing import land_raw_json, landing_metadata as add_metadata
 from trendlake.sinks.reports import region_outcomes as outcomes
 from trendlake.sinks.reports import run_summary as summarize
 from trendlake.sinks.tables import write_partitions
 from trendlake.sources.quarantine import split_quarantine
-from trendlake.sources.statistics import explode_items
+from trendlake.sources.files import json_texts
+from trendlake.sources.statistics import api_documents, explode_items
 from trendlake.sources.statistics import read_stats_api_json as read_api
 from trendlake.sources.statistics import read_stats_csv as read_csv
-from trendlake.sources.tables import read_table, sample_scan as sample
+from trendlake.sources.tables import read_table
 from trendlake.sources.tables import region_pruned_scan as prune
 from trendlake.staging import new_folder
-from trendlake.streaming.incremental import STORE_SCHEMA
 from trendlake.streaming.incremental import incremental_statistics as run_new_statistics
 from trendlake.workload import inputs
 from trendlake.workload.oracle_ctes import (
@@ -145,11 +148,33 @@ def region_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prune(table, ["asia", "europe"]).select("video_id", "region", "views")
 
 
-@query("SELECT count(*) AS sampled_rows FROM (SELECT * FROM lineitem LIMIT 10000)")
+@query(
+    """SELECT 'value_range' AS check_name, count(*) AS rows, count(*) FILTER (l_orderkey > 1000) AS negative_count,
+              count(*) FILTER (l_orderkey > 1000) = 0 AS passed
+       FROM lineitem"""
+)
 def sample_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The optional row limit of the checks, here at the size they use."""
-    rows = sample(inputs.table(spark, sf_dir, "lineitem"), 10_000)
-    return rows.agg(F.count(F.lit(1)).alias("sampled_rows"))
+    """The checks look at the whole table: all rows are counted, whatever their place in it.
+
+    The first orders are fine and all later ones negative, which a look at some rows could miss.
+    """
+    rows = inputs.table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_orderkey") > 1000, F.lit(-1)).otherwise(F.lit(1)).cast("bigint").alias("views")
+    )
+    report = evaluate(
+        rows,
+        [
+            *value_range_check(rows, STATISTICS_TABLE, QualityRules()),
+            *row_count_check(rows, STATISTICS_TABLE, QualityRules()),
+        ],
+    )
+    ranged = F.col("check") == "value_range"
+    return report.agg(
+        F.lit("value_range").alias("check_name"),
+        F.max("value").cast("bigint").alias("rows"),
+        F.max("negative_count").alias("negative_count"),
+        F.bool_and(F.when(ranged, F.col("passed"))).alias("passed"),
+    )
 
 
 @query(
@@ -208,9 +233,19 @@ def landing_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_(API, f"SELECT {TEN} FROM api"))
 def read_stats_api_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses landed as files, read back, exploded and projected."""
-    good, _ = split_quarantine(read_api(spark, _land_documents(spark, sf_dir, "api"), layout="lines"))
-    return normalize.project_api(explode_items(good))
+    """Responses landed as lines, and others as whole files of several objects, below one root."""
+    folder = new_folder(spark, "api")
+    documents = inputs.api_documents(spark, sf_dir).withColumn("landed_at", F.date_trunc("day", "landed_at"))
+    as_lines = F.col("page") % 2 == 0
+    land_raw_json(documents.filter(as_lines).drop("page"), folder, F.col("landed_at"))
+    others = add_metadata(documents.filter(~as_lines), F.col("landed_at"))
+    text = F.to_json(F.struct("items", "_metadata"), {"pretty": "true"})
+    files = others.select("region", "date", text.alias("value"))
+    files.write.mode("append").partitionBy("region", "date").text(folder)
+    good, _ = split_quarantine(read_api(spark, folder))
+    texts = json_texts(spark.read, folder, "document", "*.txt")
+    more, _ = split_quarantine(api_documents(texts))
+    return normalize.project_api(explode_items(good.unionByName(more)))
 
 
 @query(
@@ -245,7 +280,7 @@ def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
         "region",
     )
     lines.write.partitionBy("region").option("compression", "none").text(folder)
-    raw = read_text_documents(spark, folder)
+    raw = api_documents(json_texts(spark.read, folder, "lines", "*.txt"))
     good, bad = split_quarantine(raw.withColumn("size", F.size("items")))
     kept = good.groupBy("region").agg(
         F.sum("size").cast("bigint").alias("items"), F.count(F.lit(1)).alias("documents")
@@ -259,15 +294,6 @@ def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.withColumn("outcome", F.lit("good")).select(columns).unionByName(lost.select(columns))
 
 
-def read_text_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """JSON lines that were written as text, so without the usual file ending."""
-    from trendlake.sources.files import json_reader
-    from trendlake.sources.statistics import with_document_source
-
-    reader = json_reader(spark.read, schemas.API_DOCUMENT, "lines").option("pathGlobFilter", "*.txt")
-    return with_document_source(reader.json(folder))
-
-
 @query(
     """SELECT lower(r_name) AS region, count(*) AS files
        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
@@ -291,13 +317,24 @@ def region_from_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy(region_of_path(key).alias("region")).agg(F.count(F.lit(1)).alias("files"))
 
 
-@query(with_(SILVER, f"SELECT {', '.join(SILVER_COLUMNS)} FROM silver"))
+@query(
+    with_(
+        SILVER,
+        f"""SELECT * REPLACE (CASE WHEN region < 'asia' THEN views + 1 ELSE views END AS views)
+            FROM (SELECT {', '.join(SILVER_COLUMNS)} FROM silver)
+            WHERE NOT (region < 'asia' AND views % 2 = 0)""",
+    )
+)
 def write_read_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The silver table written by region; a second run over two regions replaces those."""
+    """The silver table written by region; a second run replaces two regions by other rows.
+
+    In those the even rows are gone and the odd ones changed; the other regions stay.
+    """
     folder = new_folder(spark, "roundtrip")
-    frame = silver_frame(spark, sf_dir)
-    write_partitions(frame, folder)
-    write_partitions(read_table(spark, path=folder).filter(F.col("region") < "am"), folder)
+    write_partitions(silver_frame(spark, sf_dir), folder)
+    first = read_table(spark, path=folder)
+    again = first.filter((F.col("region") < "asia") & (F.col("views") % 2 != 0))
+    write_partitions(again.withColumn("views", F.col("views") + 1), folder)
     return read_table(spark, path=folder, schema=schemas.SILVER_STATISTICS).select(*SILVER_COLUMNS)
 
 
@@ -376,7 +413,7 @@ def bronze_to_silver_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job on files: CSV history beside landed documents, of mixed folder depth."""
     bronze, target = _land_documents(spark, sf_dir, "bronze"), new_folder(spark, "silver")
     _write_csv(inputs.bronze_files(inputs.bronze_statistics(spark, sf_dir)), bronze, "append")
-    run_statistics(spark, bronze, target, layout="lines")
+    run_statistics(spark, bronze, target)
     return read_table(spark, path=target, schema=schemas.SILVER_STATISTICS).select(*SILVER_COLUMNS)
 
 
@@ -390,6 +427,72 @@ def incremental_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.bronze_files(inputs.bronze_statistics(spark, sf_dir))
     late = (F.col("title") >= "m") & (F.col("publish_time") >= "2001-03")
     for drop in (rows.filter(~late), rows.filter(late)):
-        _write_csv(drop, bronze, "append")
+        _write_csv(with_more_columns(drop), bronze, "append")
         run_new_statistics(spark, bronze, store, checkpoint, source="csv")
     return spark.read.schema(STORE_SCHEMA).parquet(store).select(*SILVER_COLUMNS)
+
+
+def with_more_columns(rows: DataFrame) -> DataFrame:
+    """Columns as historic files have them, among those the statistics need."""
+    first, *others = [c for c in rows.columns if c != "region"]
+    return rows.select(first, F.lit("x|y").alias("tags"), *others, F.lit("0").alias("dislikes"), "region")
+
+
+@query(with_(_BOTH, f"SELECT {', '.join(SILVER_COLUMNS)} FROM silver"))
+def batch_then_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job over the CSV history, then landed documents merged into the same table."""
+    csv, store, checkpoint = (new_folder(spark, label) for label in ("history", "store", "progress"))
+    _write_csv(inputs.bronze_files(inputs.bronze_statistics(spark, sf_dir)), csv)
+    run_statistics(spark, csv, store)
+    run_new_statistics(spark, _land_documents(spark, sf_dir, "landed"), store, checkpoint)
+    return spark.read.schema(STORE_SCHEMA).parquet(store).select(*SILVER_COLUMNS)
+
+
+@query(
+    """SELECT event_type AS region, event_id // 50 % 7 = 3 AS broken, count(*) AS items,
+              CASE WHEN event_id // 50 % 7 = 3 THEN 'malformed JSON' END AS error,
+              CASE WHEN event_id // 50 % 7 = 3 THEN count(DISTINCT (CAST(ts AS DATE), event_id // 50)) END AS documents
+       FROM events GROUP BY 1, 2, 4"""
+)
+def statistics_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Broken documents beside good ones: the good rows are written, the others reported.
+
+    Every item is a day and id of its own here, so that no row is lost to deduplication.
+    """
+    folder, store = new_folder(spark, "broken"), new_folder(spark, "silver")
+    documents = inputs.api_documents(spark, sf_dir, unique=True)
+    broken = F.col("page") % 7 == 3
+    documents.filter(~broken).select("items", "region").write.partitionBy("region").json(folder)
+    cut = documents.filter(broken).select(F.lit("cut short").alias("items"), "region")
+    cut.write.mode("append").partitionBy("region").json(folder)
+    done = run_statistics(spark, folder, store)
+    kept = spark.read.schema(STORE_SCHEMA).parquet(store).groupBy("region").agg(F.count(F.lit(1)).alias("items"))
+    sizes = documents.filter(broken).groupBy("region").agg(F.sum(F.size("items")).cast("bigint").alias("items"))
+    errors = done.errors.groupBy("region", "error").agg(F.count(F.lit(1)).alias("documents"))
+    good = kept.select("region", F.lit(False).alias("broken"), "items", F.lit(None).cast("string").alias("error"), F.lit(None).cast("bigint").alias("documents"))
+    bad = sizes.join(errors, "region").select("region", F.lit(True).alias("broken"), "items", "error", "documents")
+    return good.unionByName(bad)
+
+
+@query(
+    """SELECT 'nothing' AS run, true AS skipped, 0::BIGINT AS rows_read, 0::BIGINT AS rows_written
+       UNION ALL SELECT 'no id', false, NULL, 0
+       UNION ALL SELECT 'events', false, count(*), count(*) FROM events"""
+)
+def empty_input_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run without files is skipped, one without ids writes nothing, one with all writes all."""
+    csv = inputs.table(spark, sf_dir, "events").select(
+        F.concat(F.lit("v"), F.col("event_id")).alias("video_id"),
+        F.date_format("ts", "yyyy-MM-dd").alias("trending_date"),
+        *(F.lit("x").alias(c) for c in ("title", "channel_title", "category_id", "publish_time")),
+        *(F.lit("1").alias(c) for c in ("views", "likes", "comment_count")),
+        F.col("event_type").alias("region"),
+    )
+    runs = []
+    for name, rows in (("nothing", None), ("no id", csv.withColumn("video_id", F.lit(None).cast("string"))), ("events", csv)):
+        bronze, store = new_folder(spark, "guard"), new_folder(spark, "silver")
+        if rows is not None:
+            _write_csv(rows, bronze)
+        done = run_statistics(spark, bronze, store)
+        runs.append((name, done.skipped, done.rows_read, done.rows_written))
+    return spark.createDataFrame(runs, "run string, skipped boolean, rows_read bigint, rows_written bigint")
