@@ -41,8 +41,8 @@ def failed(df, **rules):
 def test_good_table(spark):
     rows = report(table(spark))
     assert len(rows) == 9 and all(r["passed"] for r in rows.values())
-    assert rows["row_count", None]["message"] == "Row count: 20 (min required: 10)"
-    assert rows["null_pct", "views"]["message"] == "views null%: 0.00% (max: 5.0%)"
+    assert rows["row_count", None]["message"] == "20 rows, at least 10 wanted"
+    assert rows["null_pct", "views"]["message"] == "views: 0.00 percent null, at most 5.0 allowed"
     assert quality.check_table(table(spark), STATISTICS_TABLE).schema.names == schemas.DQ_REPORT.names
 
 

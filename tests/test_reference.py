@@ -46,7 +46,7 @@ def test_broken_and_empty_files_are_reported(spark, write):
     write("region=mx/a.json", listing())
     root = write("nowhere/a.json", listing(category("5", "lost")))
     good, bad = split_quarantine(read_reference_json(spark, root), require_items=True)
-    assert as_tuples(bad, "region", "error") == [("ca", "malformed JSON"), ("mx", "no category data found")]
+    assert as_tuples(bad, "region", "error") == [("ca", "malformed JSON"), ("mx", "no items")]
     assert as_tuples(good, "region") == [("unknown",), ("us",)]
 
 

@@ -83,7 +83,7 @@ def unify_formats(*frames: DataFrame, keep_landed_at: bool = False) -> DataFrame
 def required_columns_warning(df: DataFrame, required: tuple[str, ...], table: str) -> DataFrame:
     """One report row naming the required columns the schema lacks; reads no data."""
     missing = missing_columns(df, required)
-    message = f"Missing expected columns: {missing}" if missing else "All required columns present"
+    message = f"without {', '.join(missing)}" if missing else "no column is missing"
     row = ("schema", table, missing, not missing, message)
     return df.sparkSession.createDataFrame(
         [row], "check string, table string, missing_columns array<string>, passed boolean, message string"

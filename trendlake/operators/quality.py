@@ -55,7 +55,7 @@ def row_count_check(df: DataFrame, table: str, rules: QualityRules) -> list[Chec
                 value=rows,
                 threshold=rules.min_rows,
                 passed=rows >= rules.min_rows,
-                message=F.format_string(f"Row count: %d (min required: {rules.min_rows})", rows),
+                message=F.format_string(f"%d rows, at least {rules.min_rows} wanted", rows),
             )
         )
     ]
@@ -67,11 +67,11 @@ def null_pct_check(df: DataFrame, table: str, rules: QualityRules) -> list[Check
     for name in rules.critical_columns.get(table, ()):
         shared = {"check": "null_pct", "table": table, "column": name}
         if name not in df.columns:
-            checks.append(Check(_report_row(**shared, passed=False, message=f"Missing column: {name}")))
+            checks.append(Check(_report_row(**shared, passed=False, message=f"there is no column {name}")))
             continue
         nulls = F.col(f"nulls_{name}")
         share = F.coalesce(F.try_divide(nulls, F.col(_ROWS)) * 100, F.lit(0.0))
-        text = f"{name} null%%: %.2f%% (max: {rules.max_null_pct}%%)"
+        text = f"{name}: %.2f percent null, at most {rules.max_null_pct} allowed"
         checks.append(
             Check(
                 _report_row(
@@ -89,7 +89,7 @@ def null_pct_check(df: DataFrame, table: str, rules: QualityRules) -> list[Check
 
 def schema_check(df: DataFrame, table: str, rules: QualityRules) -> list[Check]:
     missing = missing_columns(df, rules.critical_columns.get(table, ()))
-    message = f"Missing: {', '.join(missing)}" if missing else "All required columns present"
+    message = f"without {', '.join(missing)}" if missing else "no column is missing"
     names = F.array(*(F.lit(name) for name in missing))
     row = _report_row(
         check="schema", table=table, missing_columns=names, passed=not missing, message=message
@@ -110,7 +110,7 @@ def value_range_check(df: DataFrame, table: str, rules: QualityRules) -> list[Ch
         negative_count=negative,
         extreme_count=extreme,
         passed=(negative == 0) & (extreme == 0),
-        message=F.format_string(f"{name}: %d negative, %d extreme", negative, extreme),
+        message=F.format_string(f"{name}: %d below zero, %d beyond {rules.max_views}", negative, extreme),
     )
     values = quoted(name)
     measures = {
@@ -128,7 +128,7 @@ def freshness_check(df: DataFrame, table: str, rules: QualityRules, now: Column)
     """
     name = next((column for column in FRESHNESS_COLUMNS if column in df.columns), None)
     if name is None:
-        message = "No timestamp column found, check skipped"
+        message = "not judged: the table has no time column"
         return [Check(_report_row(check="freshness", table=table, passed=True, message=message))]
     column = quoted(name)
     is_text = isinstance(df.schema[name].dataType, T.StringType)
@@ -136,11 +136,11 @@ def freshness_check(df: DataFrame, table: str, rules: QualityRules, now: Column)
     cutoff = hours_before(now, rules.max_age_hours)
     latest, unreadable = F.col("latest"), F.col("unreadable") > 0
     fresh = F.coalesce(latest >= cutoff, F.lit(False))
-    message = F.when(unreadable, F.lit("Timestamp parsing failed, check skipped")).otherwise(
+    message = F.when(unreadable, F.lit("not judged: some times are unreadable")).otherwise(
         F.concat(
-            F.lit("Latest: "),
+            F.lit("newest record "),
             F.coalesce(latest.cast("string"), F.lit("none")),
-            F.lit(" | Cutoff: "),
+            F.lit(", oldest allowed "),
             cutoff.cast("string"),
         )
     )

@@ -119,7 +119,7 @@ def missing_fields(reference: DataFrame, required: Sequence[str] = ("id", "snipp
         "region",
         "missing_columns",
         F.lit(False).alias("passed"),
-        F.concat(F.lit("Fields absent from every item: "), F.array_join("missing_columns", ", ")).alias("message"),
+        F.concat(F.lit("no item has "), F.array_join("missing_columns", ", ")).alias("message"),
     )
 
 

@@ -21,7 +21,7 @@ def write_dq_report(report: DataFrame, path: str, run_id: str | None = None) ->
     stamped.write.mode("append").parquet(path)
 
 
-def failed_checks_json(report: DataFrame, title: str = "Data quality FAILED") -> DataFrame:
+def failed_checks_json(report: DataFrame, title: str = "quality check failed") -> DataFrame:
     """Failed rows as JSON text with an alert subject of at most 100 characters."""
     subject = subject_line(F.concat_ws(" - ", F.lit(title), F.col("table"), F.col("check")))
     return failed_checks(report).select(

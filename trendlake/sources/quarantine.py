@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trendlake.schemas import CORRUPT_COLUMN
 
 MALFORMED = "malformed JSON"
-NO_ITEMS = "no category data found"
+NO_ITEMS = "no items"
 
 
 def document_error(require_items: bool = False) -> Column:

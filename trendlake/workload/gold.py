@@ -144,7 +144,7 @@ def _statistics_report(spark, sf_dir, check) -> DataFrame:
     with_(
         BRONZE,
         """SELECT 'row_count' AS check_name, CAST(count(*) AS DOUBLE) AS value, 10e0 AS threshold,
-                  count(*) >= 10 AS passed, 'Row count: ' || count(*) || ' (min required: 10)' AS message
+                  count(*) >= 10 AS passed, count(*) || ' rows, at least 10 wanted' AS message
            FROM bronze""",
     )
 )
@@ -283,11 +283,11 @@ def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_(
         _SUMMARY,
         f"""SELECT 'null_pct' AS check_name, '{STATISTICS_TABLE}' AS table_name,
-                   'Data quality FAILED - {STATISTICS_TABLE} - null_pct' AS subject, 'video_id' AS failed_column,
+                   'quality check failed - {STATISTICS_TABLE} - null_pct' AS subject, 'video_id' AS failed_column,
                    round((count(*) - count(video_id)) * 100e0 / count(*), 2) AS value
             FROM bronze HAVING (count(*) - count(video_id)) * 100e0 / count(*) > 1
             UNION ALL
-            SELECT 'freshness', '{REFERENCE_TABLE}', 'Data quality FAILED - {REFERENCE_TABLE} - freshness',
+            SELECT 'freshness', '{REFERENCE_TABLE}', 'quality check failed - {REFERENCE_TABLE} - freshness',
                    NULL, NULL FROM reference
             HAVING to_timestamp(max(position) + 1704067200) < TIMESTAMPTZ '{FIXED_NOW}+00' - INTERVAL 48 HOUR""",
     )
