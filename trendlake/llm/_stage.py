@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 
-from trendlake.staging import new_folder
+from trendlake.staging import new_folder, remove_folders
+
+# Lists that take the folders staged while their block is open.
+_open: list[list[str]] = []
 
 
 def stage(df: DataFrame, label: str) -> tuple[DataFrame, str]:
@@ -15,13 +21,22 @@ def stage(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """
     spark = df.sparkSession
     folder = new_folder(spark, label)
+    for taken in _open:
+        taken.append(folder)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder), folder
 
 
+@contextmanager
+def recorded(folders: list[str]) -> Iterator[None]:
+    """Add the folders staged inside the block to ``folders``, for who knows when they can go."""
+    _open.append(folders)
+    try:
+        yield
+    finally:
+        _open.remove(folders)
+
+
 def discard(spark: SparkSession, *folders: str) -> None:
     """Remove staged tables that nothing reads any more."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for folder in folders:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+    remove_folders(spark, list(folders))

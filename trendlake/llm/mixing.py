@@ -90,31 +90,37 @@ def mix_sources(docs: DataFrame, id: str = "doc_id", text: str = "text", source:
     empty texts have size zero and nothing taken. Equal rows are ordered in any way, which gives
     the same rows. An empty table gives an empty table. Input columns with the names of the
     results are replaced, others carried along (``text`` only with ``keep_text``): rows are
-    staged once and sorted once.
+    staged once, a narrow copy of them is sorted, and its result joined back by row number.
     """
     carried = Carried(docs)
-    value = carried.column(text)
+    value, key = carried.column(text), carried.key
     sized = carried.flat.withColumns({"_size": words(value), "_key": shuffle_key(carried.column(id), value)})
-    if not keep_text:
-        sized = sized.drop(carried.key(text))
-    staged, _ = stage(sized, "mix")
-    named = staged.withColumn("source", carried.column(source))
-    sizes, held = stage(named.groupBy("source").agg(F.sum("_size").alias("source_size")), "source-sizes")
+    sized = sized.withColumn("_row", F.monotonically_increasing_id())
+    staged, _ = stage(sized if keep_text else sized.drop(key(text)), "mix")
+    # Only what the sums need is sorted; texts stay in the staged rows.
+    narrow = staged.select("_row", "_size", "_key", key(id), F.col(key(source)).alias("source"))
+    sizes, held = stage(narrow.groupBy("source").agg(F.sum("_size").alias("source_size")), "source-sizes")
     goals, _ = stage(targets(sizes, mix), "targets")
     discard(docs.sparkSession, held)
-    placed = sum_before(staged, carried.key(source), [F.col("_key"), carried.column(id), F.col("_size")], "_size", "_before")
+    placed = sum_before(narrow, "source", [F.col("_key"), F.col(key(id)), F.col("_size")], "_size", "_before")
     goals = goals.withColumnRenamed("source", "_source")
-    joined = placed.join(goals, carried.column(source).eqNullSafe(F.col("_source")))
-    joined = joined.withColumnsRenamed({"source_size": "_source_size", "target": "_target"})
+    joined = placed.join(goals, F.col("source").eqNullSafe(F.col("_source")))
+    amount = taken(F.col("_size"), F.col("source_size"), F.col("target"), F.col("_before"), mix.whole)
+    shares = joined.select(
+        F.col("_row").alias("_of"),
+        F.col("source_size").alias("_source_size"),
+        F.col("target").alias("_target"),
+        amount.alias("_taken"),
+    )
     if not keep_text:
         carried.forget(text)
     return carried.named(
-        joined,
+        staged.join(shares, F.col("_row") == F.col("_of")),
         added={
             "size": F.col("_size"),
             "source_size": F.col("_source_size"),
             "target": F.col("_target"),
-            "taken": taken(F.col("_size"), F.col("_source_size"), F.col("_target"), F.col("_before"), mix.whole),
+            "taken": F.col("_taken"),
         },
     )
 
