@@ -5,45 +5,73 @@ Each stage takes what the one before kept, written as Parquet in the shared fold
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from trendlake.llm import bpe_codec, mixing, quality_classifier, quality_rules, simhash_dedup
 from trendlake.llm._ship import prepare
-from trendlake.llm._stage import discard, stage
+from trendlake.llm._stage import discard, recorded, stage
 
 #: Tokenizer file of the last stage.
 TOKENIZER = "byte_bpe_50k.json"
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+# Folders that the stages so far have staged and that may still be read.
+_staged: list[str] = []
+
+
+def pipeline_stage(function: Stage) -> Stage:
+    """Get the session ready, and remove what the stages before have staged.
+
+    A stage reads its predecessor's rows from the table they were written to, so by then the
+    staged tables behind them are done with. One that ``docs`` itself still reads is kept.
+    """
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        read = "\n".join(docs.inputFiles())
+        done = [folder for folder in _staged if folder.rsplit("/", 1)[-1] not in read]
+        discard(spark, *done)
+        _staged[:] = [folder for folder in _staged if folder not in done]
+        with recorded(_staged):
+            return function(spark, docs, sf_dir)
+
+    return run_stage
+
 
+@pipeline_stage
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text, beside its source and language, is more likely good than not."""
-    prepare(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality_classifier.keep_good(docs, labels)
 
 
+@pipeline_stage
 def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents inside the fences of their language and source."""
-    prepare(spark)
     return quality_rules.keep_good(docs)
 
 
+@pipeline_stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: three-word shingles, two bits at most."""
-    prepare(spark)
     return simhash_dedup.keep_first(docs, shingle=3, max_distance=2)
 
 
+@pipeline_stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its source's target takes it."""
-    prepare(spark)
     return mixing.mixed_rows(docs, mixing.Mix(whole=True))
 
 
+@pipeline_stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with the token ids of their whole text."""
-    prepare(spark)
     return bpe_codec.encode(docs, public_tokenizers.path(TOKENIZER))
 
 
