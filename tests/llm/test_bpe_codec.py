@@ -3,12 +3,14 @@ import random
 import numpy as np
 import public_tokenizers
 import pytest
-from conftest import ODD_ROWS, rows
+import regex
+from llm.cases import ODD_ROWS, rows
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from trendlake.llm import _bpe
+from trendlake.llm import _bpe, bpe_codec, token_counts
 from trendlake.llm._bpe import BpeTable
+from trendlake.llm._pretokens import splitter
 from trendlake.llm.bpe_codec import decode, decode_ids, encode, encode_texts
 from trendlake.llm.token_counts import count_tokens, normalised, whole_tokens
 
@@ -74,10 +76,21 @@ def test_rounds_equal_single_merges_for_any_merge_table():
         table = BpeTable(np.empty(base, object), {}, base, keys, ranks, made, first[made] < ranks, np.arange(base), np.arange(base))
         pairs = {(int(k) // base, int(k) % base): (int(r), int(m)) for k, r, m in zip(keys, ranks, made, strict=True)}
         words = [rng.integers(0, base, rng.integers(1, 12)) for _ in range(60)]
-        got = table.merge(np.concatenate(words), np.array([len(w) for w in words]))
+        flat, lengths = table.merge(np.concatenate(words), np.array([len(w) for w in words]))
+        got = np.split(flat, np.cumsum(lengths)[:-1])
         assert [g.tolist() for g in got] == [one_by_one(pairs, w.tolist()) for w in words]
 
 
+def test_latin_texts_split_as_all_others():
+    random.seed(9)
+    letters = [chr(c) for c in [*range(0x250), 0x300, 0x4E2D, 0xA0]] + ["'s", "'ll", "  ", " a"] * 20
+    texts = ["".join(random.choice(letters[: 0x80 if i % 2 else None]) for _ in range(60)) for i in range(2000)]
+    texts += [f"a{c}b {c}{c} 1{c}\n{c} " for c in letters]
+    for pattern in (bpe_codec.PATTERN, token_counts.PATTERN):
+        mine, general = splitter(pattern), regex.compile(pattern).findall
+        assert [mine(t) for t in texts] == [general(t) for t in texts]
+
+
 def test_cache_may_be_emptied_and_forgets_long_words(table, library, monkeypatch):
     monkeypatch.setattr(_bpe.WordCache, "ENTRIES", 50)
     monkeypatch.setattr(_bpe.WordCache, "_of", {})

@@ -1,5 +1,5 @@
 import duckdb
-from conftest import ODD_ROWS, rows
+from llm.cases import ODD_ROWS, rows
 
 from trendlake.llm import oracles
 from trendlake.llm.license_scans import TEMPLATES, Scanner, bigrams, dice, normalised, scan

@@ -5,7 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import rows
+from llm.cases import rows
 
 from trendlake.llm._running import sum_before
 from trendlake.llm.mixing import Mix, mix_sources, mixed_rows

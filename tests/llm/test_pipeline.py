@@ -5,8 +5,8 @@ import duckdb
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
-from test_mixing import brute as plain_mix
-from test_simhash_dedup import plain_components, plain_fingerprint
+from llm.test_mixing import brute as plain_mix
+from llm.test_simhash_dedup import plain_components, plain_fingerprint
 from tokenizers import Tokenizer
 
 from trendlake.llm import oracles, quality_classifier, quality_rules

@@ -5,7 +5,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pyarrow as pa
-from conftest import ODD_ROWS, rows
+from llm.cases import ODD_ROWS, rows
 from pyspark.sql import functions as F
 
 from trendlake.llm import oracles, quality_classifier, quality_rules

@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
-from conftest import rows
+from llm.cases import rows
 
 from trendlake.llm import _simhash_bits
 from trendlake.llm._components import components

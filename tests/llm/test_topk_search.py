@@ -15,8 +15,9 @@ def brute(given, k):
     for a, (i, q) in enumerate(usable):
         if i is None or i % 50:
             continue
-        scored = [(-sum(x * y for x, y in zip(q, v, strict=False)), j is None, j or 0) for b, (j, v) in enumerate(usable) if a != b]
-        out += [(i, r, None if none else j, max(min(-s, 2**63 - 1), -(2**63))) for r, (s, none, j) in enumerate(sorted(scored)[:k], 1)]
+        held = lambda s: max(min(s, 2**63 - 1), -(2**63))
+        scored = [(-held(sum(x * y for x, y in zip(q, v, strict=False))), j is None, j or 0) for b, (j, v) in enumerate(usable) if a != b]
+        out += [(i, r, None if none else j, -s) for r, (s, none, j) in enumerate(sorted(scored)[:k], 1)]
     return sorted(out, key=repr)
 
 
@@ -53,8 +54,10 @@ def test_odd_vectors(spark):
 
 
 def test_very_large_components_stay_exact(spark):
-    given = [(50 * i, [float(np.float32(3.0e15 + i * 1e14)), -1.0]) for i in range(6)]
-    assert found(spark.createDataFrame(given, SCHEMA), 3) == brute(given, 3)
+    near = [(50 * i, [1.0e7 + 3 * i, -1.0, 0.004 * i]) for i in range(9)]
+    beyond = [(50 * i, [3.0e15 + i * 1e14, -1.0]) for i in range(6)]
+    for given in (near, beyond):
+        assert found(spark.createDataFrame(given, SCHEMA), 3) == brute(given, 3)
 
 
 def test_bounds_hold_and_blocks_are_left_out():

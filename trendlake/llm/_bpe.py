@@ -94,8 +94,8 @@ class BpeTable:
             key=(path, len(vocab), len(merges), end),
         )
 
-    def word_ids(self, words: Sequence[str]) -> list[np.ndarray]:
-        """Token ids of each non-empty word."""
+    def word_ids(self, words: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of the words, which are not empty, in one array, and how many each has."""
         raw = [w.encode() for w in words]
         lengths = np.fromiter(map(len, raw), np.int64, len(raw))
         data = np.frombuffer(b"".join(raw), np.uint8)
@@ -105,33 +105,32 @@ class BpeTable:
             symbols[ends - 1] = self.last[data[ends - 1]]
         return self.merge(symbols, lengths)
 
-    def merge(self, symbols: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
-        """Apply the merges to many words, given as one flat array and the length of each word.
+    def merge(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Apply the merges to many words, given and returned as one flat array and lengths.
 
         Every round finds the rank of every neighbouring pair by binary search and merges the
         pairs of the lowest rank of each word, from left to right. Words without a pair left are
         set aside. Where a merge can open a merge of a lower rank, only its first place in the
         word is merged in a round, so the order is that of merging one pair at a time.
         """
-        done: list[np.ndarray] = [np.empty(0, np.int64)] * len(lengths)
-        owner = np.arange(len(lengths))
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        owner, words = np.arange(len(lengths)), len(lengths)
         while len(owner):
+            starts = np.cumsum(lengths) - lengths
             word = np.repeat(np.arange(len(owner)), lengths)
-            hit, made = self._round(symbols, word, len(owner))
+            hit, made = self._round(symbols, word, starts)
             busy = np.zeros(len(owner), bool)
             busy[word[:-1][hit]] = True
-            ends = np.cumsum(lengths)
-            for i in np.flatnonzero(~busy):
-                done[owner[i]] = symbols[ends[i] - lengths[i] : ends[i]].copy()
+            still = busy[word]
+            done.append((owner[~busy], lengths[~busy], symbols[~still]))
             symbols = symbols.copy()
             symbols[:-1][hit] = made[hit]
-            keep = busy[word]
-            keep[1:][hit] = False
-            symbols, lengths = symbols[keep], np.bincount(word[keep], minlength=len(owner))[busy]
+            still[1:][hit] = False
+            symbols, lengths = symbols[still], np.bincount(word[still], minlength=len(owner))[busy]
             owner = owner[busy]
-        return done
+        return _in_order(done, words)
 
-    def _round(self, symbols: np.ndarray, word: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    def _round(self, symbols: np.ndarray, word: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which pairs to merge now, and the symbol each would make."""
         n = len(symbols) - 1
         if n < 1 or not len(self.pair_keys):
@@ -140,8 +139,7 @@ class BpeTable:
         at = np.minimum(np.searchsorted(self.pair_keys, pair), len(self.pair_keys) - 1)
         known = (self.pair_keys[at] == pair) & (word[:-1] == word[1:])
         rank = np.where(known, self.pair_ranks[at], _NONE)
-        lowest = np.full(words, _NONE)
-        np.minimum.at(lowest, word[:-1][known], rank[known])
+        lowest = np.minimum.reduceat(np.append(rank, _NONE), starts)
         hit = known & (rank == lowest[word[:-1]])
         places = np.flatnonzero(hit)
         # In a run of overlapping places (aaa) every second one is merged, from the left.
@@ -155,24 +153,39 @@ class BpeTable:
         return hit, self.pair_ids[at]
 
 
+def _in_order(done: list[tuple[np.ndarray, np.ndarray, np.ndarray]], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Groups of finished words (numbers, lengths, symbols) as one array in the order of numbers."""
+    lengths = np.zeros(words, np.int64)
+    for owner, own, _ in done:
+        lengths[owner] = own
+    starts = np.cumsum(lengths) - lengths
+    flat = np.empty(int(lengths.sum()), np.int64)
+    for owner, own, symbols in done:
+        flat[np.repeat(starts[owner] - np.cumsum(own) + own, own) + np.arange(len(symbols))] = symbols
+    return flat, lengths
+
+
 class WordCache:
-    """Bytes of the ids of words already merged in this worker; emptied when it grows large."""
+    """What the ids of words already merged in this worker give; emptied when it grows large.
+
+    ``values`` makes a list, one value a word, of the flat ids and lengths of new words.
+    """
 
     ENTRIES, LONGEST = 300_000, 64
     _of: dict[tuple, WordCache] = {}
 
-    def __init__(self, table: BpeTable, value) -> None:
-        self.table, self.value, self.found = table, value, {}
+    def __init__(self, table: BpeTable, values) -> None:
+        self.table, self.values, self.found = table, values, {}
 
     @classmethod
-    def of(cls, table: BpeTable, kind: str, value) -> WordCache:
+    def of(cls, table: BpeTable, kind: str, values) -> WordCache:
         """The cache of this Python worker for a table and a kind of value."""
-        return cls._of.setdefault((*table.key, kind), cls(table, value))
+        return cls._of.setdefault((*table.key, kind), cls(table, values))
 
     def look_up(self, words: list[list[str]]) -> dict[str, object]:
         """A dictionary that has the value of every word in ``words``."""
         new = list(set().union(*words).difference(self.found))
-        self.found.update(zip(new, map(self.value, self.table.word_ids(new)), strict=True))
+        self.found.update(zip(new, self.values(*self.table.word_ids(new)), strict=True))
         now = self.found
         if len(now) > self.ENTRIES:
             self.found = {}

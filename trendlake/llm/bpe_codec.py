@@ -12,23 +12,25 @@ from pyspark.sql import functions as F
 
 from trendlake.llm._bpe import BpeTable, WordCache
 from trendlake.llm._frames import Carried, parts
+from trendlake.llm._pretokens import splitter
 
-#: Fixed value: the pattern that splits text before byte-level merges.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Fixed value: the pattern that splits text before byte-level merges. No other choice begins as a
+#: word of letters does, so that stands first.
+PATTERN = r" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Most ids that are turned to bytes at a time.
 _IDS_AT_ONCE = 1 << 20
 
 
 def encode_texts(table: BpeTable, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of many texts as one flat array, and the number of ids of each text."""
-    words_of = regex.compile(PATTERN).findall
+    words_of = splitter(PATTERN)
     special = regex.compile("(" + "|".join(map(regex.escape, sorted(table.special, key=len, reverse=True))) + ")") if table.special else None
     split: list[list[list[str] | str]] = []
     for text in texts:
         pieces = special.split(text) if special else [text]
         # Every second piece is a special token, which stands for one id.
         split.append([words_of(p) if i % 2 == 0 else p for i, p in enumerate(pieces)])
-    cache = WordCache.of(table, "bytes", lambda ids: ids.astype("<i4").tobytes())
+    cache = WordCache.of(table, "bytes", _id_bytes)
     known = cache.look_up([p for pieces in split for p in pieces if isinstance(p, list)])
     own = {token: np.int32(i).tobytes() for token, i in table.special.items()}
     out = [
@@ -39,6 +41,12 @@ def encode_texts(table: BpeTable, texts: list[str]) -> tuple[np.ndarray, np.ndar
     return np.frombuffer(b"".join(out), "<i4"), counts
 
 
+def _id_bytes(ids: np.ndarray, lengths: np.ndarray) -> list[bytes]:
+    """The ids of every word as bytes, four an id."""
+    data, ends = ids.astype("<i4").tobytes(), np.cumsum(lengths) * 4
+    return [data[a:b] for a, b in zip((ends - lengths * 4).tolist(), ends.tolist(), strict=True)]
+
+
 def decode_ids(table: BpeTable, ids: np.ndarray) -> str:
     """Text of one row of ids. Bytes that are no UTF-8 become U+FFFD; unknown ids give nothing."""
     ids = ids[(ids >= 0) & (ids < table.base)]

@@ -38,7 +38,8 @@ def whole_tokens(path: str, table: BpeTable) -> frozenset[str]:
                 continue
             if regex.fullmatch(PATTERN, word):
                 words.append(word)
-    return frozenset(w for w, ids in zip(words, table.word_ids(words), strict=True) if len(ids) == 1)
+    _, lengths = table.word_ids(words)
+    return frozenset(w for w, n in zip(words, lengths.tolist(), strict=True) if n == 1)
 
 
 #: Lower case of letters that Python's Unicode tables do not have yet.
@@ -65,7 +66,7 @@ def count_texts(table: BpeTable, whole: frozenset[str], texts: list[str]) -> lis
         left = [w for w in words if w not in whole]
         counts.append(len(pieces) - 1 + len(words) - len(left))
         rest.append(left)
-    known = WordCache.of(table, "count", len).look_up(rest)
+    known = WordCache.of(table, "count", lambda _, lengths: lengths.tolist()).look_up(rest)
     return [n + sum(map(known.__getitem__, left)) for n, left in zip(counts, rest, strict=True)]
 
 
