@@ -52,8 +52,9 @@ def json_texts(reader, root: str, layout: str = "auto", pattern: str = "*.json")
     ``auto`` reads files below a folder ``layout=lines``, which the landing step writes, line by
     line, so that large ones are split, and all other files whole. A whole file may hold
     several objects as well, each beginning on a line of its own: all of them are returned, with
-    their place in the file as ``_line``. ``lines`` and ``document`` read every file in one way.
-    ``reader`` is a batch or a streaming reader.
+    their place in the file as ``_line``. ``lines`` and ``document`` read every file in one way;
+    with ``lines`` the place in the file is not known and zero. The choice by folder is made on the
+    file's name, so files of the other kind are not opened. ``reader`` is a batch or a streaming reader.
     """
     if layout not in ("auto", "document", "lines"):
         raise ValueError(f"layout must be 'auto', 'document' or 'lines', not {layout!r}")
@@ -73,7 +74,7 @@ _SOURCE_COLUMNS = ("_source_file", "_modified_at", "_folder")
 
 
 def _texts(texts: DataFrame, in_lines_folder: bool | None) -> DataFrame:
-    """Texts with their source; with a choice of folder, files of the other kind are not opened."""
+    """Texts with their source, of files inside or outside the folder of lines if that is asked."""
     if in_lines_folder is not None:
         inside = texts.metadataColumn("_metadata").getField("file_path").contains(f"/{LINES_FOLDER}/")
         texts = texts.filter(inside if in_lines_folder else ~inside)
