@@ -63,11 +63,12 @@ def features() -> list[Column]:
 def labelled_sample(docs: DataFrame, labels: DataFrame, fit: Fit) -> np.ndarray:
     """Features and label (last column) of the bounded sample; docs (id, text), labels (id, label).
 
-    Labels that are null or neither 0 nor 1 don't count; an id labelled both ways counts as bad.
+    Labels that are null or neither 0 nor 1 don't count; an id labelled both ways counts as bad. The
+    chosen labels are broadcast: there are ``fit.sample`` of them at most, so no text is shuffled.
     """
     chosen = labels.where("id IS NOT NULL AND label IN (0, 1)").groupBy("id").agg(F.min("label").alias("label"))
     chosen = chosen.orderBy(F.xxhash64("id"), "id").limit(fit.sample)
-    rows = docs.join(chosen, "id").withColumn("_s", stats(F.col("text")))
+    rows = docs.join(F.broadcast(chosen), "id").withColumn("_s", stats(F.col("text")))
     rows = rows.select(F.xxhash64("id").alias("h"), "id", F.array(*features(), F.col("label").cast("double")).alias("x"))
     kept = rows.orderBy("h", "id", "x").limit(fit.sample).select("x").collect()
     return np.array([r.x for r in kept], float).reshape(len(kept), len(features()) + 1)
