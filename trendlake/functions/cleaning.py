@@ -67,19 +67,14 @@ def percent_of_views(amount: Column, views: Column) -> Column:
     return F.when(views > 0, F.round(amount.cast("double") / views * 100, 4)).otherwise(F.lit(0.0))
 
 
-def wide(count: Column) -> Column:
-    """A count that can be added up without overflow, whatever a dirty file holds."""
-    return count.cast("decimal(20,0)")
+def safe_sum(name: str) -> Column:
+    """Sum of a count, null where it is beyond a bigint: a dirty file must not end the run."""
+    return F.when(F.count(name) == 0, F.lit(0).cast("bigint")).otherwise(F.try_sum(name))
 
 
-def exact_sum(count: Column) -> Column:
-    """Sum of counts as a decimal no table is large enough to overflow."""
-    return F.sum(wide(count)).cast("decimal(38,0)")
-
-
-def whole(total: Column) -> Column:
-    """A finished sum as bigint, null where it is beyond one."""
-    return total.try_cast("bigint")
+def sum_of_sums(name: str) -> Column:
+    """Sum of finished ``safe_sum`` values; null where one of them or the whole is unknown."""
+    return F.when(F.count(name) == F.count(F.lit(1)), F.try_sum(name))
 
 
 # Ratios below this many percent are summed as whole ten-thousandths.
@@ -97,14 +92,15 @@ def ratio_parts(name: str) -> list[Column]:
     value = F.col(name)
     small = (value < _SMALL_RATIO) & (value > -_SMALL_RATIO)
     return [
-        F.coalesce(F.sum(F.when(small, F.floor(value * 10_000 + 0.5))), F.lit(0)).alias(f"{name}_units"),
-        F.coalesce(F.sum(F.when(~small, value.cast("decimal(25,4)"))), F.lit(0)).cast("decimal(35,4)").alias(f"{name}_rest"),
+        F.sum(F.when(small, F.floor(value * 10_000 + 0.5))).alias(f"{name}_units"),
+        F.sum(F.when(~small, value.cast("decimal(25,4)"))).cast("decimal(35,4)").alias(f"{name}_rest"),
         F.count(value).alias(f"{name}_n"),
     ]
 
 
 def mean_of_parts(name: str) -> Column:
     """Mean of a ratio from any number of rows of its ``ratio_parts``."""
-    units = F.sum(F.col(f"{name}_units").cast("decimal(20,0)")).cast("decimal(30,0)")
-    total = units * F.lit(Decimal("0.0001")) + F.sum(F.col(f"{name}_rest")).cast("decimal(35,4)")
+    units = F.coalesce(F.sum(f"{name}_units"), F.lit(0)).cast("decimal(20,0)")
+    rest = F.coalesce(F.sum(f"{name}_rest"), F.lit(0)).cast("decimal(35,4)")
+    total = units * F.lit(Decimal("0.0001")) + rest
     return F.try_divide(total.cast("double"), F.sum(f"{name}_n"))

@@ -35,7 +35,7 @@ def derive_ratios(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
             "like_ratio": cleaning.percent_of_views(likes, views),
-            "engagement_rate": cleaning.percent_of_views(cleaning.wide(likes) + cleaning.wide(comments), views),
+            "engagement_rate": cleaning.percent_of_views(likes.cast("double") + comments.cast("double"), views),
         }
     )
 
