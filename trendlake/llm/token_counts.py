@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -14,9 +15,11 @@ from pyspark.sql import functions as F
 
 from trendlake.llm._bpe import BpeTable, WordCache
 from trendlake.llm._frames import Carried, parts
+from trendlake.llm._pretokens import splitter
 
-#: Fixed value: the words of the normalised text.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Fixed value: the words of the normalised text. No other choice begins with a letter, so words of
+#: letters stand first.
+PATTERN = r"[\p{L}]+|'s|'t|'re|'ve|'m|'ll|'d|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 def whole_tokens(path: str, table: BpeTable) -> frozenset[str]:
@@ -57,13 +60,13 @@ def normalised(text: str) -> str:
 
 def count_texts(table: BpeTable, whole: frozenset[str], texts: list[str]) -> list[int]:
     """Number of tokens of each text: one for each whole word, merges for the rest."""
-    words_of = regex.compile(PATTERN).findall
+    words_of = splitter(PATTERN)
     special = regex.compile("|".join(map(regex.escape, sorted(table.special, key=len, reverse=True)))) if table.special else None
     counts, rest = [], []
     for text in texts:
         pieces = special.split(text) if special else [text]
         words = [w for p in pieces for w in words_of(normalised(p))]
-        left = [w for w in words if w not in whole]
+        left = list(filterfalse(whole.__contains__, words))
         counts.append(len(pieces) - 1 + len(words) - len(left))
         rest.append(left)
     known = WordCache.of(table, "count", lambda _, lengths: lengths.tolist()).look_up(rest)
