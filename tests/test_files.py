@@ -142,6 +142,20 @@ def test_catalog_table(spark, tmp_path):
     write_partitions(rows.filter("region = 'us'").withColumn("n", F.lit(9)), path, table=table)
     write_partitions(spark.createDataFrame([("mx", 4)], "region string, n int"), path, table=table)
     assert as_tuples(read_table(spark, name=table), "region", "n") == [("ca", 2), ("mx", 4), ("us", 9), (None, 3)]
+    write_partitions(rows.filter("region = 'ca'"), path, table=table, whole=True)
+    assert as_tuples(read_table(spark, name=table), "region", "n") == [("ca", 2)]
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_catalog_follows_days_that_left(spark, write, tmp_path):
+    target = str(tmp_path / "silver")
+    table = f"silver_{abs(hash(target))}"
+    root = write("region=ca/x.csv", HEADER + csv_line() + csv_line("v2", date="17.15.11"))
+    bronze_to_silver_statistics(spark, root, target, table=table)
+    assert read_table(spark, name=table).count() == 2
+    write("region=ca/x.csv", HEADER + csv_line("v3", date="17.15.11"))
+    bronze_to_silver_statistics(spark, root, target, table=table)
+    assert as_tuples(read_table(spark, name=table), "video_id") == [("v3",)]
     spark.sql(f"DROP TABLE {table}")
 
 

@@ -16,7 +16,7 @@ from trendlake.operators.normalize import unify_formats
 from trendlake.operators.reference import missing_fields, newest_landing_per_region, silver_reference
 from trendlake.schemas import SILVER_PARTITIONS
 from trendlake.sinks.reports import RowMetrics, run_summary
-from trendlake.sinks.tables import write_partitions
+from trendlake.sinks.tables import register_table, write_partitions
 from trendlake.sources.files import optional_frame
 from trendlake.sources.quarantine import split_quarantine
 from trendlake.sources.reference import read_reference_json
@@ -105,10 +105,12 @@ def bronze_to_silver_statistics(
         result = result.hint("rebalance", *SILVER_PARTITIONS)
     stamp = F.unix_micros(F.max("_processed_at")).alias("stamp")
     checked = written.watch(result, nulls=("video_id", "title", "views"), more=[stamp])
-    write_partitions(checked, silver, SILVER_PARTITIONS, table=table, rebalance=False)
+    write_partitions(checked, silver, SILVER_PARTITIONS, rebalance=False)
     counts = written.result()
     if (stamp := counts.pop("stamp", None)) is not None:
         remove_stale_days(spark, silver, stamp)
+        if table is not None:
+            register_table(spark, table, silver)
     return StatisticsRun(
         errors,
         rows_read=read.result().get("rows"),

@@ -37,10 +37,8 @@ def write_partitions(
 
 
 def register_table(spark: SparkSession, table: str, path: str) -> None:
-    """Make the folder known to the catalog, with the partitions it has now."""
-    if spark.catalog.tableExists(table):
-        spark.catalog.recoverPartitions(table)
-        spark.catalog.refreshTable(table)
-    else:
+    """Make the folder known to the catalog, with the partitions it has now and no others."""
+    if not spark.catalog.tableExists(table):
         spark.catalog.createTable(table, path=path, source="parquet")
-        spark.catalog.recoverPartitions(table)
+    spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    spark.catalog.refreshTable(table)
