@@ -83,7 +83,8 @@ def optional_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_(SILVER, TRENDING.format(source="silver")))
 def trending_analytics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.trending_analytics(*based(spark, sf_dir))
+    silver = silver_frame(spark, sf_dir)
+    return rollups.trending_analytics(silver, materialize(rollups.gold_base(silver), "gold-base"))
 
 
 @query(with_(ENRICHED, CHANNEL.format(source="enriched")))
