@@ -51,3 +51,66 @@ def test_odd_rows(odd, empty, clashing):
     got = scan(clashing(odd, "license", "N_matches", "_m"))
     assert rows(got, "doc_id", "license", "n_matches") == sorted(((i, None, 0) for i, *_ in ODD_ROWS), key=repr)
     assert scan(empty).collect() == []
+
+
+def found_in(text):
+    return sorted(Scanner.of().scan(text.encode()), key=lambda m: (-m[0], m[1]))
+
+
+def paragraphs_of(text, *starts):
+    for start in starts:
+        text = text.replace(start, "\n\n" + start)
+    return text
+
+
+def test_texts_of_several_paragraphs_and_notices_inside_lines(spark):
+    prose = "".join(f"word{i} said that it is{i} so.{chr(10) * (i % 9 // 7)} " for i in range(400))
+    mit = paragraphs_of(MIT, "The above copyright", "THE SOFTWARE IS")
+    apache = next(t for n, t in TEMPLATES if n == "Apache-2.0" and len(t) > 100)
+    apache = paragraphs_of(apache, "You may obtain", "Unless required")
+    given = {
+        1: f"{prose}\n\n{mit}\n\n{prose}",
+        2: f"{prose}\n\n# {apache}\n\n{prose}".replace("License", "Licence", 1),
+        3: f"{prose} This is released under the MIT License, {prose} (c) Me. All rights reserved. {prose}",
+        4: f"{prose}\nthis work is licensed under the GNU\nGeneral Public License, version\n3. {prose}",
+        5: f"Copyright (c) Me. All rights reserved, but: {MIT}",
+        6: f"{prose} released after the MIT licence, all are reserved {prose}",
+        7: f"{mit} {mit}",
+    }
+    got = {r.doc_id: r for r in scan(spark.createDataFrame(list(given.items()), "doc_id bigint, text string")).collect()}
+    assert {i: (r.licenses, r.n_matches) for i, r in got.items()} == {
+        1: (["MIT"], 1),
+        2: (["Apache-2.0"], 1),
+        3: (["All-Rights-Reserved", "MIT"], 2),
+        4: (["GPL-3.0"], 1),
+        5: (["All-Rights-Reserved", "MIT"], 2),  # the line as a unit, and the words before the licence
+        6: ([], 0),
+        7: (["MIT"], 2),  # the whole text and its middle paragraph, which the runs meet
+    }
+    assert [got[i].license_score for i in (1, 3, 4)] == [1.0, 1.0, 1.0] and 0.8 <= got[2].license_score <= 1
+
+
+def test_best_run_from_each_start_as_by_trying_all(spark):
+    random = __import__("random").Random(5)
+    for least in (0.5, 0.8, 1.0):
+        scanner = Scanner.of(least=least)
+        for k, (_, grams) in enumerate(scanner.templates):
+            base = normalised(TEMPLATES[k][1].encode())
+            if len(base) > 20:
+                base = base[: 2 + len(base) // 8]
+                scanner = Scanner.of([*TEMPLATES[:k], (TEMPLATES[k][0], b" ".join(base).decode()), *TEMPLATES[k + 1 :]], least)
+                grams = scanner.templates[k][1]
+            words = [w for w in (base + [b"x", b"the"]) * 3 if random.random() > 0.1]
+            pairs = list(zip(words, words[1:]))
+            want = []
+            for start, pair in enumerate(pairs):
+                spans = range(start + 1, min(len(pairs), start + scanner.longest[k]) + 1) if pair in grams else ()
+                best = max(((dice(frozenset(pairs[start:end]), grams), -end) for end in spans), default=(0, 0))
+                if best[0] >= least:
+                    want.append((best[0], start, 1 - best[1]))
+            assert list(scanner.runs(pairs, k)) == want
+
+
+def test_many_notices_in_one_line_stay_quick():
+    assert found_in("x All rights reserved " * 30_000) == [(1.0, "All-Rights-Reserved")] * 30_000
+    assert len(found_in(" ".join(f"{MIT} {i} {i}" for i in range(60)))) == 60

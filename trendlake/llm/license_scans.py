@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -51,14 +52,20 @@ def dice(a: frozenset, b: frozenset) -> float:
 
 @dataclass(frozen=True)
 class Scanner:
-    """Templates by number of bigrams, and the least likeness that counts as a match."""
+    """Templates by their bigrams, the least likeness that counts, and the longest runs held against each.
+
+    A run of words is at most so much longer than its template as sets of bigrams may differ in size.
+    """
 
     templates: tuple[tuple[str, frozenset], ...]
     least: float
+    longest: tuple[int, ...]
 
     @classmethod
     def of(cls, templates=TEMPLATES, least: float = 0.8) -> Scanner:
-        return cls(tuple((name, bigrams(normalised(text.encode()))) for name, text in templates), least)
+        told = [(name, normalised(text.encode())) for name, text in templates]
+        longest = (int((len(words) - 1) * (2 - least) / least) for _, words in told)
+        return cls(tuple((name, bigrams(words)) for name, words in told), least, tuple(longest))
 
     def match(self, grams: frozenset) -> tuple[float, str] | None:
         """Likeness and name of the best template; of equal ones, the first by name.
@@ -73,31 +80,114 @@ class Scanner:
         score, name = min(found, key=lambda f: (-f[0], f[1]), default=(0.0, ""))
         return (score, name) if score >= self.least else None
 
-    def scan(self, text: bytes) -> list[tuple[float, str]]:
-        """Matches of the whole text, of its paragraphs and of its lines, each span once."""
-        found = (self.match(bigrams(normalised(unit))) for unit in _units(text))
-        return [match for match in found if match is not None]
+    def enough(self, shared: int, size: int) -> bool:
+        """Whether ``shared`` bigrams of a template of ``size`` can make a match; rounding never says no."""
+        return 2 * shared >= self.least * (shared + size) - 1e-9
 
+    def scan(self, text: bytes) -> list[tuple[float, str]]:
+        """Matches of the whole text, of its paragraphs and lines, each span once, and of runs of words.
 
-def _units(text: bytes) -> Iterator[bytes]:
-    """Lines with a word, paragraphs of several such lines, and the text if of several paragraphs."""
-    paragraphs, lines = 0, []
+        A text with too few bigrams of every template is not looked at further: no part of it can match.
+        """
+        words, units = _units(text)
+        grams = bigrams(words)
+        possible = [k for k, (_, b) in enumerate(self.templates) if b and self.enough(len(b & grams), len(b))]
+        if not possible:
+            return []
+        found = []
+        for start, end in units:
+            match = self.match(grams if end - start == len(words) else bigrams(words[start:end]))
+            if match is not None:
+                found.append((start, end, *match))
+        return [(score, name) for _, _, score, name in found] + self.inside(words, found, possible)
+
+    def inside(self, words: list[bytes], told: list[tuple[int, int, float, str]], possible: list[int]) -> list[tuple[float, str]]:
+        """Matches of runs of words that begin and end anywhere, beside the units ``told``.
+
+        From each word pair of a template the best run is held. Of runs that share words the best
+        one counts (then name and place decide). A run that meets a unit of its own license is already
+        told and not counted again; such runs go first, so that no other license takes their words.
+        """
+        units: dict[str, bytearray] = {}
+        for start, end, _, name in told:
+            units.setdefault(name, bytearray(len(words)))[start:end] = b"\1" * (end - start)
+        pairs = list(zip(words, words[1:], strict=False))
+        runs = []
+        for k in possible:
+            name = self.templates[k][0]
+            for score, start, end in self.runs(pairs, k):
+                known = name in units and units[name].find(1, start, end) >= 0
+                runs.append((not known, -score, name, start, end))
+        taken, found = bytearray(len(words)), []
+        for new, score, name, start, end in sorted(runs):
+            if taken.find(1, start, end) < 0:
+                taken[start:end] = b"\1" * (end - start)
+                if new:
+                    found.append((-score, name))
+        return found
+
+    def runs(self, pairs: list[tuple[bytes, bytes]], k: int) -> Iterator[tuple[float, int, int]]:
+        """The best run of words, as likeness, start and end, from each pair of template ``k`` that has one.
+
+        The best run from a pair ends with another of the template. A start is only tried when the
+        pairs within reach are enough; their number is kept while going through the text once.
+        """
+        grams, longest = self.templates[k][1], self.longest[k]
+        at = [i for i, pair in enumerate(pairs) if pair in grams]
+        within, ahead = Counter(), 0
+        for start in at:
+            while ahead < len(at) and at[ahead] < start + longest:
+                within[pairs[at[ahead]]] += 1
+                ahead += 1
+            if self.enough(len(within), len(grams)):
+                best, end = 0.0, start
+                seen, shared = set(), 0
+                for i in range(start, at[ahead - 1] + 1):
+                    pair = pairs[i]
+                    if pair in seen:
+                        continue
+                    seen.add(pair)
+                    if pair in grams:
+                        shared += 1
+                        score = 2 * shared / (len(seen) + len(grams))
+                        if score > best:
+                            best, end = score, i + 2
+                if best >= self.least:
+                    yield best, start, end
+            within[pairs[start]] -= 1
+            if not within[pairs[start]]:
+                del within[pairs[start]]
+
+
+def _units(text: bytes) -> tuple[list[bytes], list[tuple[int, int]]]:
+    """The words of a text, and which of them are its units.
+
+    Units are lines that are not blank, paragraphs of several such lines, and the text if of several paragraphs.
+    """
+    words: list[bytes] = []
+    units: list[tuple[int, int]] = []
+    paragraphs, lines, first = 0, 0, 0
     for line in [*text.split(b"\n"), b""]:
         if line.strip():
-            lines.append(line)
-            yield line
+            if not lines:
+                first = len(words)
+            lines += 1
+            start = len(words)
+            words += normalised(line)
+            units.append((start, len(words)))
         else:
             if lines:
                 paragraphs += 1
-            if len(lines) > 1:
-                yield b"\n".join(lines)
-            lines = []
+            if lines > 1:
+                units.append((first, len(words)))
+            lines = 0
     if paragraphs > 1:
-        yield text
+        units.append((0, len(words)))
+    return words, units
 
 
 def matches(text: Column, scanner: Scanner) -> Column:
-    """Array of (score, license) of every matching unit of a text, best first; null text: empty."""
+    """Array of (score, license) of every match in a text, best first; null text: empty."""
 
     @F.arrow_udf("array<struct<score: double, license: string>>")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -119,8 +209,10 @@ def scan(docs: DataFrame, text: str = "text", templates=TEMPLATES, least: float
     Every line, every paragraph of several lines and the whole text are normalised (case,
     punctuation and white space don't count) and held against the templates by the Dice coefficient
     of their sets of word bigrams. Templates whose size alone keeps the coefficient under ``least``
-    are not compared. ``license`` is the best match (null: none; ties by name), ``licenses`` all names
-    found, sorted.
+    are not compared. So are runs of words that begin and end anywhere, across lines and paragraphs
+    or inside a line, up to 2 / least - 1 times as long as the template; a run counts where no unit tells
+    of the same license, and of runs that share words only the best. ``license`` is the best match
+    (null: none; ties by name), ``licenses`` all names found, sorted.
 
     Null and empty texts match nothing. Whole texts are read, whatever their length. Repeated rows
     are all kept, an empty table gives an empty table. Input columns with the names of the
