@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import glob
 import json
+import os
 
 import pytest
 from conftest import as_tuples
@@ -18,7 +19,13 @@ from trendlake.operators.rollups import gold_base
 from trendlake.plans import cli
 from trendlake.plans.gold import silver_to_gold
 from trendlake.plans.medallion import run_all, silver_loaders, silver_quality
-from trendlake.plans.silver import STORE_SCHEMA, LayoutError, bronze_to_silver_statistics, read_bronze_statistics
+from trendlake.plans.silver import (
+    STORE_SCHEMA,
+    LayoutError,
+    bronze_to_silver_reference,
+    bronze_to_silver_statistics,
+    read_bronze_statistics,
+)
 from trendlake.sinks.landing import land_raw_json, land_reference_json
 from trendlake.sinks.reports import RowMetrics
 from trendlake.sinks.tables import write_partitions
@@ -489,3 +496,56 @@ def test_incremental_reference(spark, write, tmp_path):
     write("region=ca/b.json", {"items": []})
     assert run() == [("ca", "1"), ("us", "3")]
     assert run() == [("ca", "1"), ("us", "3")]
+
+
+def test_incremental_reference_in_batches_as_the_batch_job(spark, write, tmp_path, monkeypatch):
+    bronze, target, progress = (str(tmp_path / name) for name in ("bronze", "silver", "progress"))
+
+    def land(day, pages, regions=("us", "ca")):
+        for region in regions:
+            for p in pages:
+                landing = {"run_id": f"run{day}", "region": region, "timestamp": f"2024-01-0{day}T05:00:00+00:00", "page": p}
+                items = [category(f"{day}{p}", "x"), category("same", f"day {day} page {p}")]
+                write(f"region={region}/date=2024-01-0{day}/layout=lines/{p}.json", json.dumps({"items": items, "_metadata": landing}))
+
+    def rows(path):
+        return as_tuples(spark.read.schema(schemas.SILVER_REFERENCE).parquet(path), "region", "id", "snippet_title")
+
+    def run():
+        incremental_reference(spark, bronze, target, progress, max_files=1)
+        bronze_to_silver_reference(spark, bronze, str(tmp_path / "batch"))
+        assert rows(target) == rows(str(tmp_path / "batch"))
+        return len(rows(target))
+
+    land(2, [0, 3])
+    assert run() == 2 * 3  # two pages and the shared id, from four batches
+    land(2, [2])  # a page between pages, in another run
+    assert run() == 2 * 4
+    land(1, [0, 9])  # late files of an older landing
+    assert run() == 2 * 4
+    land(3, [0], regions=("us",))
+    assert run() == 2 + 4
+    land(3, [1], regions=("us",))
+    plain = incremental.write_partitions
+
+    def lost(df, path, *more):
+        # The driver is lost when the old files are gone and the new ones not yet there.
+        incremental.remove_folders(spark, [path + "/region=us"])
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(incremental, "write_partitions", lost)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    monkeypatch.setattr(incremental, "write_partitions", plain)
+    assert run() == 3 + 4
+
+
+def test_incremental_reference_keeps_a_newer_landing_of_the_batch_job(spark, write, tmp_path):
+    target = str(tmp_path / "silver")
+    root = write("batch/region=us/b.json", {"items": [category("2", "new")]})
+    bronze_to_silver_reference(spark, f"{root}/batch", target)
+    write("stream/region=us/a.json", {"items": [category("1", "old")]})
+    os.utime(f"{root}/stream/region=us/a.json", (1, 1))
+    incremental_reference(spark, f"{root}/stream", target, str(tmp_path / "progress"))
+    table = spark.read.schema(schemas.SILVER_REFERENCE).parquet(target)
+    assert as_tuples(table, "id", "snippet_title") == [("2", "new")]

@@ -80,11 +80,12 @@ def distinct_keep_last(df: DataFrame, keys: Sequence[str], position: Sequence[Co
     return keep_first(df, keys, [column.desc() for column in position])
 
 
-def silver_reference(documents: DataFrame) -> DataFrame:
+def silver_reference(documents: DataFrame, keep_landing: bool = False) -> DataFrame:
     """Silver reference rows: flattened items, one per id and landing, with audit columns.
 
     The last item of an id in its region's landing counts, by page and place in the page; equal
-    places, which only pages without a number have, are decided by the item itself.
+    places, which only pages without a number have, are decided by the item itself. ``keep_landing``
+    adds the landing and the place, by which ``newest_rows`` unites rows of several runs.
     """
     position = [F.col("_page"), F.col("_pos"), F.col("etag"), F.col("snippet.title"), F.col("kind"), F.col("_source_file")]
     last = explode_reference_items(documents).transform(
@@ -102,9 +103,21 @@ def silver_reference(documents: DataFrame) -> DataFrame:
         iso_text(F.current_timestamp()).alias("_ingestion_timestamp"),
         "_source_file",
         "region",
+        *((*_LANDING, "_page", "_pos") if keep_landing else ()),
     )
 
 
+def newest_rows(rows: DataFrame) -> DataFrame:
+    """Of silver rows with their landing: each region's newest landing, the last row of an id in it.
+
+    The result for rows of several runs is that for all their documents at once. Rows without a
+    landing are older than all others.
+    """
+    position = [F.col(name) for name in ("_page", "_pos", "etag", "snippet_title", "kind", "_source_file")]
+    newest = rows.transform(newest_landing_per_region)
+    return newest.transform(distinct_keep_last, ("region", *_LANDING, "id"), position)
+
+
 def missing_fields(reference: DataFrame, required: Sequence[str] = ("id", "snippet_title")) -> DataFrame:
     """Report rows of the files in which no item carries a required field.
 

@@ -26,6 +26,16 @@ from trendlake.staging import materialize, remove_folders
 # What batch and incremental runs store: the silver columns and the landing time, which decides
 # between duplicates of different runs.
 STORE_SCHEMA = T.StructType([*schemas.SILVER_STATISTICS.fields, schemas.LANDED_AT])
+# The same for the reference table: the landing of a row and its place, by which runs are united.
+REFERENCE_STORE_SCHEMA = T.StructType(
+    [
+        *schemas.SILVER_REFERENCE.fields,
+        schemas.LANDED_AT,
+        T.StructField("_landing", T.StringType()),
+        T.StructField("_page", T.LongType()),
+        T.StructField("_pos", T.IntegerType()),
+    ]
+)
 ERRORS = T.StructType([T.StructField(name, T.StringType()) for name in ("_source_file", "region", "error")])
 
 
@@ -168,6 +178,12 @@ def bronze_to_silver_reference(
     return write_reference(documents, silver, table)
 
 
+def reference_rows(good: DataFrame) -> DataFrame:
+    """Staged rows of the newest landing of every region among good documents."""
+    rows = good.transform(newest_landing_per_region).transform(silver_reference, keep_landing=True)
+    return materialize(rows.select(*REFERENCE_STORE_SCHEMA.names), "reference-rows")
+
+
 def write_reference(documents: DataFrame, silver: str, table: str | None = None) -> ReferenceRun:
     """Replace the rows of every region with a good landing among ``documents``.
 
@@ -176,7 +192,7 @@ def write_reference(documents: DataFrame, silver: str, table: str | None = None)
     """
     parsed = materialize(documents, "reference-documents")
     good, errors = split_quarantine(parsed, require_items=True)
-    rows = materialize(good.transform(newest_landing_per_region).transform(silver_reference), "reference-rows")
+    rows = reference_rows(good)
     write_partitions(rows, silver, table=table)
     return ReferenceRun(
         processed=run_summary(rows),
