@@ -114,3 +114,25 @@ def test_best_run_from_each_start_as_by_trying_all(spark):
 def test_many_notices_in_one_line_stay_quick():
     assert found_in("x All rights reserved " * 30_000) == [(1.0, "All-Rights-Reserved")] * 30_000
     assert len(found_in(" ".join(f"{MIT} {i} {i}" for i in range(60)))) == 60
+
+
+def test_usual_notices_are_found_under_their_own_licence():
+    for name, text in TEMPLATES:
+        assert found_in(f"Some words.\n{text}\nMore of them.")[0] == (1.0, name)
+        inside = found_in(f"It says here: {text} And so on, with more words than before it, so that no short line is one.")
+        assert {n for _, n in inside} == {name} and inside[0][0] == 1.0 or len(text) > 150
+    asked = {
+        "Licensed under the BSD 3-Clause License.": "BSD-3-Clause",
+        "Licensed under the MIT License.": "MIT",
+        "This work is licensed under the GNU Lesser General Public License, version 3.": "LGPL-3.0",
+        "This work is licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0",
+        "Released under the BSD 2-Clause License": "BSD-2-Clause",
+        "// SPDX-License-Identifier: LGPL-2.1-or-later": "LGPL-2.1",
+        "# SPDX-License-Identifier: GPL-3.0-only": "GPL-3.0",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+        "// SPDX-License-Identifier: Other-9": None,
+        "// SPDX-License-Identifier: GPL-9.0": None,
+        "Licensed under the Apache License, Version 1.1.": "Apache-1.1",
+        "It is licensed under the Mozilla Public License 1.1 as a whole, and so on and so on.": "MPL-1.1",
+    }
+    assert {text: (found_in(text) or [(0, None)])[0][1] for text in asked} == asked

@@ -13,6 +13,41 @@ from pyspark.sql import functions as F
 
 from trendlake.llm._frames import Carried, parts
 
+_GNU = (
+    ("GPL-1.0", "General", "1"),
+    ("GPL-2.0", "General", "2"),
+    ("GPL-3.0", "General", "3"),
+    ("LGPL-2.0", "Library General", "2"),
+    ("LGPL-2.1", "Lesser General", "2.1"),
+    ("LGPL-3.0", "Lesser General", "3"),
+    ("AGPL-3.0", "Affero General", "3"),
+)
+
+
+def _gnu_notices(kind: str, version: str) -> tuple[str, ...]:
+    """The usual wordings for a GNU licence, the header of a source file last."""
+    name = f"GNU {kind} Public License"
+    full = version if "." in version else f"{version}.0"
+    return (
+        f"This work is licensed under the {name}, version {version}.",
+        f"Licensed under the {name} v{version}.",
+        f"Licensed under the {name} v{full}.",
+        f"This program is free software: you can redistribute it and/or modify it under the terms of the {name} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {name} for more details. You should have received a copy of the {name} along with this program. If not, see <https://www.gnu.org/licenses/>.",
+    )
+
+
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. ",
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. ",
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+)
+
+#: Identifiers of six words: of shorter and longer ones, what they share with others could match.
+_IDENTIFIERS = (
+    *("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "EPL-2.0", "BSL-1.0", "CC0-1.0"),
+    *(name for name, *_ in _GNU),
+)
+
 #: Public notices and short licence texts, by SPDX id. A text that reserves all
 #: rights is listed under "All-Rights-Reserved".
 TEMPLATES = (
@@ -30,6 +65,36 @@ TEMPLATES = (
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("All-Rights-Reserved", "All rights reserved."),
+    ("MIT", "Licensed under the MIT License."),
+    ("ISC", "Licensed under the ISC License."),
+    ("0BSD", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-2-Clause", _BSD[0] + _BSD[2]),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("BSD-3-Clause", "".join(_BSD)),
+    ("BSD", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
+    ("MPL-2.0", "Licensed under the Mozilla Public License 2.0."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("EPL-2.0", "Licensed under the Eclipse Public License 2.0."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    *((f"Apache-{v}", f"Licensed under the Apache License, Version {v}.") for v in ("1.0", "1.1")),
+    *((f"MPL-{v}", f"Licensed under the Mozilla Public License, version {v}.") for v in ("1.0", "1.1")),
+    *((f"MPL-{v}", f"Licensed under the Mozilla Public License {v}.") for v in ("1.0", "1.1")),
+    ("EPL-1.0", "Licensed under the Eclipse Public License 1.0."),
+    *((name, notice) for name, kind, version in _GNU for notice in _gnu_notices(kind, version)),
+    *((name, f"SPDX-License-Identifier: {name}") for name in _IDENTIFIERS),
 )
 
 #: Bytes that do not end a word: digits, letters and everything beyond ASCII.
@@ -52,7 +117,7 @@ def dice(a: frozenset, b: frozenset) -> float:
 
 @dataclass(frozen=True)
 class Scanner:
-    """Templates by their bigrams, the least likeness that counts, and the longest runs held against each.
+    """Templates by their bigrams, the least likeness, the longest runs held against each, all bigrams.
 
     A run of words is at most so much longer than its template as sets of bigrams may differ in size.
     """
@@ -60,12 +125,14 @@ class Scanner:
     templates: tuple[tuple[str, frozenset], ...]
     least: float
     longest: tuple[int, ...]
+    bigrams: frozenset
 
     @classmethod
     def of(cls, templates=TEMPLATES, least: float = 0.8) -> Scanner:
         told = [(name, normalised(text.encode())) for name, text in templates]
         longest = (int((len(words) - 1) * (2 - least) / least) for _, words in told)
-        return cls(tuple((name, bigrams(words)) for name, words in told), least, tuple(longest))
+        templates = tuple((name, bigrams(words)) for name, words in told)
+        return cls(templates, least, tuple(longest), frozenset().union(*(b for _, b in templates)))
 
     def match(self, grams: frozenset) -> tuple[float, str] | None:
         """Likeness and name of the best template; of equal ones, the first by name.
@@ -91,7 +158,8 @@ class Scanner:
         """
         words, units = _units(text)
         grams = bigrams(words)
-        possible = [k for k, (_, b) in enumerate(self.templates) if b and self.enough(len(b & grams), len(b))]
+        known = self.bigrams & grams
+        possible = [k for k, (_, b) in enumerate(self.templates) if b and self.enough(len(b & known), len(b))]
         if not possible:
             return []
         found = []
