@@ -67,14 +67,14 @@ def percent_of_views(amount: Column, views: Column) -> Column:
     return F.when(views > 0, F.round(amount.cast("double") / views * 100, 4)).otherwise(F.lit(0.0))
 
 
-def safe_sum(name: str) -> Column:
-    """Sum of a count, null where it is beyond a bigint: a dirty file must not end the run."""
-    return F.when(F.count(name) == 0, F.lit(0).cast("bigint")).otherwise(F.try_sum(name))
+def exact_sum(name: str) -> Column:
+    """Sum of a count that no dirty file can push out of its type, 0 where no count is known."""
+    return F.coalesce(F.sum(F.col(name).cast("decimal(28,0)")), F.lit(0)).cast("decimal(38,0)")
 
 
-def sum_of_sums(name: str) -> Column:
-    """Sum of finished ``safe_sum`` values; null where one of them or the whole is unknown."""
-    return F.when(F.count(name) == F.count(F.lit(1)), F.try_sum(name))
+def total_of(sums: Column) -> Column:
+    """An exact sum as it is published: null where it is beyond a bigint."""
+    return sums.try_cast("bigint")
 
 
 # Ratios below this many percent are summed as whole ten-thousandths.
