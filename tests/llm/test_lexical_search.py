@@ -1,0 +1,117 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+
+from trendlake.llm import _max_sketch, lexical_search
+from trendlake.llm.lexical_search import search
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def terms(text):
+    return TERM.findall((text or "").translate(UPPER))
+
+
+def brute(docs, items, k):
+    held = [(i, Counter(t), len(t)) for i, t in ((i, terms(text)) for i, text in docs) if t]
+    total, n_docs = sum(n for _, _, n in held), len(held)
+    df = Counter(t for _, c, _ in held for t in c)
+    out = []
+    for item, text in items:
+        wanted = set(terms(text)) & set(df)
+        scored = []
+        for i, c, n in held:
+            m = 100 - 50 + 50 * n * n_docs // total
+            s = sum(math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 20 * m)) for t in wanted if t in c)
+            if s > 0:
+                scored.append((-s, i is None, i or 0))
+        out += [(item, rank, None if none else i, -s) for rank, (s, none, i) in enumerate(sorted(scored)[:k], 1)]
+    return sorted(out, key=repr)
+
+
+def found(docs, items, k=5):
+    got = search(docs, items, k=k)
+    assert got.columns == ["item_id", "rank", "doc_id", "score"]
+    return sorted(map(tuple, got.collect()), key=repr)
+
+
+def corpus(seed=3, n=300):
+    chance = random.Random(seed)
+    words = [f"w{i}" for i in range(400)] + ["Ünï", "中文", "É"]
+    pick = lambda n: " ".join(chance.choices(words, weights=[1 / (i + 1) for i in range(len(words))], k=n))
+    docs = [(i, pick(chance.randint(1, 200))) for i in range(n)]
+    docs += [(1000 + i, docs[0][1]) for i in range(60)]  # copies
+    return docs, [(i, pick(20)) for i in range(12)]
+
+
+def test_against_brute_force(spark, monkeypatch):
+    docs, items = corpus()
+    d = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)
+    q = spark.createDataFrame(items, "item_id bigint, text string")
+    for k in (1, 5, 50, 1000):
+        assert found(d, q, k) == brute(docs, items, k)
+    monkeypatch.setattr(lexical_search, "BATCH_PAIRS", 30)
+    assert found(d, q, 5) == brute(docs, items, 5)
+
+
+def test_odd_rows(spark):
+    docs = [
+        (1, "the Quick fox"), (1, "the Quick fox"), (None, "the Quick fox"), (None, None), (2, None), (3, ""), (4, " .,;\n\x7f"), (5, "quick " * 100_000),
+        (6, "ÜNÏ quick fox a1B2"), (7, "fox"), (8, "x" * 200_000),
+    ]
+    items = [(1, "QUICK quick fox"), (1, "QUICK quick fox"), (None, "fox"), (2, None), (3, ""), (4, "nowhere"), (5, "ÜNÏ a1b2 A1B2"), (6, "x" * 200_000)]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    q = spark.createDataFrame(items, "item_id bigint, text string")
+    for k in (1, 4, 50):
+        assert found(d, q, k) == brute(docs, items, k)
+    more = d.selectExpr("*", "1 as row", "2 as term", "3 as DF", "4 as n", "5 as `a.b`", "6 as DOC_ID")
+    assert found(more, q.selectExpr("*", "1 as row", "2 as terms", "'z' as TEXT"), 4) == brute(docs, items, 4)
+    assert found(d.where("false"), q) == [] and found(d, q.where("false")) == []
+    assert found(d.where("doc_id in (2, 3, 4)"), q) == []
+
+
+def sketched(docs, queries):
+    texts = [t.encode() for _, t in docs]
+    sketch, *_ = _max_sketch.fold(texts)
+    rows = pa.RecordBatch.from_arrays([pa.array([i for i, _ in docs]), pa.array([t for _, t in docs]), *sketch.values()], ["id", "text", *sketch])
+    counted = Counter(t for x in texts for t in set(_max_sketch.terms_of(x)))
+    wanted = [(i, [(t, counted[t]) for t in sorted(set(_max_sketch.terms_of(q.encode()))) if t in counted]) for i, q in queries]
+    return rows, _max_sketch.Batch(wanted, len(docs), sum(sketch["n"].to_pylist()))
+
+
+def test_bounds_hold_and_leave_documents_out(monkeypatch):
+    docs, items = corpus(5, 2000)
+    items += [(12 + i, " ".join(docs[7 * i][1].split()[:30])) for i in range(12)]
+    for room, most in ((2, 1.0), (_max_sketch.ROOM, 0.5)):  # with 2, many terms share a coordinate
+        monkeypatch.setattr(_max_sketch, "ROOM", room)
+        held_and_left_out(*sketched(docs, items), docs, items, most, monkeypatch)
+
+
+def held_and_left_out(rows, batch, docs, items, most, monkeypatch):
+    exact = batch.scores([t.encode() for _, t in docs], rows.column("n").to_pylist())
+    bounds = batch.bounds(rows)
+    assert (bounds >= exact).all() and (bounds > exact).any()
+    read = []
+    plain = batch.scores
+    monkeypatch.setattr(batch, "scores", lambda texts, n: read.append(len(texts)) or plain(texts, n))
+
+    class Sent:
+        value = batch
+
+    out = pa.Table.from_batches(_max_sketch.best(iter([rows]), Sent, 5))
+    for q in range(len(items)):
+        mine = sorted(s for r, s in zip(out["row"].to_pylist(), out["score"].to_pylist()) if r == q)
+        assert mine == sorted(exact[:, q])[-5:]
+    assert sum(read) <= len(docs) * most
+
+
+def test_sums_beyond_a_double_stay_exact():
+    weights = np.array([2**40, 2**40 + 1])
+    lists = _max_sketch.Postings(np.array([0, 0]), np.array([0, 1]), weights, 1)
+    args = np.array([0]), np.array([0]), np.array([999_999]), (1, 2)
+    assert lists.scores(*args, exact=False).tolist() == [[int(w) * 999_999 for w in weights]]

@@ -188,3 +188,38 @@ WITH template AS (
 )
 SELECT doc_id, license, license_score, coalesce(n_matches, 0) AS n_matches, coalesce(licenses, '') AS licenses FROM d LEFT JOIN found USING (r)
 """
+
+
+_SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+LINES = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+split AS (SELECT r, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d),
+keyed AS (SELECT *, translate(trim(line, {_SPACE}), '{_UPPER}', '{_LOWER}') AS k FROM split),
+common AS (SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT r) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM (SELECT *, k IN (SELECT k FROM common) AS gone FROM keyed) GROUP BY r, doc_id
+"""
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+RANKED = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '{_TERM}') AS ts FROM documents
+), held AS (SELECT r, doc_id, len(ts)::BIGINT AS n, ts FROM d WHERE len(ts) > 0),
+corpus AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_words FROM held),
+tf AS (SELECT r, t, count(*)::BIGINT AS tf FROM (SELECT r, unnest(ts) AS t FROM held) GROUP BY r, t),
+w AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, corpus GROUP BY t, n_docs),
+items AS (
+  SELECT q, item_id, unnest(list_distinct(ts)) AS t FROM (
+    SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '{_TERM}') AS ts FROM benchmark)
+), scored AS (
+  SELECT q, any_value(item_id) AS item_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_words))))::BIGINT AS score
+  FROM items JOIN tf USING (t) JOIN w USING (t) JOIN held USING (r), corpus GROUP BY q, r
+)
+SELECT item_id, (row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST))::INTEGER AS rank, doc_id, score
+FROM scored JOIN (SELECT r, doc_id FROM held) USING (r) WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) <= 50
+"""

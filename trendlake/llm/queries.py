@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from trendlake.llm import (
     bpe_codec,
     chat_format,
+    conversation_repair,
+    lexical_search,
     license_scans,
+    line_dedup,
     mixing,
     oracles,
     quality_classifier,
@@ -139,3 +142,39 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
     counted = token_counts.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), limit=2048)
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query(oracles.RANKED)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+@query(oracles.LINES)
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = pick(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text")
+    marked = line_dedup.keep_bitmaps(docs, min_docs=10, min_chars=1, keep_text=True)
+    kept = line_dedup.kept_lines(F.col("text"), F.col("keep"))
+    return marked.select("doc_id", "n_lines", "n_dropped", F.sha2(kept, 256).alias("kept_sha256"))
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Some rows lost, emptied, cut off, repeated or with a wrong role, by the CRC of their key."""
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit(" ")).alias(c) for c in ("role", "text")]
+    key = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    harm = turns.select("conv_id", "turn", *shown, (F.crc32(key) % 20).alias("harm"))
+    return harm.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("harm") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("harm") == 1, "").when(F.col("harm") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+        (F.col("harm") == 0).alias("lost"),
+        F.explode(F.when(F.col("harm") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+    )
+
+
+@query()
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = pick(table(spark, sf_dir, "conversations"), conv_id="conv_id", turn="turn", role="role", text="text")
+    repaired = conversation_repair.repair_conversations(damaged(turns), lost="lost")
+    said = F.array_join(F.transform("repaired", lambda t: F.concat(t.role, F.lit(":"), t.text)), "\n")
+    return repaired.select("conv_id", *conversation_repair.COUNTS, "audit", F.sha2(said, 256).alias("repaired_sha256"))
