@@ -79,7 +79,7 @@ def table_loader(spark: SparkSession, silver: str, name: str):
 
 
 def listed(rows: DataFrame, most: int = 100) -> dict:
-    """Number of rows and the first of them, for the printed summary; all are in the frame."""
+    """Number of rows and the first of them, for the printed summary; all are stored by run id."""
     shown = rows.orderBy(*rows.columns).limit(most).toJSON().collect()
     return {"count": rows.count(), "first": [json.loads(row) for row in shown]}
 
@@ -99,6 +99,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
             not args.no_rebalance,
         )
         return {
+            "run_id": done.run_id,
             "skipped": done.skipped,
             "read": done.rows_read,
             "written": done.rows_written,
@@ -109,6 +110,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
             spark, args.bronze, args.silver, args.regions, args.layout, args.table
         )
         return {
+            "run_id": done.run_id,
             "files_written": done.processed.count(),
             "errors": listed(done.errors),
             "warnings": listed(done.warnings),
@@ -144,6 +146,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
             args.failed,
         )
         return {
+            "run_id": done.statistics.run_id,
             "read": done.statistics.rows_read,
             "written": done.statistics.rows_written,
             **done.gold_rows,

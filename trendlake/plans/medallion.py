@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from trendlake import schemas
@@ -15,11 +14,12 @@ from trendlake.plans.gold import silver_to_gold
 from trendlake.plans.silver import (
     ReferenceRun,
     StatisticsRun,
-    bronze_to_silver_reference,
     bronze_to_silver_statistics,
+    write_reference,
 )
-from trendlake.sinks.reports import region_outcomes, run_summary, write_dq_report, write_failed_checks
-from trendlake.sources.files import is_absent, optional_frame
+from trendlake.sinks.reports import region_outcomes, run_summary, write_dq_report, write_failed_checks, write_run_rows
+from trendlake.sources.files import optional_frame
+from trendlake.sources.reference import read_reference_json
 from trendlake.sources.tables import read_table
 
 
@@ -37,7 +37,8 @@ class QualityRun:
 class MedallionRun:
     """What a whole run did; ``reference`` is None when there was no reference folder.
 
-    ``outcomes`` has every region that was landed, with the number of its unusable documents.
+    ``outcomes`` has every region that was landed, with the number of its unusable documents; it is stored
+    by the run id of the statistics beside their table.
     """
 
     statistics: StatisticsRun
@@ -96,9 +97,8 @@ def run_all(
     category without an earlier reference table is unknown.
     """
     silver = silver.rstrip("/")
-    reference = optional_run(
-        lambda: bronze_to_silver_reference(spark, bronze_reference, f"{silver}/{REFERENCE_TABLE}", regions, layout)
-    )
+    documents = optional_frame(lambda: read_reference_json(spark, bronze_reference, regions, layout))
+    reference = None if documents is None else write_reference(documents, f"{silver}/{REFERENCE_TABLE}")
     statistics = bronze_to_silver_statistics(
         spark, bronze_statistics, f"{silver}/{STATISTICS_TABLE}", regions=regions, layout=layout
     )
@@ -113,14 +113,6 @@ def run_all(
     gold_rows = silver_to_gold(loaders[STATISTICS_TABLE](), loaders[REFERENCE_TABLE], gold)
     stored = run_summary(loaders[STATISTICS_TABLE](), ["region"])
     errors = statistics.errors if reference is None else statistics.errors.unionByName(reference.errors)
-    return MedallionRun(statistics, reference, quality, gold_rows, region_outcomes(stored, errors))
-
+    outcomes = write_run_rows(region_outcomes(stored, errors), f"{silver}/{STATISTICS_TABLE}", "outcomes", statistics.run_id)
+    return MedallionRun(statistics, reference, quality, gold_rows, outcomes)
 
-def optional_run(job: Callable[[], ReferenceRun]) -> ReferenceRun | None:
-    """The run, or None when the folder it reads does not exist."""
-    try:
-        return job()
-    except AnalysisException as error:
-        if is_absent(error):
-            return None
-        raise

@@ -15,13 +15,14 @@ from trendlake.operators.clean import silver_statistics
 from trendlake.operators.normalize import unify_formats
 from trendlake.operators.reference import missing_fields, newest_landing_per_region, silver_reference
 from trendlake.schemas import SILVER_PARTITIONS
-from trendlake.sinks.reports import RowMetrics, run_summary
+from trendlake.sinks.reports import RowMetrics, new_run_id, run_summary, write_run_rows
 from trendlake.sinks.tables import register_table, write_partitions
+from trendlake.sources.csv_records import read_csv_files
 from trendlake.sources.files import optional_frame
 from trendlake.sources.quarantine import split_quarantine
 from trendlake.sources.reference import read_reference_json
-from trendlake.sources.statistics import explode_items, read_stats_api_json, read_stats_csv
-from trendlake.staging import materialize, remove_folders
+from trendlake.sources.statistics import CSV_COLUMNS, explode_items, read_stats_api_json
+from trendlake.staging import cleared_staging, materialize, remove_folders
 
 # What batch and incremental runs store: the silver columns and the landing time, which decides
 # between duplicates of different runs.
@@ -48,10 +49,11 @@ class StatisticsRun:
     """What a statistics run did; ``skipped`` when there was nothing to read.
 
     ``rows_read`` is None when no row had an id, as nothing was then counted. ``errors`` has
-    a row for each document that could not be used.
+    a row for each document or CSV file that could not be used; it reads what is stored beside the table.
     """
 
     errors: DataFrame
+    run_id: str
     skipped: bool = False
     rows_read: int | None = 0
     rows_written: int = 0
@@ -60,8 +62,12 @@ class StatisticsRun:
 
 @dataclass(frozen=True)
 class ReferenceRun:
-    """Written rows per file, unusable files, and files whose items lack a required field."""
+    """Written rows per file, unusable files, and files whose items lack a required field.
 
+    All three read what is stored beside the table.
+    """
+
+    run_id: str
     processed: DataFrame
     errors: DataFrame
     warnings: DataFrame
@@ -74,16 +80,21 @@ def read_bronze_statistics(
     layout: str = "auto",
     multi_line: bool = True,
 ) -> tuple[DataFrame | None, DataFrame]:
-    """CSV history and API documents below ``root`` as one frame, and the unusable documents.
+    """CSV history and API documents below ``root`` as one frame, and the unusable files and documents.
 
-    The frame is None without any file.
+    The frame is None without any file. The documents are parsed once, into a staged table that
+    rows and errors share.
     """
-    csv = optional_frame(lambda: read_stats_csv(spark, root, regions, multi_line=multi_line))
+    csv = read_csv_files(spark, root, CSV_COLUMNS, regions, multi_line)
     documents = optional_frame(lambda: read_stats_api_json(spark, root, regions, layout))
-    frames, errors = [] if csv is None else [csv], spark.createDataFrame([], ERRORS)
+    frames, errors = [], spark.createDataFrame([], ERRORS)
+    if csv is not None:
+        frames.append(csv.rows)
+        errors = errors.unionByName(csv.errors)
     if documents is not None:
-        good, errors = split_quarantine(documents)
+        good, bad = split_quarantine(materialize(documents, "api-documents"))
         frames.append(explode_items(good))
+        errors = errors.unionByName(bad)
     return unify_formats(*frames, keep_landed_at=True) if frames else None, errors
 
 
@@ -101,32 +112,35 @@ def bronze_to_silver_statistics(
     """Clean, deduplicate and write the statistics in one job.
 
     Row and null counts are observed during the write instead of being counted again. A region
-    is replaced as a whole: days it no longer has are removed. The unusable documents are staged,
-    so that the caller can look at them.
+    is replaced as a whole: days it no longer has are removed. All unusable files and documents are
+    stored by run id beside the table, before anything of it is written.
     """
     check_layout(spark, silver, SILVER_PARTITIONS)
-    raw, errors = read_bronze_statistics(spark, bronze, regions, layout, multi_line)
-    errors = materialize(errors, "statistics-errors")
-    if raw is None or raw.isEmpty():
-        return StatisticsRun(errors, skipped=True)
-    read, written = RowMetrics.new("read"), RowMetrics.new("written")
-    result = silver_statistics(read.watch(raw), job_name, keep_landed_at=True).select(*STORE_SCHEMA.names)
-    if rebalance:
-        result = result.hint("rebalance", *SILVER_PARTITIONS)
-    stamp = F.unix_micros(F.max("_processed_at")).alias("stamp")
-    checked = written.watch(result, nulls=("video_id", "title", "views"), more=[stamp])
-    write_partitions(checked, silver, SILVER_PARTITIONS, rebalance=False)
-    counts = written.result()
-    if (stamp := counts.pop("stamp", None)) is not None:
-        remove_stale_days(spark, silver, stamp)
-        if table is not None:
-            register_table(spark, table, silver)
-    return StatisticsRun(
-        errors,
-        rows_read=read.result().get("rows"),
-        rows_written=counts.pop("rows", 0),
-        null_counts={name.removeprefix("null_"): count for name, count in counts.items()},
-    )
+    with cleared_staging(spark):
+        run_id = new_run_id()
+        raw, errors = read_bronze_statistics(spark, bronze, regions, layout, multi_line)
+        errors = write_run_rows(errors, silver, "errors", run_id)
+        if raw is None or raw.isEmpty():
+            return StatisticsRun(errors, run_id, skipped=True)
+        read, written = RowMetrics.new("read"), RowMetrics.new("written")
+        result = silver_statistics(read.watch(raw), job_name, keep_landed_at=True).select(*STORE_SCHEMA.names)
+        if rebalance:
+            result = result.hint("rebalance", *SILVER_PARTITIONS)
+        stamp = F.unix_micros(F.max("_processed_at")).alias("stamp")
+        checked = written.watch(result, nulls=("video_id", "title", "views"), more=[stamp])
+        write_partitions(checked, silver, SILVER_PARTITIONS, rebalance=False)
+        counts = written.result()
+        if (stamp := counts.pop("stamp", None)) is not None:
+            remove_stale_days(spark, silver, stamp)
+            if table is not None:
+                register_table(spark, table, silver)
+        return StatisticsRun(
+            errors,
+            run_id,
+            rows_read=read.result().get("rows"),
+            rows_written=counts.pop("rows", 0),
+            null_counts={name.removeprefix("null_"): count for name, count in counts.items()},
+        )
 
 
 def check_layout(spark: SparkSession, path: str, partitions: Sequence[str]) -> None:
@@ -188,14 +202,16 @@ def write_reference(documents: DataFrame, silver: str, table: str | None = None)
     """Replace the rows of every region with a good landing among ``documents``.
 
     The parsed documents are staged once: the rows, the errors and the summaries come from the
-    staged table, so that a file is not parsed again for each of them.
+    staged table, so that a file is not parsed again for each of them. Errors and warnings are
+    stored by run id beside the table.
     """
-    parsed = materialize(documents, "reference-documents")
-    good, errors = split_quarantine(parsed, require_items=True)
-    rows = reference_rows(good)
-    write_partitions(rows, silver, table=table)
-    return ReferenceRun(
-        processed=run_summary(rows),
-        errors=errors.select("_source_file", "region", "error"),
-        warnings=missing_fields(rows),
-    )
+    with cleared_staging(documents.sparkSession):
+        run_id = new_run_id()
+        parsed = materialize(documents, "reference-documents")
+        good, errors = split_quarantine(parsed, require_items=True)
+        stored = write_run_rows(errors.select("_source_file", "region", "error"), silver, "errors", run_id)
+        rows = reference_rows(good)
+        warnings = write_run_rows(missing_fields(rows), silver, "warnings", run_id)
+        write_partitions(rows, silver, table=table)
+        files = write_run_rows(run_summary(rows), silver, "files", run_id)
+        return ReferenceRun(run_id, processed=files, errors=stored, warnings=warnings)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import UTC, datetime
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
@@ -34,6 +35,26 @@ def write_failed_checks(report: DataFrame, path: str) -> None:
     failed_checks_json(report).write.mode("append").json(path)
 
 
+def new_run_id() -> str:
+    """Name of a run: its start, and a part that no other run has."""
+    return f"{datetime.now(UTC):%Y%m%d_%H%M%S}-{uuid.uuid4().hex[:8]}"
+
+
+def run_folder(target: str, kind: str) -> str:
+    """Where the runs that write the table ``target`` keep rows of a kind, beside it."""
+    return f"{target.rstrip('/')}_run_{kind}"
+
+
+def write_run_rows(rows: DataFrame, target: str, kind: str, run_id: str) -> DataFrame:
+    """Store all rows that a run has to tell, its errors say, by its id; the stored rows.
+
+    The folder of a run is a partition ``run`` of the table of all runs.
+    """
+    folder = f"{run_folder(target, kind)}/run={run_id}"
+    rows.write.mode("overwrite").parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def run_summary(df: DataFrame, by: Sequence[str] = ("_source_file", "region")) -> DataFrame:
     """Rows per file and region."""
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))

@@ -13,6 +13,9 @@ from trendlake.config import UNKNOWN_REGION
 from trendlake.functions.clock import instant
 from trendlake.sources.files import json_texts, parse_documents, region_folders, source_columns
 
+#: What a CSV file has to have; its folder names the region.
+CSV_COLUMNS = tuple(name for name in schemas.STATISTICS.names if name != "region")
+
 
 def read_stats_csv(
     spark: SparkSession,
@@ -25,7 +28,8 @@ def read_stats_csv(
     from the folder.
 
     Columns are matched by header name; a file whose header differs from the first one
-    fails the read instead of shifting its values (read such regions one by one).
+    fails the read instead of shifting its values. The jobs read with
+    :func:`trendlake.sources.csv_records.read_csv_files`, where every file may have its own header.
     ``columns`` gives the header without looking at a file. Quoted line breaks need
     ``multi_line``, which makes a file the unit of work; where titles are known to hold
     none, turn it off and large files are split between tasks.
