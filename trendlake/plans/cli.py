@@ -12,6 +12,7 @@ from trendlake import schemas
 from trendlake.config import REFERENCE_TABLE, STATISTICS_TABLE, QualityRules
 from trendlake.operators.quality import QualityGateError
 from trendlake.plans.gold import silver_to_gold
+from trendlake.plans.gold_changes import follow_changes
 from trendlake.plans.medallion import run_all, silver_loaders, silver_quality
 from trendlake.plans.silver import bronze_to_silver_reference, bronze_to_silver_statistics
 from trendlake.session import build_session
@@ -56,6 +57,9 @@ def build_parser() -> argparse.ArgumentParser:
     gold = job("gold", "silver", "gold")
     gold.add_argument("--database", help="catalog database to register the gold tables in")
 
+    follow = job("new-gold", "silver", "gold", "state")
+    follow.description = "Bring gold to the days that the silver jobs changed since the last time."
+
     whole = job("all", "bronze-statistics", "bronze-reference", "silver", "gold")
     bronze_options(whole)
     whole.add_argument("--report", help="folder the report rows are appended to")
@@ -132,6 +136,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
         tables = {name: f"{args.database}.{name}" for name in names} if args.database else None
         loader = silver_loaders(spark, silver)[REFERENCE_TABLE]
         return silver_to_gold(statistics, loader, args.gold, tables)
+    if args.job == "new-gold":
+        silver = args.silver.rstrip("/")
+        loader = silver_loaders(spark, silver)[REFERENCE_TABLE]
+        return {"runs": follow_changes(spark, f"{silver}/{STATISTICS_TABLE}", loader, args.state, args.gold)}
     if args.job == "all":
         done = run_all(
             spark,

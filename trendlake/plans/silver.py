@@ -131,7 +131,7 @@ def bronze_to_silver_statistics(
         write_partitions(checked, silver, SILVER_PARTITIONS, rebalance=False)
         counts = written.result()
         if (stamp := counts.pop("stamp", None)) is not None:
-            remove_stale_days(spark, silver, stamp)
+            remove_stale_days(spark, silver, stamp, run_id)
             if table is not None:
                 register_table(spark, table, silver)
         return StatisticsRun(
@@ -163,8 +163,8 @@ def check_layout(spark: SparkSession, path: str, partitions: Sequence[str]) -> N
         raise LayoutError(f"{path} is partitioned by {depth}, not by {list(partitions)}")
 
 
-def remove_stale_days(spark: SparkSession, silver: str, stamp: int) -> None:
-    """Drop the days that a run did not write, of the regions that it did.
+def remove_stale_days(spark: SparkSession, silver: str, stamp: int, run_id: str) -> None:
+    """Drop the days that a run did not write, of the regions that it did; store all days of these regions as changed.
 
     Rows of a run share their processing time, ``stamp`` in microseconds. One row a partition
     reaches the driver, and only of partitions that are to be removed.
@@ -172,11 +172,12 @@ def remove_stale_days(spark: SparkSession, silver: str, stamp: int) -> None:
     stored = spark.read.schema(STORE_SCHEMA).parquet(silver)
     folder = F.regexp_replace(stored.metadataColumn("_metadata").getField("file_path"), "/[^/]*$", "")
     ours = (F.unix_micros("_processed_at") == stamp).alias("ours")
-    days = stored.select("region", folder.alias("folder"), ours).groupBy("region", "folder").agg(F.bool_or("ours").alias("ours"))
+    days = stored.select(*SILVER_PARTITIONS, folder.alias("folder"), ours).groupBy(*SILVER_PARTITIONS, "folder").agg(F.bool_or("ours").alias("ours"))
     regions = days.groupBy(F.col("region").alias("_region")).agg(F.bool_or("ours").alias("_ours"))
-    both = days.join(regions, F.col("region").eqNullSafe(F.col("_region")))
-    stale = both.filter("_ours AND NOT ours").select("folder")
-    remove_folders(spark, [unquote(row["folder"]) for row in stale.collect()])
+    both = days.join(regions, F.col("region").eqNullSafe(F.col("_region"))).filter("_ours")
+    touched = materialize(both.select(*SILVER_PARTITIONS, "folder", "ours"), "touched-days")
+    write_run_rows(touched.select(*SILVER_PARTITIONS), silver, "changes", run_id)
+    remove_folders(spark, [unquote(row["folder"]) for row in touched.filter("NOT ours").select("folder").collect()])
 
 
 def bronze_to_silver_reference(

@@ -36,6 +36,13 @@ def write_partitions(
         register_table(df.sparkSession, table, path)
 
 
+def partition_folder(spark: SparkSession, path: str, values: dict) -> str:
+    """Folder of a partition, as Spark names it."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    parts = [names.getPartitionPathString(name, None if value is None else str(value)) for name, value in values.items()]
+    return "/".join([path.rstrip("/"), *parts])
+
+
 def register_table(spark: SparkSession, table: str, path: str) -> None:
     """Make the folder known to the catalog, with the partitions it has now and no others."""
     if not spark.catalog.tableExists(table):

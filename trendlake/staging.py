@@ -69,3 +69,18 @@ def remove_folders(spark: SparkSession, folders: list[str]) -> None:
     for folder in folders:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(conf).delete(path, True)
+
+
+def is_finished(spark: SparkSession, folder: str) -> bool:
+    """Whether a table was written to ``folder`` to its end."""
+    files = spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS"))
+
+
+def list_folders(spark: SparkSession, folder: str) -> list[str]:
+    """The folders right below ``folder``, none if it does not exist."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    return [str(s.getPath().toString()) for s in files.listStatus(path) if s.isDirectory()]

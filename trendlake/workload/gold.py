@@ -12,11 +12,14 @@ from trendlake.operators import enrich, quality, rollups
 from trendlake.operators.ranking import rank_in_group
 from trendlake.plans.gold import silver_to_gold as run_gold
 from trendlake.plans.gold import staged_base
+from trendlake.plans.gold_changes import update_gold
 from trendlake.plans.medallion import run_all as run_medallion
+from trendlake.schemas import SILVER_PARTITIONS, SILVER_STATISTICS
 from trendlake.sinks.landing import land_reference_json
 from trendlake.sinks.reports import failed_checks_json
+from trendlake.sinks.tables import partition_folder, write_partitions
 from trendlake.sources.tables import optional_table as optional
-from trendlake.staging import materialize, new_folder
+from trendlake.staging import materialize, new_folder, remove_folders
 from trendlake.workload import inputs
 from trendlake.workload.oracle_ctes import (
     BRONZE,
@@ -359,6 +362,42 @@ def silver_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _gold_rows(spark, gold)
 
 
+@query(_gold_sql(ENRICHED, "enriched"))
+def gold_after_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold kept up to date: built over other statistics first, then following the days that change.
+
+    At first every third month has other counts and channels and lacks half of its rows, and each region has a day
+    that goes away. Only the changed days are read again, yet gold is that of the final statistics.
+    """
+    silver, state, gold = (new_folder(spark, label) for label in ("silver", "state", "gold"))
+    final = materialize(silver_frame(spark, sf_dir), "silver")
+    third = F.coalesce(F.month("trending_date_parsed") % 3 == 0, F.lit(False))
+    early = final.filter(~third | (F.col("views") % 2 == 0)).withColumns(
+        {
+            "views": F.when(third, F.col("views") + 1_000_000).otherwise(F.col("views")),
+            "channel_title": F.when(third & (F.col("views") % 5 == 0), F.lit("passing")).otherwise(F.col("channel_title")),
+        }
+    )
+    vanishing = final.filter(F.month("trending_date_parsed") == 1).withColumn("trending_date_parsed", F.lit("1999-01-01").cast("date"))
+    first = early.unionByName(vanishing.dropDuplicates(["video_id", "region"]))
+    write_partitions(first, silver, SILVER_PARTITIONS)
+
+    def loader() -> DataFrame:
+        return inputs.reference_rows(spark, sf_dir)
+
+    def stored() -> DataFrame:
+        return spark.read.schema(SILVER_STATISTICS).parquet(silver)
+
+    update_gold(stored(), loader, stored(), state, gold)
+    changed = materialize(first.filter(third | (F.year("trending_date_parsed") == 1999)).select(*SILVER_PARTITIONS).distinct(), "changed")
+    write_partitions(final.filter(third), silver, SILVER_PARTITIONS)
+    gone = changed.filter(F.year("trending_date_parsed") == 1999).collect()  # one row a region
+    remove_folders(spark, [partition_folder(spark, silver, row.asDict()) for row in gone])
+    changed = changed.unionByName(final.filter(third).select(*SILVER_PARTITIONS).distinct())
+    update_gold(stored(), loader, changed, state, gold)
+    return _gold_rows(spark, gold)
+
+
 # In one run all reference rows are ingested at the same time: the greatest name of an id counts.
 _LANDED_LOOKUP = f"""{REFERENCE},
 last_names AS (
