@@ -52,11 +52,11 @@ def corpus(spark, seed=3):
 
 
 def test_rules_as_in_sql(spark, tmp_path):
-    for rules in (Rules(), Rules(least_docs=5, reach=1.0, short=1.0)):
+    for rules in (Rules(), Rules(prior_docs=5, reach=1.0, short=1.0)):
         df = corpus(spark)
         got = judge(df.repartition(5), rules=rules).select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
         db = duckdb.connect()
-        path = str(tmp_path / f"docs{rules.least_docs}")
+        path = str(tmp_path / f"docs{rules.prior_docs}")
         df.coalesce(1).write.parquet(path)
         db.sql(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
         want = db.sql(oracles.rules_sql(rules)).fetchall()
@@ -65,17 +65,66 @@ def test_rules_as_in_sql(spark, tmp_path):
         assert verdicts == {True, False}
 
 
-def test_sketches_merge_to_the_same_quartiles(spark):
+def test_fences_come_from_the_quantiles_of_sketches(spark):
     rules = Rules()
     rng = np.random.default_rng(4)
-    values = np.sort(np.r_[rng.lognormal(size=3000), np.zeros(100)])
+    values = np.sort(np.r_[rng.lognormal(size=3000), np.zeros(700)])
     frame = spark.createDataFrame([(str(i % 3), str(i % 7), float(v)) for i, v in enumerate(values)], "lang string, source string, x double")
-    rates = frame.select("lang", "source", *(F.col("x").alias(n) for n, _ in rules.floors))
-    (row,) = quality_rules.quartiles(quality_rules.sketches(rates, rules.gamma), [], rules.gamma).where("metric = 'chars_per_word'").collect()
-    for q, share in ((row.q1, 0.25), (row.q2, 0.5), (row.q3, 0.75)):
-        true = values[int(np.ceil(share * len(values))) - 1]
-        assert abs(q - true) <= rules.accuracy * true * 1.01
-    assert row.docs == len(values)
+    rates = frame.select("lang", "source", *(F.col("x").alias(n) for n in quality_rules.METRICS))
+    sketch = quality_rules.sketches(rates, rules.gamma)
+    found = {r.metric: r for r in quality_rules.fences(quality_rules.merged(sketch, []), [], rules).collect()}
+    at = lambda share, v: v[int(np.ceil(share * len(v))) - 1]
+    q1, q3, usual = at(0.25, values), at(0.75, values), at(0.5, values[700:])
+    near = lambda a, b: abs(a - b) <= 0.03 * (abs(b) + q3)
+    assert near(found["chars_per_word"].high, q3 + 3 * (q3 - q1)) and near(found["chars_per_word"].low, q1 - 3 * (q3 - q1))
+    assert near(found["symbols_per_word"].high, 3 * usual * (3000 / 3700) ** 0.5) and found["symbols_per_word"].low is None
+
+
+def rated(spark, rate):
+    """A sketch of documents of two sources; ``rate`` gives the rate of the i-th of a source."""
+    rows_ = [("en", source, rate(source, i)) for source in "ab" for i in range(400)]
+    frame = spark.createDataFrame(rows_, "lang string, source string, x double")
+    return quality_rules.sketches(frame.select("lang", "source", *(F.col("x").alias(n) for n in quality_rules.METRICS)), Rules().gamma)
+
+
+def test_fences_follow_their_group_and_stay_within_the_parent(spark):
+    fence = lambda rate: {r.source: r.t_symbols_per_word.high for r in quality_rules.thresholds(rated(spark, rate), Rules()).collect()}
+    usual = fence(lambda s, i: 0.02 + i / 4000 if i % 4 == 0 else 0.0)
+    doubled = fence(lambda s, i: (2 if s == "a" else 1) * (0.02 + i / 4000) if i % 4 == 0 else 0.0)
+    halved = fence(lambda s, i: (0.5 if s == "a" else 1) * (0.02 + i / 4000) if i % 4 == 0 else 0.0)
+    assert halved["a"] < 0.7 * usual["a"] and doubled["a"] > usual["a"]
+    # Half of a source is junk: its fence stays below the junk, though its own quantiles lie in it.
+    junk = fence(lambda s, i: 2.0 + i / 400 if s == "a" and i % 2 else 0.02 + i / 4000 if i % 4 == 0 else 0.0)
+    assert junk["a"] < 2.0 and junk["b"] < 0.5
+
+
+def test_a_source_half_full_of_junk_is_cut(spark):
+    random.seed(5)
+    words = ["alpha", "be", "gamma", "delta", "epsilon", "of", "zeta", "eta", "theta", "iota", "kappa", "nu", "xi", "pi", "rho"]
+    text = lambda: " ".join(random.choices(words, k=60))
+    out = [(i, text(), "en", f"s{i % 6}") for i in range(1200)]
+    junk = {i for i, _, _, source in out if source == "s0" and i % 4 == 0}
+    out = [(i, " ".join(w + "##" for w in t.split()) if i in junk else t, lang, source) for i, t, lang, source in out]
+    kept = {r.doc_id for r in judge(spark.createDataFrame(out, "doc_id bigint, text string, lang string, source string")).where("kept").collect()}
+    assert not kept & junk and len(kept) > 0.97 * (1200 - len(junk))
+
+
+def test_one_document_more_changes_a_fence_only_a_little(spark):
+    def of(n):
+        rows_ = [("en", "a", 0.1 + i % 7 / 100) for i in range(n)] + [("en", "b", 0.4 + i % 9 / 100) for i in range(500)]
+        frame = spark.createDataFrame(rows_, "lang string, source string, x double")
+        sketch = quality_rules.sketches(frame.select("lang", "source", *(F.col("x").alias(m) for m in quality_rules.METRICS)), Rules().gamma)
+        (row,) = quality_rules.thresholds(sketch, Rules()).where("source = 'a'").collect()
+        return row.t_repeated_per_word.high
+
+    assert abs(of(49) - of(50)) < 0.05 * of(49) and abs(of(200) / of(49) - 1) < 3
+
+
+def test_two_metrics_decide_on_the_test_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    judged = judge(docs).where("NOT base_failed AND NOT kept")
+    rates = {"symbols": judged.where("n_symbols > 0"), "lines": judged.where("n_dup_lines > 0 AND n_symbols = 0"), "words": judged.where("n_repeat_words > 0 AND n_symbols = 0 AND n_dup_lines = 0")}
+    assert sum(frame.count() > 0 for frame in rates.values()) >= 2
 
 
 def test_rules_on_odd_rows(spark, odd, empty, clashing):

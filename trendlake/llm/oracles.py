@@ -89,7 +89,6 @@ FROM placed
 
 def rules_sql(rules) -> str:
     """The counts, the sketches and the fences of the quality rules, with the values of ``rules``."""
-    names = [name for name, _ in rules.floors]
     rates = {
         "chars_per_word": "word_chars / nullif(n_words, 0)",
         "symbols_per_word": "n_symbols / nullif(n_words, 0)",
@@ -97,23 +96,26 @@ def rules_sql(rules) -> str:
         "repeated_per_word": "n_repeat_words / nullif(n_words, 0)",
     }
     zero = -(1 << 62)
-    gamma, step = rules.gamma, rules.log_gamma
+    gamma, step, reach = rules.gamma, rules.log_gamma, f"{rules.reach!r}::DOUBLE"
     value = f"CASE WHEN bucket = {zero} THEN 0.0 ELSE pow({gamma!r}::DOUBLE, bucket::DOUBLE) * {2 / (1 + gamma)!r}::DOUBLE END"
 
-    def quartiles(table: str, group: str) -> str:
+    def fences(table: str, sketch: str, group: str) -> str:
         keys = f"{group}, metric" if group else "metric"
-        at = ", ".join(f"min({value}) FILTER (upto >= {share}::DOUBLE * docs) AS q{i}" for i, share in ((1, 0.25), (2, 0.5), (3, 0.75)))
         return f"""{table} AS (
-  SELECT {keys}, max(docs) AS docs, {at} FROM (
-    SELECT {keys}, bucket, sum(n) OVER (PARTITION BY {keys} ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {keys}) AS docs
-    FROM (SELECT {keys}, bucket, sum(n) AS n FROM sketch GROUP BY {keys}, bucket)) GROUP BY {keys})"""
-
-    seen = " UNION ALL ".join(f"SELECT lang, source, '{n}' AS metric, {n} AS rate FROM rated WHERE {n} IS NOT NULL" for n in names)
-    fences = " AND ".join(
-        f"""coalesce((SELECT {n} <= q3 + {rules.reach!r}::DOUBLE * spread AND {n} >= q1 - {rules.reach!r}::DOUBLE * spread FROM (
-      SELECT *, greatest(q3 - q1, {floor!r}::DOUBLE, q2 * {rules.relative!r}::DOUBLE) * (1 + {rules.short!r}::DOUBLE / n_words) AS spread
-      FROM used WHERE metric = '{n}' AND used.lang IS NOT DISTINCT FROM rated.lang AND used.source IS NOT DISTINCT FROM rated.source)), true)"""
-        for n, floor in rules.floors
+  SELECT *, CASE WHEN metric = 'chars_per_word' THEN q1 - {reach} * (q3 - q1) END AS low,
+    CASE WHEN metric = 'chars_per_word' THEN q3 + {reach} * (q3 - q1) ELSE usual * sqrt(share) * {reach} END AS high
+  FROM (SELECT {keys}, min({value}) FILTER (4 * upto >= docs) AS q1, min({value}) FILTER (4 * upto >= 3 * docs) AS q3,
+      min({value}) FILTER (bucket > {zero} AND 2 * (upto - zero) >= docs - zero) AS usual, (max(docs) - max(zero))::DOUBLE / max(docs)::DOUBLE AS share
+    FROM (SELECT {keys}, bucket, sum(n) OVER (PARTITION BY {keys} ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {keys}) AS docs,
+        coalesce(sum(n) FILTER (bucket = {zero}) OVER (PARTITION BY {keys}), 0) AS zero FROM {sketch})
+    GROUP BY {keys}))"""
+
+    seen = " UNION ALL ".join(f"SELECT lang, source, '{n}' AS metric, {n} AS rate FROM rated WHERE {n} IS NOT NULL" for n in rates)
+    wide = f"(1 + {rules.short!r}::DOUBLE / n_words)"
+    inside = lambda n: f"{n} <= high * {wide}" if n != "chars_per_word" else f"{n} <= (low + high) / 2 + (high - low) / 2 * {wide} AND {n} >= (low + high) / 2 - (high - low) / 2 * {wide}"
+    checks = " AND ".join(
+        f"coalesce((SELECT {inside(n)} FROM used WHERE metric = '{n}' AND used.lang IS NOT DISTINCT FROM rated.lang AND used.source IS NOT DISTINCT FROM rated.source), true)"
+        for n in rates
     )
     return rf"""
 WITH split AS (
@@ -141,14 +143,26 @@ WITH split AS (
 ), sketch AS (
   SELECT lang, source, metric, CASE WHEN rate > 0 THEN ceil(ln(rate) / {step!r}::DOUBLE)::BIGINT ELSE {zero} END AS bucket, count(*) AS n
   FROM ({seen}) GROUP BY ALL
-), {quartiles("own", "lang, source")}, {quartiles("by_lang", "lang")}, {quartiles("overall", "")}, used AS (
-  SELECT own.lang, own.source, own.metric,
-    CASE WHEN own.docs >= {rules.least_docs} THEN own.q1 WHEN by_lang.docs >= {rules.least_docs} THEN by_lang.q1 ELSE overall.q1 END AS q1,
-    CASE WHEN own.docs >= {rules.least_docs} THEN own.q2 WHEN by_lang.docs >= {rules.least_docs} THEN by_lang.q2 ELSE overall.q2 END AS q2,
-    CASE WHEN own.docs >= {rules.least_docs} THEN own.q3 WHEN by_lang.docs >= {rules.least_docs} THEN by_lang.q3 ELSE overall.q3 END AS q3
-  FROM own JOIN by_lang ON own.lang IS NOT DISTINCT FROM by_lang.lang AND own.metric = by_lang.metric JOIN overall ON own.metric = overall.metric
+), every AS (SELECT metric, bucket, sum(n)::HUGEINT AS n FROM sketch GROUP BY ALL),
+lang_own AS (SELECT lang, metric, bucket, sum(n)::HUGEINT AS n FROM sketch GROUP BY ALL),
+by_lang AS (
+  SELECT lang, metric, bucket, sum(n)::HUGEINT AS n FROM (
+    SELECT lang, metric, bucket, n * docs AS n FROM lang_own JOIN (SELECT metric, sum(n)::HUGEINT AS docs FROM every GROUP BY metric) USING (metric)
+    UNION ALL SELECT lang, metric, bucket, n * {rules.prior_docs} FROM every JOIN (SELECT DISTINCT lang, metric FROM sketch) USING (metric))
+  GROUP BY ALL),
+own AS (
+  SELECT lang, source, metric, bucket, sum(n)::HUGEINT AS n FROM (
+    SELECT s.lang, source, s.metric, bucket, n * docs AS n FROM sketch s
+      JOIN (SELECT lang, metric, sum(n)::HUGEINT AS docs FROM by_lang GROUP BY ALL) t ON s.lang IS NOT DISTINCT FROM t.lang AND s.metric = t.metric
+    UNION ALL SELECT g.lang, g.source, g.metric, bucket, n * {rules.prior_docs} FROM (SELECT DISTINCT lang, source, metric FROM sketch) g
+      JOIN by_lang b ON g.lang IS NOT DISTINCT FROM b.lang AND g.metric = b.metric)
+  GROUP BY ALL),
+{fences("own_fences", "own", "lang, source")}, {fences("lang_fences", "by_lang", "lang")}, {fences("all_fences", "every", "")}, used AS (
+  SELECT o.lang, o.source, o.metric, greatest(o.low, l.low) AS low,
+    CASE WHEN o.metric = 'chars_per_word' THEN least(o.high, l.high) ELSE least(o.high, l.high, a.high) END AS high
+  FROM own_fences o JOIN lang_fences l ON o.lang IS NOT DISTINCT FROM l.lang AND o.metric = l.metric JOIN all_fences a ON o.metric = a.metric
 )
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {fences} AS kept
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {checks} AS kept
 FROM rated
 """
 

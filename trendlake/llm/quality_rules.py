@@ -9,35 +9,33 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trendlake.llm._frames import Carried
-from trendlake.llm._stage import stage
+from trendlake.llm._stage import discard, stage
 from trendlake.llm._stats_column import stats
 
 #: Counts the operator adds to a document.
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+#: The rates held against fences: the first has a fence on both sides; the others are zero for most documents.
+METRICS = ("chars_per_word", "symbols_per_word", "dup_lines_per_line", "repeated_per_word")
+#: The bucket of zero.
+ZERO = -(1 << 62)
+
+
 @dataclass(frozen=True)
 class Rules:
     """Parameters of the adaptive thresholds.
 
-    ``accuracy`` is the relative error of a sketch's quantiles, ``reach`` the fence in spreads
-    beyond the quartiles, ``least_docs`` the documents a group needs for thresholds of its own.
-    A spread is the distance of the quartiles, at least ``floors`` of the metric (absolute) and
-    ``relative`` of the median. Short texts vary more: a spread is widened by
-    ``1 + short / n_words``.
+    ``accuracy`` is the relative error of a sketch's quantiles. ``reach`` is how many times its spread a
+    fence lies beyond the quartiles, or how many times its usual size a rate may be. Every group's sketch
+    is pooled with that of its parent (source with language, language with all documents), which counts as much as
+    ``prior_docs`` documents. Short texts vary more: fences are widened by ``1 + short / n_words``.
     """
 
     accuracy: float = 0.01
     reach: float = 3.0
-    least_docs: int = 50
-    relative: float = 0.1
+    prior_docs: int = 50
     short: float = 20.0
-    floors: tuple[tuple[str, float], ...] = (
-        ("chars_per_word", 0.3),
-        ("symbols_per_word", 0.05),
-        ("dup_lines_per_line", 0.2),
-        ("repeated_per_word", 0.06),
-    )
 
     @property
     def gamma(self) -> float:
@@ -62,7 +60,7 @@ def metrics() -> dict[str, Column]:
 def bucket(value: Column, gamma: float) -> Column:
     """Number of the sketch's bucket: values up to a power of ``gamma``; the lowest long for zero."""
     power = F.ceil(F.log(value) / F.lit(math.log(gamma))).cast("bigint")
-    return F.when(value > 0, power).otherwise(F.lit(-(1 << 62)))
+    return F.when(value > 0, power).otherwise(F.lit(ZERO))
 
 
 def sketches(rates: DataFrame, gamma: float) -> DataFrame:
@@ -72,55 +70,102 @@ def sketches(rates: DataFrame, gamma: float) -> DataFrame:
     most, and two sketches are merged by adding the counts of equal buckets: partial sums on the
     map side, then by language, then over all. The result does not depend on the order of rows.
     """
-    names = [n for n, _ in Rules().floors]
-    cells = F.array(*(F.struct(F.lit(n).alias("metric"), bucket(F.col(n), gamma).alias("bucket"), F.col(n).isNotNull().alias("seen")) for n in names))
+    cells = F.array(*(F.struct(F.lit(n).alias("metric"), bucket(F.col(n), gamma).alias("bucket"), F.col(n).isNotNull().alias("seen")) for n in METRICS))
     long = rates.select("lang", "source", F.explode(cells).alias("c")).where("c.seen")
     return long.groupBy("lang", "source", "c.metric", "c.bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
-def quartiles(sketch: DataFrame, group: list[str], gamma: float) -> DataFrame:
-    """Documents and quartiles of each group and metric, from merged sketches.
+def merged(sketch: DataFrame, group: list[str]) -> DataFrame:
+    """The sketches of larger groups; counts are decimals, as pooling multiplies them."""
+    return sketch.groupBy(*group, "metric", "bucket").agg(F.sum("n").cast("decimal(38,0)").alias("n"))
+
+
+def _beside(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on keys that may be null, with the other columns of ``right``."""
+    named = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return left.join(named, same).drop(*(f"_{k}" for k in keys))
+
+
+def pooled(sketch: DataFrame, parent: DataFrame, group: list[str], above: list[str], weight: int) -> DataFrame:
+    """The sketches of ``group`` with that of their parent, which counts as much as ``weight`` documents.
+
+    Nothing is divided, so the counts stay whole: a group's own times the documents of the parent, and the
+    parent's times the weight.
+    """
+    keys = [*above, "metric"]
+    total = parent.groupBy(*keys).agg(F.sum("n").alias("_of"))
+    own = _beside(sketch, total, keys).select(*group, "metric", "bucket", (F.col("n") * F.col("_of")).cast("decimal(38,0)").alias("n"))
+    lent = _beside(sketch.select(*group, "metric").distinct(), parent, keys)
+    lent = lent.select(*group, "metric", "bucket", (F.col("n") * weight).cast("decimal(38,0)").alias("n"))
+    return merged(own.unionByName(lent), group)
+
+
+def fences(sketch: DataFrame, group: list[str], rules: Rules) -> DataFrame:
+    """``low`` and ``high`` of each group and metric, from quantiles of its sketch alone.
+
+    Characters: the quartiles and ``reach`` times their distance. The other rates are zero for most: the median of those
+    that are not, times the root of their share, times ``reach``. So a rate that few documents have at all is
+    narrowly fenced, whatever the few hold, and one that all have may reach a multiple of its median.
 
     A sketch has some hundred buckets whatever the number of documents, so the window over a
     group's buckets is small.
     """
-    merged = sketch.groupBy(*group, "metric", "bucket").agg(F.sum("n").alias("n"))
     over = Window.partitionBy(*group, "metric")
     upto = over.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = merged.withColumn("upto", F.sum("n").over(upto)).withColumn("docs", F.sum("n").over(over))
-    value = F.when(F.col("bucket") == -(1 << 62), 0.0).otherwise(F.pow(F.lit(gamma), F.col("bucket")) * (2 / (1 + gamma)))
-    at = lambda share: F.min(F.when(F.col("upto") >= F.lit(share) * F.col("docs"), F.struct("bucket", value.alias("value")))).getField("value")
-    return placed.groupBy(*group, "metric").agg(
-        F.max("docs").alias("docs"), at(0.25).alias("q1"), at(0.5).alias("q2"), at(0.75).alias("q3")
+    placed = sketch.withColumn("upto", F.sum("n").over(upto)).withColumn("docs", F.sum("n").over(over))
+    placed = placed.withColumn("zero", F.sum(F.when(F.col("bucket") == ZERO, F.col("n")).otherwise(0)).over(over))
+    value = F.when(F.col("bucket") == ZERO, 0.0).otherwise(F.pow(F.lit(rules.gamma), F.col("bucket")) * (2 / (1 + rules.gamma)))
+    at = lambda reached: F.min(F.when(reached, F.struct("bucket", value.alias("value")))).getField("value")
+    above = (F.col("bucket") > ZERO) & (2 * (F.col("upto") - F.col("zero")) >= F.col("docs") - F.col("zero"))
+    found = placed.groupBy(*group, "metric").agg(
+        at(4 * F.col("upto") >= F.col("docs")).alias("q1"),
+        at(4 * F.col("upto") >= 3 * F.col("docs")).alias("q3"),
+        at(above).alias("usual"),
+        ((F.max("docs") - F.max("zero")).cast("double") / F.max("docs").cast("double")).alias("share"),
+    )
+    spread = (F.col("q3") - F.col("q1")) * rules.reach
+    both = F.col("metric") == METRICS[0]
+    return found.select(
+        *group,
+        "metric",
+        F.when(both, F.col("q1") - spread).alias("low"),
+        F.when(both, F.col("q3") + spread).otherwise(F.col("usual") * F.sqrt("share") * rules.reach).alias("high"),
     )
 
 
 def thresholds(sketch: DataFrame, rules: Rules) -> DataFrame:
-    """One row for each language and source: the quartiles of every metric that hold there.
+    """One row for each language and source: the fences of every metric that hold there.
 
-    Groups with few documents take the quartiles of their language, languages with few those of
-    all documents.
+    A source's fence is nowhere beyond its language's, and a rate's nowhere beyond that of all documents: a group
+    that is full of junk does not set its own standard.
     """
-    own = quartiles(sketch, ["lang", "source"], rules.gamma)
-    by_lang = quartiles(sketch, ["lang"], rules.gamma).select(F.col("lang").alias("l"), F.col("metric").alias("lm"), F.struct("docs", "q1", "q2", "q3").alias("by_lang"))
-    overall = quartiles(sketch, [], rules.gamma).select(F.col("metric").alias("om"), F.struct("docs", "q1", "q2", "q3").alias("overall"))
-    enough = F.lit(rules.least_docs)
-    joined = own.join(by_lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("metric") == F.col("lm"))).join(overall, F.col("metric") == F.col("om"))
-    used = F.when(F.col("docs") >= enough, F.struct("docs", "q1", "q2", "q3")).when(F.col("by_lang.docs") >= enough, F.col("by_lang")).otherwise(F.col("overall"))
-    return joined.groupBy("lang", "source").agg(*(F.max(F.when(F.col("metric") == n, used)).alias(f"t_{n}") for n, _ in rules.floors))
+    every = merged(sketch, [])
+    by_lang = pooled(merged(sketch, ["lang"]), every, ["lang"], [], rules.prior_docs)
+    own = pooled(merged(sketch, ["lang", "source"]), by_lang, ["lang", "source"], ["lang"], rules.prior_docs)
+    named = lambda df, p: df.withColumnsRenamed({"low": f"{p}_low", "high": f"{p}_high"})
+    joined = _beside(fences(own, ["lang", "source"], rules), named(fences(by_lang, ["lang"], rules), "lang"), ["lang", "metric"])
+    joined = _beside(joined, named(fences(every, [], rules), "all"), ["metric"])
+    both = F.col("metric") == METRICS[0]
+    high = F.when(both, F.least("high", "lang_high")).otherwise(F.least("high", "lang_high", "all_high"))
+    used = F.struct(F.greatest("low", "lang_low").alias("low"), high.alias("high"))
+    return joined.groupBy("lang", "source").agg(*(F.max(F.when(F.col("metric") == n, used)).alias(f"t_{n}") for n in METRICS))
 
 
 def within(rules: Rules) -> Column:
     """Is every rate inside its fences? Null rates and missing thresholds are."""
-    checks = []
-    for name, floor in rules.floors:
-        q1, q2, q3 = (F.col(f"t_{name}.{q}") for q in ("q1", "q2", "q3"))
-        spread = F.greatest(q3 - q1, F.lit(floor), q2 * rules.relative) * (1 + rules.short / F.greatest(F.col("_s.n_words"), F.lit(1)))
-        inside = (F.col(name) <= q3 + rules.reach * spread) & (F.col(name) >= q1 - rules.reach * spread)
-        checks.append(F.coalesce(inside, F.lit(True)))
-    passed = checks[0]
-    for check in checks[1:]:
-        passed = passed & check
+    wide = 1 + rules.short / F.greatest(F.col("_s.n_words"), F.lit(1))
+    passed = F.lit(True)
+    for name in METRICS:
+        low, high = F.col(f"t_{name}.low"), F.col(f"t_{name}.high")
+        if name == METRICS[0]:
+            middle, half = (low + high) / 2, (high - low) / 2 * wide
+            inside = (F.col(name) <= middle + half) & (F.col(name) >= middle - half)
+        else:
+            inside = F.col(name) <= high * wide
+        passed = passed & F.coalesce(inside, F.lit(True))
     return passed
 
 
@@ -129,11 +174,12 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
 
     ``base_failed``: fewer than 10 words, or more than a fifth of the words in repeated windows.
     ``kept``: not failed, and characters, symbols, repeated lines and repeated words per word or
-    line lie within fences around the quartiles of the text's language and source. Those come
-    from mergeable sketches over all documents, joined back to every document.
+    line lie within the fences of the text's language and source. Those come from quantiles of
+    mergeable sketches over all documents, joined back to every document; small groups lean on their
+    language, and languages on all documents, without any switch by size.
 
     Null texts count as empty: no words, ``base_failed``, not kept. Null languages and sources are
-    groups of their own. Repeated rows are all kept apart, an empty table gives an empty table;
+    groups of their own. Repeated rows are all kept apart, a very long text is counted whole, an empty table gives an empty table;
     input columns with the names of the results are replaced, others carried along (``text`` only
     with ``keep_text``). Counts are made once and staged in the shared folder.
     """
@@ -144,7 +190,9 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     staged, _ = stage(counted, "quality-counts")
     rated = staged.select("*", *(value.alias(name) for name, value in metrics().items()))
     place = rated.withColumns({"lang": carried.column(lang), "source": carried.column(source)})
-    limits, _ = stage(thresholds(sketches(place, rules.gamma), rules), "quality-thresholds")
+    sketch, sketched = stage(sketches(place, rules.gamma), "quality-sketches")
+    limits, _ = stage(thresholds(sketch, rules), "quality-thresholds")
+    discard(docs.sparkSession, sketched)
     limits = limits.withColumnsRenamed({"lang": "_lang", "source": "_source"})
     same = carried.column(lang).eqNullSafe(F.col("_lang")) & carried.column(source).eqNullSafe(F.col("_source"))
     judged = rated.join(limits, same, "left")
