@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -138,3 +139,50 @@ def test_lower_case_letter_by_letter():
     library = Tokenizer.from_file(WORD)
     for text in ["ΑΣ", "ΑΣ ΣΑΣ", "İI", "ǅ", "éÉ", "KK", "ꟋꟜ", "ẞß"]:
         assert normalised(text) == library.normalizer.normalize_str(text)
+
+
+def every_code_point():
+    """All code points, each between letters, digits, marks and itself, some at a time."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    shown = [f"{c}a W{c}1 e{c}́ {c}{c}Σ" for c in points]
+    return ["\n".join(shown[i : i + 512]) for i in range(0, len(shown), 512)]
+
+
+def test_every_code_point_counts_as_in_the_library():
+    library, table = Tokenizer.from_file(WORD), BpeTable.load(WORD)
+    texts = every_code_point()
+    want = [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert token_counts.count_texts(table, whole_tokens(WORD, table), texts) == want
+
+
+def test_every_code_point_encodes_as_in_the_library(table, library):
+    texts = every_code_point()
+    ids, counts = encode_texts(table, texts)
+    ends = np.cumsum(counts)
+    for n, end, encoding in zip(counts, ends, library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert ids[end - n : end].tolist() == encoding.ids
+
+
+@pytest.mark.parametrize("size", [_bpe.LONG_WORD, _bpe.LONG_WORD + 1, 20_000])
+def test_long_words_merge_as_in_the_library(table, library, size):
+    random.seed(size)
+    words = ["".join(random.choices("etaoinshr", k=size)), "a" * size, "ab" * (size // 2), "é" * size]
+    ids, counts = table.word_ids(["short", *words, "x"])
+    ends = np.cumsum(counts)
+    for word, n, end in zip(["short", *words, "x"], counts, ends, strict=True):
+        assert ids[end - n : end].tolist() == library.encode(word, add_special_tokens=False).ids
+
+
+def test_a_word_of_a_million_letters_takes_seconds(table, library):
+    word = "".join(random.choices("etaoinshrdlu", k=1_000_000))
+    begun = time.perf_counter()
+    ids, _ = table.word_ids([word])
+    assert time.perf_counter() - begun < 20  # some 4 s; a round a merge would take half an hour
+    assert ids.tolist() == library.encode(word, add_special_tokens=False).ids
+
+
+def test_one_very_long_word_in_a_table(spark):
+    df = spark.createDataFrame([(1, "q" * 200_000), (2, "zy" * 100_000 + " a")], "doc_id bigint, text string")
+    library = Tokenizer.from_file(WORD)
+    want = [(i, len(library.encode(t, add_special_tokens=False).ids)) for i, t in ((1, "q" * 200_000), (2, "zy" * 100_000 + " a"))]
+    assert rows(count_tokens(df, WORD), "doc_id", "n_tokens") == want

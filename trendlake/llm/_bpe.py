@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 
 _NONE = np.iinfo(np.int64).max
 
+#: Symbols of a word from which on its merges are taken from a heap: a round reads the whole word, and a
+#: long one needs many.
+LONG_WORD = 256
+
 
 def byte_letters() -> list[str]:
     """The letter that stands for each byte in a byte-level vocabulary.
@@ -111,10 +117,19 @@ class BpeTable:
         Every round finds the rank of every neighbouring pair by binary search and merges the
         pairs of the lowest rank of each word, from left to right. Words without a pair left are
         set aside. Where a merge can open a merge of a lower rank, only its first place in the
-        word is merged in a round, so the order is that of merging one pair at a time.
+        word is merged in a round, so the order is that of merging one pair at a time. Very long words
+        are merged by ``merge_long``.
         """
         done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         owner, words = np.arange(len(lengths)), len(lengths)
+        if (lengths > LONG_WORD).any():
+            ends = np.cumsum(lengths)
+            for i in np.flatnonzero(lengths > LONG_WORD):
+                merged = self.merge_long(symbols[ends[i] - lengths[i] : ends[i]])
+                done.append((np.array([i]), np.array([len(merged)]), merged))
+            symbols = symbols[np.repeat(lengths <= LONG_WORD, lengths)]
+            owner = np.flatnonzero(lengths <= LONG_WORD)
+            lengths = lengths[owner]
         while len(owner):
             starts = np.cumsum(lengths) - lengths
             word = np.repeat(np.arange(len(owner)), lengths)
@@ -130,6 +145,35 @@ class BpeTable:
             owner = owner[busy]
         return _in_order(done, words)
 
+    @cached_property
+    def merges(self) -> dict[int, tuple[int, int]]:
+        """Rank and made symbol by pair."""
+        return dict(zip(self.pair_keys.tolist(), zip(self.pair_ranks.tolist(), self.pair_ids.tolist(), strict=True), strict=True))
+
+    def merge_long(self, symbols: np.ndarray) -> np.ndarray:
+        """The merges of one word, in n log n: pairs in a heap by rank and place, over linked neighbours."""
+        n, merges, base = len(symbols), self.merges, self.base
+        known = [merges.get(pair) for pair in (symbols[:-1] * base + symbols[1:]).tolist()]
+        heap = sorted(hit[0] * n + i for i, hit in enumerate(known) if hit)
+        now, after, before = symbols.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+        while heap:
+            rank, i = divmod(heapq.heappop(heap), n)
+            right = after[i]
+            if now[i] < 0 or right >= n:
+                continue
+            hit = merges.get(now[i] * base + now[right])
+            if not hit or hit[0] != rank:  # one of the two was merged meanwhile
+                continue
+            now[i], now[right] = hit[1], -1
+            after[i] = following = after[right]
+            if following < n:
+                before[following] = i
+                if new := merges.get(now[i] * base + now[following]):
+                    heapq.heappush(heap, new[0] * n + i)
+            if (left := before[i]) >= 0 and (new := merges.get(now[left] * base + now[i])):
+                heapq.heappush(heap, new[0] * n + left)
+        return np.array([s for s in now if s >= 0], np.int64)
+
     def _round(self, symbols: np.ndarray, word: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which pairs to merge now, and the symbol each would make."""
         n = len(symbols) - 1

@@ -208,12 +208,15 @@ def keep_bitmaps(docs: DataFrame, text: str = "text", min_docs: int = 10, min_ch
     lines, listed = stage(told.select("t1", "t2", F.inline("lines")), "lines")
     order = ["h1", "h2", "t1", "t2", "first"]
     placed = lines.repartitionByRange(*order).sortWithinPartitions(*order)
-    found, _ = stage(placed.mapInArrow(partial(shared, least=min_docs), _FOUND), "shared")
+    found, told_in = stage(placed.mapInArrow(partial(shared, least=min_docs), _FOUND), "shared")
     discard(spark, listed)
     edges = found.where(F.col("kind") == EDGE).groupBy("h1", "h2").agg(F.sum("n").alias("docs")).where(F.col("docs") >= min_docs)
     late = found.where(F.col("kind") == OPEN).join(edges, ["h1", "h2"], "left_semi")
     gone = found.where(F.col("kind") == GOES).unionByName(late)
-    marks = gone.groupBy("t1", "t2").agg(F.collect_set(F.struct("first", "more")).alias("_marks"))
+    # Staged, so that the join below is of plain shuffles: only then are the copies of one text, all with one
+    # hash, split over tasks.
+    marks, _ = stage(gone.groupBy("t1", "t2").agg(F.collect_set(F.struct("first", "more")).alias("_marks")), "line-marks")
+    discard(spark, told_in)
     n_lines = F.length(value) - F.length(F.replace(value, F.lit("\n"), F.lit(""))) + 1
     rows = carried.flat.withColumns({f"_{k}": c for k, c in known.items()} | {"_n_lines": n_lines.cast("bigint")})
     if not keep_text:

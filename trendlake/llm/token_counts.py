@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-import unicodedata
+import re
 from collections.abc import Iterator
 from itertools import filterfalse
 
@@ -12,10 +12,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from tokenizers import normalizers
 
 from trendlake.llm._bpe import BpeTable, WordCache
 from trendlake.llm._frames import Carried, parts
-from trendlake.llm._pretokens import splitter
+from trendlake.llm._pretokens import known_classes, splitter
 
 #: Fixed value: the words of the normalised text. No other choice begins with a letter, so words of
 #: letters stand first.
@@ -39,23 +40,27 @@ def whole_tokens(path: str, table: BpeTable) -> frozenset[str]:
                 word = table.pieces[i].decode()
             except UnicodeDecodeError:
                 continue
-            if regex.fullmatch(PATTERN, word):
+            if regex.fullmatch(known_classes(PATTERN), word, regex.V1):
                 words.append(word)
     _, lengths = table.word_ids(words)
     return frozenset(w for w, n in zip(words, lengths.tolist(), strict=True) if n == 1)
 
 
-#: Lower case of letters that Python's Unicode tables do not have yet.
-LATER_LETTERS = {0xA7CB: 0x0264, 0xA7DC: 0x019B}
+#: Composing leaves these as they are, and none but single letters change in lower case.
+_PLAIN = re.compile("[\x00-\u02ff]*").fullmatch
+_COMPOSE, _LOWER = normalizers.NFC(), normalizers.Lowercase()
 
 
 def normalised(text: str) -> str:
-    """Composed (NFC) and lower case letter by letter. White space is left: no word holds any."""
-    if text.isascii():
+    """Composed (NFC) and lower case letter by letter. White space is left: no word holds any.
+
+    Which marks compose and which letters have a lower case depends on the version of Unicode, and the
+    model's words on what the tokenizers library knows. So texts beyond the Latin letters are
+    composed by that library's tables, not by Python's.
+    """
+    if text.isascii() or _PLAIN(text):
         return text.lower()
-    text = unicodedata.normalize("NFC", text).translate(LATER_LETTERS)
-    # str.lower treats a sigma at the end of a word specially; the library does not.
-    return "σ".join(s.lower() for s in text.split("Σ"))
+    return _LOWER.normalize_str(_COMPOSE.normalize_str(text))
 
 
 def count_texts(table: BpeTable, whole: frozenset[str], texts: list[str]) -> list[int]:
@@ -93,7 +98,8 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", limit: int = 20
     The proof of the whole tokens runs once on the driver; the set is bounded by the vocabulary
     and broadcast. No special tokens are added; those inside a text count one each.
 
-    Null texts count as empty: zero bytes, zero tokens, not over the limit. Repeated rows are all
+    Null texts count as empty: zero bytes, zero tokens, not over the limit. A very long text is counted whole, a very
+    long word in n log n. Repeated rows are all
     kept, an empty table gives an empty table. Input columns with the names of the results are
     replaced; others are kept, whatever their names.
     """
