@@ -10,7 +10,10 @@ from llm.test_simhash_dedup import plain_components, plain_fingerprint
 from tokenizers import Tokenizer
 
 from trendlake.llm import oracles, quality_classifier, quality_rules
+from trendlake.llm._stage import discard, recorded
 from trendlake.llm.mixing import Mix
+from trendlake.llm.queries import QUERIES
+from trendlake.staging import list_folders, shared_dir
 
 SF = "/root/testdata/sf0.001"
 
@@ -94,3 +97,41 @@ def test_stages_take_odd_and_empty_tables(spark, odd, empty):
         for _, function in corpus_pipeline.STAGES:
             made = function(spark, docs, SF)
             docs = spark.createDataFrame(made.collect(), made.schema)
+
+
+def staged(spark):
+    return set(list_folders(spark, f"{shared_dir(spark)}/trendlake"))
+
+
+def test_runs_side_by_side_keep_their_tables(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    halves = [docs.where("doc_id < 100"), docs.where("doc_id >= 100")]
+    want = [plain(corpus_pipeline.apply_rules(spark, half, SF)) for half in halves]
+    first, second = (corpus_pipeline.apply_rules(spark, half, SF) for half in halves)
+    assert [plain(first), plain(second)] == want
+    first.write.parquet(f"{tmp_path}/first")
+    reread = spark.read.parquet(f"{tmp_path}/first")
+    before = staged(spark)
+    later = corpus_pipeline.drop_near_duplicates(spark, reread, SF)
+    gone = before - staged(spark)
+    assert gone and all("quality" in folder for folder in gone)  # those of the first half alone
+    assert plain(second) == want[1] and len(later.collect()) <= sum(want[0].values())
+    # A result that is handed on without being written keeps what it reads.
+    direct = corpus_pipeline.drop_near_duplicates(spark, second, SF)
+    assert plain(second) == want[1] and len(direct.collect()) <= sum(want[1].values())
+
+
+def test_a_run_leaves_its_result_only(spark):
+    before = staged(spark)
+    out = corpus_pipeline.run(spark, SF)
+    left = staged(spark) - before
+    assert len(left) == 1 and out.count() > 0
+
+
+def test_what_a_query_stages_is_removed_by_one_call(spark):
+    for name in ("op2_quality_classifier", "op3_simhash_dedup", "op7_mixing", "op8_quality_rules", "op11_lexical_search", "op12_line_dedup"):
+        before, folders = staged(spark), []
+        with recorded(folders):
+            QUERIES[name](spark, SF).collect()
+        discard(spark, *folders)
+        assert staged(spark) <= before, name
