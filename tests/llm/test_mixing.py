@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import pytest
 from llm.cases import rows
+from pyspark.sql import functions as F
 
 from trendlake.llm._running import sum_before
 from trendlake.llm.mixing import Mix, mix_sources, mixed_rows
@@ -100,3 +101,16 @@ def test_running_sum_over_many_slices(spark):
     for g, i, v in sorted(given, key=lambda r: r[1]):
         assert got[g, i] == run[g]
         run[g] += v or 0
+
+
+def test_rows_alike_but_for_a_carried_column_are_cut_alike_in_reruns(spark):
+    text = "one two three four five six"
+    df = spark.createDataFrame([(5, text, "a", i) for i in range(30)] + [(9, "b c", "b", 0)], "doc_id bigint, text string, source string, n int")
+    results = {tuple(sorted((r.n, r.taken) for r in mix_sources(df.repartition(p).orderBy(F.rand(p))).where("source = 'a'").collect())) for p in (1, 3, 7)}
+    assert len(results) == 1
+
+
+def test_texts_stay_where_they_are(spark, odd):
+    """The cuts, one row a source, come to the staged rows; these are not dealt out for it."""
+    plan = spark._jvm.PythonSQLUtils.explainString(mix_sources(odd)._jdf.queryExecution(), "simple")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

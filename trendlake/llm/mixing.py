@@ -66,16 +66,25 @@ def targets(sources: DataFrame, mix: Mix) -> DataFrame:
     return weighed.select("source", "source_size", target.alias("target"))
 
 
-def taken(size: Column, source_size: Column, target: Column, before: Column, whole: bool) -> Column:
+def cuts(placed: DataFrame, goals: DataFrame, order: list[str]) -> DataFrame:
+    """Of each source its budget in whole epochs, and where the last one ends.
+
+    Returns (_source, source_size, target, _epochs, _cut, _rest): the place in the order of the row that the budget
+    ends in, and how many of its words are inside. One row a source, whatever its size.
+    """
+    epochs = F.when(F.col("source_size") > 0, F.floor(F.floor(F.col("target") + 0.5) / F.col("source_size"))).otherwise(0).cast("bigint")
+    goals = goals.withColumnRenamed("source", "_source").withColumn("_epochs", epochs)
+    left = F.floor(F.col("target") + 0.5) - F.col("_epochs") * F.col("source_size") - F.col("_before")
+    inside = placed.join(goals, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_rest", left.cast("bigint"))
+    found = inside.where("_rest >= 0 AND _rest < _size").select(F.col("source").alias("_of"), F.struct(*order).alias("_cut"), "_rest")
+    return goals.join(found, F.col("_source").eqNullSafe(F.col("_of")), "left").drop("_of")
+
+
+def taken(size: Column, place: Column, whole: bool) -> Column:
     """Words of a document inside its source's budget: whole epochs, then up to the cut."""
-    budget = F.floor(target + 0.5)
-    epochs = F.when(source_size > 0, F.floor(budget / source_size)).otherwise(0).cast("bigint")
-    left = budget - epochs * source_size - before
-    if whole:
-        last = F.when((left * 2 > size) & (size > 0), size).otherwise(0)
-    else:
-        last = F.greatest(F.lit(0), F.least(size, left))
-    return (epochs * size + last).cast("bigint")
+    rest = F.when(F.col("_rest") * 2 > size, size).otherwise(0) if whole else F.col("_rest")
+    last = F.when(place < F.col("_cut"), size).when(place == F.col("_cut"), rest).otherwise(0)
+    return (F.col("_epochs") * size + last).cast("bigint")
 
 
 def mix_sources(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", mix: Mix = Mix(), keep_text: bool = True) -> DataFrame:
@@ -87,41 +96,36 @@ def mix_sources(docs: DataFrame, id: str = "doc_id", text: str = "text", source:
     times. Reruns give the same.
 
     Null sources are one source, after all others; null ids and texts have a key too; null and
-    empty texts have size zero and nothing taken. Equal rows are ordered in any way, which gives
-    the same rows. An empty table gives an empty table. Input columns with the names of the
-    results are replaced, others carried along (``text`` only with ``keep_text``): rows are
-    staged once, a narrow copy of them is sorted, and its result joined back by row number.
+    empty texts have size zero and nothing taken. Rows alike in id and text are ordered by a hash of all
+    columns (but maps), so reruns agree on which of them is cut; rows alike in all of them in any way, which gives the same rows. A
+    very long text is one document and may be cut. An empty table gives an empty table. Input columns with the names of the
+    results are replaced, others carried along (``text`` only with ``keep_text``).
+
+    Rows are staged once and a narrow copy of them is sorted. A source is cut in one row: its
+    place in the order is joined to the staged rows, a row a source, and every row decides for itself, so that texts stay where they are.
     """
     carried = Carried(docs)
     value, key = carried.column(text), carried.key
-    sized = carried.flat.withColumns({"_size": words(value), "_key": shuffle_key(carried.column(id), value)})
+    hashed = [f.name for f in carried.flat.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    sized = carried.flat.withColumns({"_size": words(value), "_key": shuffle_key(carried.column(id), value), "_all": F.xxhash64(*hashed)})
     sized = sized.withColumn("_row", F.monotonically_increasing_id())
     staged, _ = stage(sized if keep_text else sized.drop(key(text)), "mix")
     # Only what the sums need is sorted; texts stay in the staged rows.
-    narrow = staged.select("_row", "_size", "_key", key(id), F.col(key(source)).alias("source"))
+    order = ["_key", key(id), "_size", "_all", "_row"]
+    narrow = staged.select(*order, F.col(key(source)).alias("source"))
     sizes, held = stage(narrow.groupBy("source").agg(F.sum("_size").alias("source_size")), "source-sizes")
-    goals, _ = stage(targets(sizes, mix), "targets")
+    goals, aimed = stage(targets(sizes, mix), "targets")
     discard(docs.sparkSession, held)
-    placed = sum_before(narrow, "source", [F.col("_key"), F.col(key(id)), F.col("_size")], "_size", "_before")
-    goals = goals.withColumnRenamed("source", "_source")
-    joined = placed.join(goals, F.col("source").eqNullSafe(F.col("_source")))
-    amount = taken(F.col("_size"), F.col("source_size"), F.col("target"), F.col("_before"), mix.whole)
-    shares = joined.select(
-        F.col("_row").alias("_of"),
-        F.col("source_size").alias("_source_size"),
-        F.col("target").alias("_target"),
-        amount.alias("_taken"),
-    )
+    placed = sum_before(narrow, "source", [F.col(name) for name in order], "_size", "_before")
+    goals, _ = stage(cuts(placed, goals, order), "cuts")
+    discard(docs.sparkSession, aimed)
+    joined = staged.join(goals, F.col(key(source)).eqNullSafe(F.col("_source")))
+    amount = taken(F.col("_size"), F.struct(*order), mix.whole)
     if not keep_text:
         carried.forget(text)
     return carried.named(
-        staged.join(shares, F.col("_row") == F.col("_of")),
-        added={
-            "size": F.col("_size"),
-            "source_size": F.col("_source_size"),
-            "target": F.col("_target"),
-            "taken": F.col("_taken"),
-        },
+        joined,
+        added={"size": F.col("_size"), "source_size": F.col("source_size"), "target": F.col("target"), "taken": amount},
     )
 
 
