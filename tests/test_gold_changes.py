@@ -10,6 +10,8 @@ from conftest import as_tuples
 from pyspark.sql import functions as F
 
 from trendlake import schemas
+from trendlake.config import QualityRules
+from trendlake.operators.quality import QualityGateError
 from trendlake.operators.rollups import GOLD_TABLES
 from trendlake.plans import gold_changes
 from trendlake.plans.gold import silver_to_gold
@@ -107,11 +109,14 @@ def test_jobs_tell_their_changes(spark, write, tmp_path):
     root = write("region=us/a.csv", head + "v1,17.14.11,t,c,1,p,5,1,1\nv2,17.15.11,t,c,1,p,6,1,1\n")
     silver, state, gold, anew = (f"{tmp_path}/{n}" for n in ("silver", "state", "gold", "anew"))
     bronze_to_silver_statistics(spark, root, silver)
-    assert follow_changes(spark, silver, None, state, gold) == 1
+    with pytest.raises(QualityGateError, match="1 of 9"):
+        follow_changes(spark, silver, None, state, gold)  # two rows are too few
+    few = QualityRules(min_rows=1)
+    assert follow_changes(spark, silver, None, state, gold, few) == 1
     write("region=us/a.csv", head + "v1,17.14.11,t,d,1,p,9,1,1\n")  # the other day goes away
     bronze_to_silver_statistics(spark, root, silver)
-    assert follow_changes(spark, silver, None, state, gold) == 1
-    assert follow_changes(spark, silver, None, state, gold) == 0
+    assert follow_changes(spark, silver, None, state, gold, few) == 1
+    assert follow_changes(spark, silver, None, state, gold, few) == 0
     silver_to_gold(spark.read.schema(STORE_SCHEMA).parquet(silver), None, anew)
     assert gold_rows(spark, gold) == gold_rows(spark, anew)
     assert spark.read.schema(schemas.TRENDING_ANALYTICS).parquet(f"{gold}/trending_analytics").select(F.sum("total_videos")).first()[0] == 1

@@ -56,6 +56,7 @@ def build_parser() -> argparse.ArgumentParser:
 
     gold = job("gold", "silver", "gold")
     gold.add_argument("--database", help="catalog database to register the gold tables in")
+    gold.add_argument("--publish", help="catalog database to show the gold tables in, each swapped as a whole")
 
     follow = job("new-gold", "silver", "gold", "state")
     follow.description = "Bring gold to the days that the silver jobs changed since the last time."
@@ -134,12 +135,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
         )
         names = ("trending_analytics", "channel_analytics", "category_analytics")
         tables = {name: f"{args.database}.{name}" for name in names} if args.database else None
+        published = {name: f"{args.publish}.{name}" for name in names} if args.publish else None
         loader = silver_loaders(spark, silver)[REFERENCE_TABLE]
-        return silver_to_gold(statistics, loader, args.gold, tables)
+        return silver_to_gold(statistics, loader, args.gold, tables, published)
     if args.job == "new-gold":
         silver = args.silver.rstrip("/")
         loader = silver_loaders(spark, silver)[REFERENCE_TABLE]
-        return {"runs": follow_changes(spark, f"{silver}/{STATISTICS_TABLE}", loader, args.state, args.gold)}
+        return {"runs": follow_changes(spark, f"{silver}/{STATISTICS_TABLE}", loader, args.state, args.gold, QualityRules.from_env())}
     if args.job == "all":
         done = run_all(
             spark,

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from trendlake.operators.enrich import enrich_category
 from trendlake.operators.rollups import GOLD_TABLES, gold_base, stamp_aggregated
+from trendlake.sinks.published import publish
 from trendlake.sinks.reports import RowMetrics
 from trendlake.sinks.tables import write_partitions
 from trendlake.sources.tables import optional_table
@@ -38,11 +39,15 @@ def silver_to_gold(
     load_reference: Callable[[], DataFrame] | None,
     gold: str,
     tables: dict[str, str] | None = None,
+    published: dict[str, str] | None = None,
 ) -> dict[str, int]:
     """Write the three gold tables below ``gold``; returns the rows written of each.
 
     Gold is made anew from all of silver, so each table is replaced as a whole and a region
     that left silver leaves gold too. Staged tables are removed at the end.
+
+    A table with a name in ``published`` is written as a new version beside the old one and then shown under that
+    name by one step, so that readers never miss it and a broken write leaves the last good version.
     """
     reference = None if load_reference is None else optional_table(load_reference)
     written = {}
@@ -51,6 +56,9 @@ def silver_to_gold(
             metrics = RowMetrics.new(name)
             shaped = metrics.watch(frame.hint("rebalance", "region"))
             target = None if tables is None else tables.get(name)
-            write_partitions(shaped, f"{gold.rstrip('/')}/{name}", table=target, rebalance=False, whole=True)
+            if published is not None and name in published:
+                publish(shaped, published[name], f"{gold.rstrip('/')}/{name}")
+            else:
+                write_partitions(shaped, f"{gold.rstrip('/')}/{name}", table=target, rebalance=False, whole=True)
             written[name] = metrics.result().get("rows", 0)
     return written

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from trendlake.functions import clock
 from trendlake.functions.cleaning import landing_region
+from trendlake.sinks.tables import partition_folder
 from trendlake.sources.files import LINES_FOLDER
+from trendlake.staging import existing, materialize
 
 
 def landing_metadata(
@@ -54,6 +56,33 @@ def land_raw_json(documents: DataFrame, root: str, landed_at: Column) -> None:
     _as_lines(landed).write.mode("append").partitionBy("region", "date", "hour", "layout").json(root)
 
 
+#: What is landed where a response had its content before: the digest of region, time and payload.
+DIGEST = "digest"
+
+
+def land_once(documents: DataFrame, root: str, landed_at: Column) -> None:
+    """Like :func:`land_raw_json`, but landing again what was landed already adds nothing.
+
+    Every response is known by a digest of its region, landing time and content, which is stored in
+    its metadata. A landing that broke off, or whose answer was lost, is simply repeated: responses that
+    the folders of its regions, dates and hours hold are left out, the others are added. Equal responses of
+    one landing are one. Only these folders are read.
+    """
+    spark = documents.sparkSession
+    landed = landing_metadata(documents, landed_at)
+    payload = F.to_json(F.struct(*(F.col(name) for name in documents.columns if name != "region")))
+    key = F.sha2(F.concat_ws("\x1f", F.coalesce("region", F.lit("")), "_metadata.timestamp", payload), 256)
+    landed = materialize(landed.withColumn("_metadata", F.col("_metadata").withField(DIGEST, key)), "landing")
+    folders = landed.select("region", "date", "hour").distinct().collect()  # one row for each folder of this landing
+    known = existing(spark, [partition_folder(spark, root, row.asDict()) for row in folders])
+    fresh = landed.withColumn("_key", F.col(f"_metadata.{DIGEST}")).dropDuplicates(["_key"])
+    if known:
+        held = spark.read.schema(f"_metadata struct<{DIGEST}:string>").option("recursiveFileLookup", True).json(known)
+        fresh = fresh.join(held.select(F.col(f"_metadata.{DIGEST}").alias("_key")).distinct(), "_key", "left_anti")
+    shaped = fresh.drop("_key").hint("rebalance", "region", "date", "hour")
+    _as_lines(shaped).write.mode("append").partitionBy("region", "date", "hour", "layout").json(root)
+
+
 def land_reference_json(
     documents: DataFrame, root: str, landed_at: Column, page: str | None = None
 ) -> None:

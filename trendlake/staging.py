@@ -84,3 +84,9 @@ def list_folders(spark: SparkSession, folder: str) -> list[str]:
     if not files.exists(path):
         return []
     return [str(s.getPath().toString()) for s in files.listStatus(path) if s.isDirectory()]
+
+
+def existing(spark: SparkSession, folders: list[str]) -> list[str]:
+    """Those of ``folders`` that exist."""
+    conf, path = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
+    return [folder for folder in folders if path(folder).getFileSystem(conf).exists(path(folder))]
