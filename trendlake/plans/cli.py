@@ -18,6 +18,7 @@ from trendlake.plans.silver import bronze_to_silver_reference, bronze_to_silver_
 from trendlake.session import build_session
 from trendlake.sources.tables import read_table
 from trendlake.streaming.incremental import incremental_reference, incremental_statistics
+from trendlake.streaming.notices import missing_files, noticed_reference
 
 
 def _names(text: str) -> list[str]:
@@ -74,6 +75,7 @@ def build_parser() -> argparse.ArgumentParser:
 
     new_reference = job("new-reference", "bronze", "silver", "checkpoint")
     new_reference.add_argument("--layout", choices=("auto", "document", "lines"), default="auto")
+    new_reference.add_argument("--notices", help="folder of file notices; the bronze folder is then not listed")
     return parser
 
 
@@ -175,6 +177,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
             args.job_name,
         )
         return {"done": True}
+    if args.notices:
+        noticed_reference(spark, args.notices, args.bronze, args.silver, args.checkpoint, args.layout)
+        return {"done": True, "missing_files": listed(missing_files(spark, args.checkpoint))}
     incremental_reference(spark, args.bronze, args.silver, args.checkpoint, args.layout)
     return {"done": True}
 

@@ -46,8 +46,8 @@ _BETWEEN = r"(?<=\})[ \t\r]*\n\s*(?=\{)"
 _STRINGS = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 
 
-def json_texts(reader, root: str, layout: str = "auto", pattern: str = "*.json") -> DataFrame:
-    """One row per JSON document below ``root``: ``value``, ``_line`` and the source columns.
+def json_texts(reader, root: str | list[str], layout: str = "auto", pattern: str = "*.json") -> DataFrame:
+    """One row per JSON document below ``root``, or of the files it lists: ``value``, ``_line`` and the source columns.
 
     ``auto`` reads files below a folder ``layout=lines``, which the landing step writes, line by
     line, so that large ones are split, and all other files whole. A whole file may hold

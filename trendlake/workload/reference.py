@@ -16,6 +16,7 @@ from trendlake.sources.reference import read_reference_json as read_documents
 from trendlake.sources.tables import read_table
 from trendlake.staging import new_folder
 from trendlake.streaming.incremental import incremental_reference as run_new_reference
+from trendlake.streaming.notices import noticed_reference
 from trendlake.workload import inputs
 from trendlake.workload.oracle_ctes import LOOKUP, REFERENCE, with_
 from trendlake.workload.registry import query
@@ -157,6 +158,27 @@ def incremental_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _silver_rows(spark, target)
 
 
+@query(_LANDED)
+def file_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notices of an older landing and then of a newer one; every notice comes twice, and one names no file.
+
+    The keys are URL-encoded. The landing folder is listed here to make the notices, and only here.
+    """
+    bronze, target, progress, told = (new_folder(spark, f"reference-{x}") for x in ("noticed", "store", "progress", "notices"))
+    documents = _documents(spark, sf_dir)
+    older = documents.withColumn("items", F.transform("items", lambda i: i.withField("id", F.concat(F.lit("x"), i.id))))
+    for day, drop in enumerate((older, documents)):
+        _land(spark, drop, bronze, day)
+        files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").text(bronze)
+        path = F.substring_index(files.metadataColumn("_metadata").getField("file_path"), f"{bronze.rsplit('/', 1)[-1]}/", -1)
+        keys = files.select(F.url_encode(path).alias("key")).distinct()
+        lost = inputs.table(spark, sf_dir, "region").select(F.url_encode(F.concat(F.lit("region="), F.lower("r_name"), F.lit("/lost.json"))).alias("key"))
+        # Those of the first landing come again with the second.
+        keys.unionByName(keys).unionByName(lost).write.mode("append").json(told)
+        noticed_reference(spark, told, bronze, target, progress)
+    return _silver_rows(spark, target)
+
+
 @query(
     with_(
         REFERENCE,
