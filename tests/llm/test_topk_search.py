@@ -3,7 +3,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
-from trendlake.llm import _topk
+from trendlake.llm import _topk, topk_search
 from trendlake.llm.topk_search import search
 
 SCHEMA = "vec_id bigint, embedding array<float>"
@@ -53,6 +53,23 @@ def test_odd_vectors(spark):
     assert found(df.where("vec_id = 50")) == []
 
 
+def test_tiles_meet_without_a_broadcast(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    given = [(i, rng.normal(size=6).tolist()) for i in range(900)]
+    df = spark.createDataFrame(given, SCHEMA)
+    want = brute(given, 4)
+    for name, value in (("TILE_CHUNKS", 2), ("TILE_PACKS", 3), ("CHUNK", 5)):
+        monkeypatch.setattr(topk_search, name, value)
+    monkeypatch.setattr(_topk, "PACK_ROWS", 32)
+    assert found(df.repartition(4), 4) == want
+    chunks = spark.range(9).selectExpr("id AS chunk", "1 AS n", "1 AS dim", "array(id) AS flat")
+    packs = spark.range(7).selectExpr("id AS pack", "1 AS pack_dim", "array(id) AS pack_high", "array(id) AS pack_low")
+    bounds = topk_search._bounds(chunks, packs)
+    assert sorted((r.chunk, r.pack) for r in bounds.collect()) == [(c, p) for c in range(9) for p in range(7)]
+    plan = spark._jvm.PythonSQLUtils.explainString(bounds._jdf.queryExecution(), "simple")
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Broadcast" not in plan
+
+
 def test_very_large_components_stay_exact(spark):
     near = [(50 * i, [1.0e7 + 3 * i, -1.0, 0.004 * i]) for i in range(9)]
     beyond = [(50 * i, [3.0e15 + i * 1e14, -1.0]) for i in range(6)]

@@ -102,18 +102,19 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {name: batch.column(name)[i] for name in batch.schema.names}
 
 
-def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For every chunk of queries beside a pack's extremes: each query's bound there."""
-    for row in _rows(batches):
-        queries = _numbers(row, "flat", row["dim"].as_py())
+def bounds(chunks: pa.Table, packs: pa.Table) -> pa.Table:
+    """For every chunk of queries and every pack of a tile: each query's bound there."""
+    matrices = [(row["chunk"].as_py(), _numbers(row, "flat", row["dim"].as_py())) for row in _rows(chunks.to_batches())]
+    made: list[tuple[int, int, np.ndarray]] = []
+    for row in _rows(packs.to_batches()):
         width = row["pack_dim"].as_py()
         high = row["pack_high"].values.to_numpy().reshape(-1, width).max(axis=0, keepdims=True) if width else np.zeros((1, 0), np.int64)
         low = row["pack_low"].values.to_numpy().reshape(-1, width).min(axis=0, keepdims=True) if width else np.zeros((1, 0), np.int64)
-        found = bound(queries, high, low)[:, 0]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([row["chunk"].as_py()], pa.int64()), pa.array([row["pack"].as_py()], pa.int64()), pa.array([found], pa.list_(pa.float64()))],
-            ["chunk", "pack", "bound"],
-        )
+        made += [(chunk, row["pack"].as_py(), bound(queries, high, low)[:, 0]) for chunk, queries in matrices]
+    ends = np.cumsum([0, *(len(found) for _, _, found in made)])
+    flat = pa.array(np.concatenate([np.empty(0), *(found for _, _, found in made)]))
+    columns = [pa.array([m[0] for m in made], pa.int64()), pa.array([m[1] for m in made], pa.int64())]
+    return pa.table([*columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)], ["chunk", "pack", "bound"])
 
 
 def score(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:

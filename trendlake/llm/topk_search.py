@@ -13,6 +13,8 @@ from trendlake.llm._stage import discard, stage
 
 #: Queries scored together.
 CHUNK = 512
+#: Chunks and packs whose bounds one task makes at a time: a few MB of each.
+TILE_CHUNKS, TILE_PACKS = 16, 256
 
 
 def quantised(vector: Column, scale: int = 256) -> Column:
@@ -34,6 +36,20 @@ def _scored(wanted: DataFrame, chunks: DataFrame, packs: DataFrame, k: int) -> D
     return data.mapInArrow(partial(_topk.score, k=k), _topk.HITS)
 
 
+def _bounds(chunks: DataFrame, extremes: DataFrame) -> DataFrame:
+    """Every chunk's bounds in every pack: the stated query set against all rows, tile by tile.
+
+    Chunks and packs are dealt into tiles by hash. A tile of both meets in one task through its number, so nothing is
+    broadcast, and each side is shuffled once for each tile of the other.
+    """
+    tiles = {"q": -(-chunks.count() // TILE_CHUNKS) or 1, "p": -(-extremes.count() // TILE_PACKS) or 1}
+    every = lambda side: F.explode(F.sequence(F.lit(0), F.lit(tiles[side] - 1)))
+    of = lambda name, side: F.pmod(F.xxhash64(name), F.lit(tiles[side])).cast("int")
+    left = chunks.withColumn("q", of("chunk", "q")).withColumn("p", every("p"))
+    right = extremes.withColumn("p", of("pack", "p")).withColumn("q", every("q"))
+    return left.groupBy("q", "p").cogroup(right.groupBy("q", "p")).applyInArrow(_topk.bounds, _topk.BOUNDS)
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 5, id: str = "vec_id", vector: str = "embedding", scale: int = 256) -> DataFrame:
     """The ``k`` best other rows of every query row: (query_id, rank, vec_id, score).
 
@@ -61,8 +77,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id: str = "vec_id",
     chunks, chunked = _packs(unlike.where(is_query), CHUNK, "queries")
     chunks = chunks.select(F.col("pack").alias("chunk"), "n", "dim", "ids", "copies", "flat")
     extremes = packs.select("pack", F.col("dim").alias("pack_dim"), F.col("high").alias("pack_high"), F.col("low").alias("pack_low"))
-    # The stated query set against all rows, a chunk of queries and a pack's extremes at a time.
-    limits, limited = stage(chunks.crossJoin(extremes).mapInArrow(_topk.bounds, _topk.BOUNDS), "bounds")
+    limits, limited = stage(_bounds(chunks.select("chunk", "n", "dim", "flat"), extremes), "bounds")
     each = limits.select("chunk", "pack", F.posexplode("bound").alias("place", "bound"))
     first = each.groupBy("chunk", "place").agg(F.max(F.struct("bound", "pack")).getField("pack").alias("pack"))
     lowest = F.lit(-(1 << 63)).cast("bigint")
