@@ -136,3 +136,20 @@ def test_usual_notices_are_found_under_their_own_licence():
         "It is licensed under the Mozilla Public License 1.1 as a whole, and so on and so on.": "MPL-1.1",
     }
     assert {text: (found_in(text) or [(0, None)])[0][1] for text in asked} == asked
+
+
+def test_versions_and_wordings_are_told_apart():
+    wanted = {
+        "Licensed under the Apache License 2.0": "Apache-2.0",
+        "Licensed under CC BY 3.0.": "CC-BY-3.0",
+        "Licensed under CC BY-SA 3.0.": "CC-BY-SA-3.0",
+        "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0",
+        "Licensed under CC BY-NC-ND 2.5": "CC-BY-NC-ND-2.5",
+        "licensed under CC BY-SA": "CC-BY-SA",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.": "CC-BY-SA-3.0",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+    }
+    for text, name in wanted.items():
+        for shown in (text, f"Prose before. {text} And some prose after that", f"x\n{text}\ny"):
+            assert found_in(shown)[0][1] == name, shown

@@ -42,6 +42,27 @@ _BSD = (
     "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
 )
 
+#: Creative Commons licences: the short name, and the long one in a notice; their versions before 4.0 with the word that follows.
+_CC = (
+    ("BY", "Attribution"),
+    ("BY-SA", "Attribution-ShareAlike"),
+    ("BY-NC", "Attribution-NonCommercial"),
+    ("BY-ND", "Attribution-NoDerivs"),
+    ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+    ("BY-NC-ND", "Attribution-NonCommercial-NoDerivs"),
+)
+_CC_VERSIONS = (("1.0", "Generic"), ("2.0", "Generic"), ("2.5", "Generic"), ("3.0", "Unported"))
+
+
+def _cc_notices(short: str, long: str) -> tuple[tuple[str, str], ...]:
+    """The usual wordings of a licence in each earlier version, and one that names no version."""
+    told = [(f"CC-{short}", f"Licensed under CC {short}.")]
+    for version, word in _CC_VERSIONS:
+        told.append((f"CC-{short}-{version}", f"Licensed under CC {short} {version}."))
+        told.append((f"CC-{short}-{version}", f"This work is licensed under a Creative Commons {long} {version} {word} License."))
+    return tuple(told)
+
+
 #: Identifiers of six words: of shorter and longer ones, what they share with others could match.
 _IDENTIFIERS = (
     *("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "EPL-2.0", "BSL-1.0", "CC0-1.0"),
@@ -93,6 +114,8 @@ TEMPLATES = (
     *((f"MPL-{v}", f"Licensed under the Mozilla Public License, version {v}.") for v in ("1.0", "1.1")),
     *((f"MPL-{v}", f"Licensed under the Mozilla Public License {v}.") for v in ("1.0", "1.1")),
     ("EPL-1.0", "Licensed under the Eclipse Public License 1.0."),
+    *((f"Apache-{v}", f"Licensed under the Apache License {v}.") for v in ("1.0", "1.1", "2.0")),
+    *(notice for short, long in _CC for notice in _cc_notices(short, long)),
     *((name, notice) for name, kind, version in _GNU for notice in _gnu_notices(kind, version)),
     *((name, f"SPDX-License-Identifier: {name}") for name in _IDENTIFIERS),
 )
@@ -173,7 +196,7 @@ class Scanner:
         """Matches of runs of words that begin and end anywhere, beside the units ``told``.
 
         From each word pair of a template the best run is held. Of runs that share words the best
-        one counts (then name and place decide). A run that meets a unit of its own license is already
+        one counts (then the longer one, then name and place decide). A run that meets a unit of its own license is already
         told and not counted again; such runs go first, so that no other license takes their words.
         """
         units: dict[str, bytearray] = {}
@@ -185,9 +208,9 @@ class Scanner:
             name = self.templates[k][0]
             for score, start, end in self.runs(pairs, k):
                 known = name in units and units[name].find(1, start, end) >= 0
-                runs.append((not known, -score, name, start, end))
+                runs.append((not known, -score, start - end, name, start, end))
         taken, found = bytearray(len(words)), []
-        for new, score, name, start, end in sorted(runs):
+        for new, score, _, name, start, end in sorted(runs):
             if taken.find(1, start, end) < 0:
                 taken[start:end] = b"\1" * (end - start)
                 if new:
