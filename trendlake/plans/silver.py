@@ -127,11 +127,13 @@ def bronze_to_silver_statistics(
         if rebalance:
             result = result.hint("rebalance", *SILVER_PARTITIONS)
         stamp = F.unix_micros(F.max("_processed_at")).alias("stamp")
-        checked = written.watch(result, nulls=("video_id", "title", "views"), more=[stamp])
+        regions = F.collect_set(F.coalesce("region", F.lit(""))).alias("regions")  # some ten; null and empty are one folder
+        checked = written.watch(result, nulls=("video_id", "title", "views"), more=[stamp, regions])
         write_partitions(checked, silver, SILVER_PARTITIONS, rebalance=False)
         counts = written.result()
-        if (stamp := counts.pop("stamp", None)) is not None:
-            remove_stale_days(spark, silver, stamp, run_id)
+        stamp, regions = counts.pop("stamp", None), counts.pop("regions", [])
+        if stamp is not None:
+            remove_stale_days(spark, silver, regions, stamp, run_id)
             if table is not None:
                 register_table(spark, table, silver)
         return StatisticsRun(
@@ -163,21 +165,21 @@ def check_layout(spark: SparkSession, path: str, partitions: Sequence[str]) -> N
         raise LayoutError(f"{path} is partitioned by {depth}, not by {list(partitions)}")
 
 
-def remove_stale_days(spark: SparkSession, silver: str, stamp: int, run_id: str) -> None:
-    """Drop the days that a run did not write, of the regions that it did; store all days of these regions as changed.
+def remove_stale_days(spark: SparkSession, silver: str, regions: Sequence[str], stamp: int, run_id: str) -> None:
+    """Drop the days that a run did not write, of the ``regions`` that it did; store all days of these regions as changed.
 
-    Rows of a run share their processing time, ``stamp`` in microseconds. One row a partition
-    reaches the driver, and only of partitions that are to be removed.
+    Rows of a run share their processing time, ``stamp`` in microseconds. Only the folders of these
+    regions are read, and only that column of them. One row a partition reaches the driver, of partitions that are to be removed.
     """
     stored = spark.read.schema(STORE_SCHEMA).parquet(silver)
+    ours = F.col("region").isin([name for name in regions if name])
+    stored = stored.filter(ours | F.col("region").isNull() if "" in regions else ours)
     folder = F.regexp_replace(stored.metadataColumn("_metadata").getField("file_path"), "/[^/]*$", "")
-    ours = (F.unix_micros("_processed_at") == stamp).alias("ours")
-    days = stored.select(*SILVER_PARTITIONS, folder.alias("folder"), ours).groupBy(*SILVER_PARTITIONS, "folder").agg(F.bool_or("ours").alias("ours"))
-    regions = days.groupBy(F.col("region").alias("_region")).agg(F.bool_or("ours").alias("_ours"))
-    both = days.join(regions, F.col("region").eqNullSafe(F.col("_region"))).filter("_ours")
-    touched = materialize(both.select(*SILVER_PARTITIONS, "folder", "ours"), "touched-days")
+    fresh = (F.unix_micros("_processed_at") == stamp).alias("fresh")
+    days = stored.select(*SILVER_PARTITIONS, folder.alias("folder"), fresh).groupBy(*SILVER_PARTITIONS, "folder").agg(F.bool_or("fresh").alias("fresh"))
+    touched = materialize(days, "touched-days")
     write_run_rows(touched.select(*SILVER_PARTITIONS), silver, "changes", run_id)
-    remove_folders(spark, [unquote(row["folder"]) for row in touched.filter("NOT ours").select("folder").collect()])
+    remove_folders(spark, [unquote(row["folder"]) for row in touched.filter("NOT fresh").select("folder").collect()])
 
 
 def bronze_to_silver_reference(
