@@ -95,6 +95,7 @@ def rules_sql(rules) -> str:
         "dup_lines_per_line": "n_dup_lines / nullif(n_lines, 0)",
         "repeated_per_word": "n_repeat_words / nullif(n_words, 0)",
     }
+    counts = {"symbols_per_word": "n_symbols", "dup_lines_per_line": "n_dup_lines", "repeated_per_word": "n_repeat_words"}
     zero = -(1 << 62)
     gamma, step, reach = rules.gamma, rules.log_gamma, f"{rules.reach!r}::DOUBLE"
     value = f"CASE WHEN bucket = {zero} THEN 0.0 ELSE pow({gamma!r}::DOUBLE, bucket::DOUBLE) * {2 / (1 + gamma)!r}::DOUBLE END"
@@ -103,16 +104,19 @@ def rules_sql(rules) -> str:
         keys = f"{group}, metric" if group else "metric"
         return f"""{table} AS (
   SELECT *, CASE WHEN metric = 'chars_per_word' THEN q1 - {reach} * (q3 - q1) END AS low,
-    CASE WHEN metric = 'chars_per_word' THEN q3 + {reach} * (q3 - q1) ELSE usual * sqrt(share) * {reach} END AS high
+    CASE WHEN metric = 'chars_per_word' THEN q3 + {reach} * (q3 - q1) WHEN metric LIKE '%per%' THEN usual * sqrt(share) * {reach} ELSE little * {rules.few!r}::DOUBLE END AS high
   FROM (SELECT {keys}, min({value}) FILTER (4 * upto >= docs) AS q1, min({value}) FILTER (4 * upto >= 3 * docs) AS q3,
-      min({value}) FILTER (bucket > {zero} AND 2 * (upto - zero) >= docs - zero) AS usual, (max(docs) - max(zero))::DOUBLE / max(docs)::DOUBLE AS share
+      min({value}) FILTER (bucket > {zero} AND 10 * (upto - zero) >= 5 * (docs - zero)) AS usual,
+      min({value}) FILTER (bucket > {zero} AND 10 * (upto - zero) >= docs - zero) AS little, (max(docs) - max(zero))::DOUBLE / max(docs)::DOUBLE AS share
     FROM (SELECT {keys}, bucket, sum(n) OVER (PARTITION BY {keys} ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {keys}) AS docs,
         coalesce(sum(n) FILTER (bucket = {zero}) OVER (PARTITION BY {keys}), 0) AS zero FROM {sketch})
     GROUP BY {keys}))"""
 
     seen = " UNION ALL ".join(f"SELECT lang, source, '{n}' AS metric, {n} AS rate FROM rated WHERE {n} IS NOT NULL" for n in rates)
+    seen += "".join(f" UNION ALL SELECT lang, source, '{c}', {c}::DOUBLE FROM rated WHERE n_words > 0" for c in counts.values())
     wide = f"(1 + {rules.short!r}::DOUBLE / n_words)"
-    inside = lambda n: f"{n} <= high * {wide}" if n != "chars_per_word" else f"{n} <= (low + high) / 2 + (high - low) / 2 * {wide} AND {n} >= (low + high) / 2 - (high - low) / 2 * {wide}"
+    few = lambda c: f"{c} <= (SELECT high FROM used f WHERE f.metric = '{c}' AND f.lang IS NOT DISTINCT FROM rated.lang AND f.source IS NOT DISTINCT FROM rated.source)"
+    inside = lambda n: f"{n} <= high * {wide} OR {few(counts[n])}" if n != "chars_per_word" else f"{n} <= (low + high) / 2 + (high - low) / 2 * {wide} AND {n} >= (low + high) / 2 - (high - low) / 2 * {wide}"
     checks = " AND ".join(
         f"coalesce((SELECT {inside(n)} FROM used WHERE metric = '{n}' AND used.lang IS NOT DISTINCT FROM rated.lang AND used.source IS NOT DISTINCT FROM rated.source), true)"
         for n in rates

@@ -18,6 +18,9 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 #: The rates held against fences: the first has a fence on both sides; the others are zero for most documents.
 METRICS = ("chars_per_word", "symbols_per_word", "dup_lines_per_line", "repeated_per_word")
+#: The counts behind these, whose usual least is known as well.
+COUNTED = {"symbols_per_word": "symbols", "dup_lines_per_line": "dup_lines", "repeated_per_word": "repeated"}
+SKETCHED = (*METRICS, *COUNTED.values())
 #: The bucket of zero.
 ZERO = -(1 << 62)
 
@@ -27,13 +30,15 @@ class Rules:
     """Parameters of the adaptive thresholds.
 
     ``accuracy`` is the relative error of a sketch's quantiles. ``reach`` is how many times its spread a
-    fence lies beyond the quartiles, or how many times its usual size a rate may be. Every group's sketch
+    fence lies beyond the quartiles, or how many times its usual size a rate may be; ``few`` is how many times the
+    least that documents with any have (their lowest tenth) is nothing to go by, whatever its rate. Every group's sketch
     is pooled with that of its parent (source with language, language with all documents), which counts as much as
     ``prior_docs`` documents. Short texts vary more: fences are widened by ``1 + short / n_words``.
     """
 
     accuracy: float = 0.01
     reach: float = 3.0
+    few: float = 2.0
     prior_docs: int = 50
     short: float = 20.0
 
@@ -47,13 +52,16 @@ class Rules:
 
 
 def metrics() -> dict[str, Column]:
-    """The rates that are held against thresholds; null where a text has no word."""
+    """The rates that are held against thresholds, and their counts; null where a text has no word."""
     words = F.when(F.col("_s.n_words") > 0, F.col("_s.n_words"))
     return {
         "chars_per_word": F.col("_s.word_chars") / words,
         "symbols_per_word": F.col("_s.n_symbols") / words,
         "dup_lines_per_line": F.col("_s.n_dup_lines") / F.when(F.col("_s.n_lines") > 0, F.col("_s.n_lines")),
         "repeated_per_word": F.col("_s.n_repeat_words") / words,
+        "symbols": F.when(words.isNotNull(), F.col("_s.n_symbols").cast("double")),
+        "dup_lines": F.when(words.isNotNull(), F.col("_s.n_dup_lines").cast("double")),
+        "repeated": F.when(words.isNotNull(), F.col("_s.n_repeat_words").cast("double")),
     }
 
 
@@ -70,7 +78,7 @@ def sketches(rates: DataFrame, gamma: float) -> DataFrame:
     most, and two sketches are merged by adding the counts of equal buckets: partial sums on the
     map side, then by language, then over all. The result does not depend on the order of rows.
     """
-    cells = F.array(*(F.struct(F.lit(n).alias("metric"), bucket(F.col(n), gamma).alias("bucket"), F.col(n).isNotNull().alias("seen")) for n in METRICS))
+    cells = F.array(*(F.struct(F.lit(n).alias("metric"), bucket(F.col(n), gamma).alias("bucket"), F.col(n).isNotNull().alias("seen")) for n in SKETCHED))
     long = rates.select("lang", "source", F.explode(cells).alias("c")).where("c.seen")
     return long.groupBy("lang", "source", "c.metric", "c.bucket").agg(F.count(F.lit(1)).alias("n"))
 
@@ -108,7 +116,8 @@ def fences(sketch: DataFrame, group: list[str], rules: Rules) -> DataFrame:
 
     Characters: the quartiles and ``reach`` times their distance. The other rates are zero for most: the median of those
     that are not, times the root of their share, times ``reach``. So a rate that few documents have at all is
-    narrowly fenced, whatever the few hold, and one that all have may reach a multiple of its median.
+    narrowly fenced, whatever the few hold, and one that all have may reach a multiple of its median. Their counts: ``few`` times the
+    lowest tenth of those that are not zero, what a single repeated passage gives, say.
 
     A sketch has some hundred buckets whatever the number of documents, so the window over a
     group's buckets is small.
@@ -119,11 +128,13 @@ def fences(sketch: DataFrame, group: list[str], rules: Rules) -> DataFrame:
     placed = placed.withColumn("zero", F.sum(F.when(F.col("bucket") == ZERO, F.col("n")).otherwise(0)).over(over))
     value = F.when(F.col("bucket") == ZERO, 0.0).otherwise(F.pow(F.lit(rules.gamma), F.col("bucket")) * (2 / (1 + rules.gamma)))
     at = lambda reached: F.min(F.when(reached, F.struct("bucket", value.alias("value")))).getField("value")
-    above = (F.col("bucket") > ZERO) & (2 * (F.col("upto") - F.col("zero")) >= F.col("docs") - F.col("zero"))
+    others = F.col("docs") - F.col("zero")
+    above = lambda tenths: (F.col("bucket") > ZERO) & (10 * (F.col("upto") - F.col("zero")) >= tenths * others)
     found = placed.groupBy(*group, "metric").agg(
         at(4 * F.col("upto") >= F.col("docs")).alias("q1"),
         at(4 * F.col("upto") >= 3 * F.col("docs")).alias("q3"),
-        at(above).alias("usual"),
+        at(above(5)).alias("usual"),
+        at(above(1)).alias("little"),
         ((F.max("docs") - F.max("zero")).cast("double") / F.max("docs").cast("double")).alias("share"),
     )
     spread = (F.col("q3") - F.col("q1")) * rules.reach
@@ -132,7 +143,10 @@ def fences(sketch: DataFrame, group: list[str], rules: Rules) -> DataFrame:
         *group,
         "metric",
         F.when(both, F.col("q1") - spread).alias("low"),
-        F.when(both, F.col("q3") + spread).otherwise(F.col("usual") * F.sqrt("share") * rules.reach).alias("high"),
+        F.when(both, F.col("q3") + spread)
+        .when(F.col("metric").isin(list(COUNTED)), F.col("usual") * F.sqrt("share") * rules.reach)
+        .otherwise(F.col("little") * rules.few)
+        .alias("high"),
     )
 
 
@@ -151,7 +165,7 @@ def thresholds(sketch: DataFrame, rules: Rules) -> DataFrame:
     both = F.col("metric") == METRICS[0]
     high = F.when(both, F.least("high", "lang_high")).otherwise(F.least("high", "lang_high", "all_high"))
     used = F.struct(F.greatest("low", "lang_low").alias("low"), high.alias("high"))
-    return joined.groupBy("lang", "source").agg(*(F.max(F.when(F.col("metric") == n, used)).alias(f"t_{n}") for n in METRICS))
+    return joined.groupBy("lang", "source").agg(*(F.max(F.when(F.col("metric") == n, used)).alias(f"t_{n}") for n in SKETCHED))
 
 
 def within(rules: Rules) -> Column:
@@ -164,7 +178,8 @@ def within(rules: Rules) -> Column:
             middle, half = (low + high) / 2, (high - low) / 2 * wide
             inside = (F.col(name) <= middle + half) & (F.col(name) >= middle - half)
         else:
-            inside = F.col(name) <= high * wide
+            count = COUNTED[name]
+            inside = (F.col(name) <= high * wide) | (F.col(count) <= F.col(f"t_{count}.high"))
         passed = passed & F.coalesce(inside, F.lit(True))
     return passed
 
