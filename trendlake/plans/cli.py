@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -91,6 +92,11 @@ def listed(rows: DataFrame, most: int = 100) -> dict:
     return {"count": rows.count(), "first": [json.loads(row) for row in shown]}
 
 
+def tell_run(run_id: str) -> None:
+    """Name the run, under which its errors, warnings and outcomes are stored, beside the summary."""
+    print(f"run {run_id}", file=sys.stderr)
+
+
 def run(spark: SparkSession, args: argparse.Namespace) -> dict:
     """Run the chosen job and return its summary."""
     if args.job == "statistics":
@@ -105,8 +111,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
             args.table,
             not args.no_rebalance,
         )
+        tell_run(done.run_id)
         return {
-            "run_id": done.run_id,
             "skipped": done.skipped,
             "read": done.rows_read,
             "written": done.rows_written,
@@ -116,8 +122,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
         done = bronze_to_silver_reference(
             spark, args.bronze, args.silver, args.regions, args.layout, args.table
         )
+        tell_run(done.run_id)
         return {
-            "run_id": done.run_id,
             "files_written": done.processed.count(),
             "errors": listed(done.errors),
             "warnings": listed(done.warnings),
@@ -157,8 +163,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> dict:
             args.report,
             args.failed,
         )
+        tell_run(done.statistics.run_id)
         return {
-            "run_id": done.statistics.run_id,
             "read": done.statistics.rows_read,
             "written": done.statistics.rows_written,
             **done.gold_rows,
