@@ -1,0 +1,47 @@
+"""The joined input and what gold stages: no more is moved than has to be."""
+
+from __future__ import annotations
+
+from datetime import date
+from pathlib import Path
+
+from conftest import as_tuples
+
+from trendlake.operators import rollups
+from trendlake.staging import cleared_staging
+from trendlake.workload import gold, inputs
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _tables(spark, folder: Path) -> str:
+    put = lambda name, schema, rows: spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    put("region", "r_regionkey int, r_name string", [(1, "ASIA")])
+    put("nation", "n_nationkey int, n_name string, n_regionkey int", [(3, "INDIA", 1), (4, "LOST", None)])
+    put("customer", "c_custkey bigint, c_nationkey int, c_mktsegment string", [(1, 3, "AUTO"), (1, 3, "AUTO"), (2, 4, "AUTO")])
+    put("supplier", "s_suppkey bigint, s_name string, s_nationkey int", [(5, "S", 3)])
+    put("part", "p_partkey bigint, p_name string", [(6, "P"), (7, "Q")])
+    put("orders", "o_orderkey bigint, o_custkey bigint, o_orderdate date", [(8, 1, date(1995, 5, 5)), (9, 2, None)])
+    line = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double"
+    put("lineitem", line, [(8, 6, 5, 1, 2.0, 100.0, 0.1), (8, 7, 5, 2, 2.0, 50.0, 0.1), (9, 6, 5, 1, 1.0, 1.0, 0.0)])
+    return str(folder)
+
+
+def test_lines_meet_each_large_table_once_and_customers_never(spark, tmp_path):
+    bronze = inputs.bronze_statistics(spark, _tables(spark, tmp_path))
+    assert as_tuples(bronze, "video_id", "region", "views") == [("v6", " ASIA ", 100)] * 2 + [("v7", " ASIA ", 50)] * 2
+    plan = _plan(bronze)
+    tree = plan.splitlines()
+    at = next(i for i, row in enumerate(tree) if "Join" in row and "o_custkey" in row)
+    depth = lambda row: len(row) - len(row.lstrip(" :+-!"))
+    below = [row for row in tree[at + 1 :]]
+    below = below[: next((i for i, row in enumerate(below) if depth(row) <= depth(tree[at])), len(below))]
+    assert below and not any("l_partkey" in row for row in below)
+
+
+def test_only_what_gold_reads_is_staged(spark, tmp_path):
+    with cleared_staging(spark):
+        silver, _ = gold.based(spark, _tables(spark, tmp_path), twice=True)
+        assert silver.columns == list(rollups.READ_COLUMNS)
