@@ -1,0 +1,86 @@
+"""CSV files at size: what a task holds, which lines reach Python, and that nothing is shuffled to order them."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import pyarrow as pa
+from conftest import as_tuples
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from test_csv_records import COLUMNS, cut_into, made, spark_rows
+
+from trendlake.sources import csv_records
+from trendlake.sources.csv_records import ends_open, read_csv_files
+from trendlake.staging import cleared_staging
+from trendlake.streaming.incremental import incremental_statistics
+from trendlake.workload.statistics import _OPEN_FILES, _write_csv
+
+
+def test_one_file_a_region_from_many_tasks_without_coalescing(spark, tmp_path):
+    rows = spark.range(0, 600, 1, 6).selectExpr("cast(id AS string) AS id", "concat('r', id % 3) AS region")
+    before, seen, repartitioned = spark.conf.get(_OPEN_FILES), [], type(rows).repartition
+    try:
+        type(rows).repartition = lambda df, *a: seen.append(a) or repartitioned(df, *a)
+        _write_csv(rows, str(tmp_path / "csv"), one_file=True)
+    finally:
+        type(rows).repartition = repartitioned
+    assert seen and spark.conf.get(_OPEN_FILES) == before
+    folders = sorted((tmp_path / "csv").glob("region=*"))
+    assert [len([*f.glob("*.csv")]) for f in folders] == [1, 1, 1]
+    assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 600
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.sampled_from(['"', ",", "a", '""', ',"', "é", "\r"]), max_size=12).map("".join))
+def test_line_ends_are_those_of_the_plain_scan(line):
+    fresh, opened = csv_records._line_ends(pa.array([line]))
+    assert (bool(fresh[0]), bool(opened[0])) == (ends_open(line, False), ends_open(line, True))
+
+
+def test_a_quoted_value_after_an_empty_first_field(spark, write):
+    folder = write("region=us/a.csv", 'id,title,n\n,"two\nlines",5\n2,b,6\n')
+    want = spark_rows(spark, folder)
+    with cut_into(spark, 20), cleared_staging(spark):
+        assert as_tuples(read_csv_files(spark, folder, COLUMNS).rows, *COLUMNS) == want and len(want) == 2
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_that_are_records_do_not_reach_python(spark, write):
+    write("region=ca/a.csv", made([("1", 'a ""b"", c', "")]) + '2,"",3\n4,"x, y",5\n\nid,title,n\n')
+    folder = write("region=us/b.csv", "n,title,id\r\n7,z,6\r\n")
+    want = spark_rows(spark, f"{folder}/region=ca")
+    with cut_into(spark, 25), cleared_staging(spark):
+        got = read_csv_files(spark, folder, COLUMNS)
+        assert "MapInArrow" not in _plan(got.rows)
+        rows = as_tuples(got.rows, *COLUMNS)
+        assert [r for r in rows if r != ("6", "z", "7")] == want and len(rows) == len(want) + 1
+
+
+def test_slices_inside_records_are_read_where_they_are(spark, write):
+    folder = write("region=us/a.csv", made([(str(i), "a\nb, c\n" * 5, "1") for i in range(40)]))
+    want = spark_rows(spark, folder)
+    with cut_into(spark, 70), cleared_staging(spark):
+        got = read_csv_files(spark, folder, COLUMNS)
+        assert "RepartitionByExpression" not in _plan(got.rows) and "MapInArrow" in _plan(got.rows)
+        assert as_tuples(got.rows, *COLUMNS) == want
+
+
+def test_the_first_drop_is_merged_with_an_empty_region(spark, tmp_path):
+    folder = tmp_path / "drops"
+    head = "video_id,trending_date,title,channel_title,category_id,publish_time,views,likes,comment_count\n"
+    for region, views in (("us", 1), ("%20", 2), ("__HIVE_DEFAULT_PARTITION__", 3)):
+        place = folder / f"region={region}"
+        place.mkdir(parents=True)
+        (place / "a.csv").write_text(head + f"v,2024-01-01,t,c,1,p,{views},0,0\nv,2024-01-01,t,c,1,p,{views},0,0\n")
+    (folder / "region=us" / "empty.csv").write_text("")
+    store = str(tmp_path / "store")
+    incremental_statistics(spark, str(folder), store, str(tmp_path / "progress"), source="csv")
+    once = as_tuples(spark.read.parquet(store), "region", "video_id", "views")
+    assert len(once) == len({r[0] for r in once}) and {r[1] for r in once} == {"v"}
+    incremental_statistics(spark, str(folder), store, str(tmp_path / "progress"), source="csv")
+    assert as_tuples(spark.read.parquet(store), "region", "video_id", "views") == once
+    assert not [*Path(tmp_path / "progress" / "merged").glob("*")]
