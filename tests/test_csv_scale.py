@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import random
 from pathlib import Path
 
 import pyarrow as pa
 from conftest import as_tuples
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from test_csv_records import COLUMNS, cut_into, made, spark_rows
 
+from trendlake.plans import silver
 from trendlake.sources import csv_records
 from trendlake.sources.csv_records import ends_open, read_csv_files
+from trendlake.sources.files import _STRINGS, parse_documents
 from trendlake.staging import cleared_staging
 from trendlake.streaming.incremental import incremental_statistics
 from trendlake.workload.statistics import _OPEN_FILES, _write_csv
@@ -84,3 +89,64 @@ def test_the_first_drop_is_merged_with_an_empty_region(spark, tmp_path):
     incremental_statistics(spark, str(folder), store, str(tmp_path / "progress"), source="csv")
     assert as_tuples(spark.read.parquet(store), "region", "video_id", "views") == once
     assert not [*Path(tmp_path / "progress" / "merged").glob("*")]
+
+
+def test_fields_of_plain_records_are_what_the_parser_gives(spark):
+    rng = random.Random(8)
+    signs = [",", ",", " ", "a", "b1", "é", "\t", "'", "\\", "#", "﻿", "\x0b", "\x1c", "\x85", " ", "😀", "NULL", '"', "\r", "\n", "\0"]
+    texts = ["".join(rng.choices(signs[: 17 if i % 3 else None], k=rng.randint(1, 12))) for i in range(4000)] + ["," * 20_478, " ", "\\,"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").where(csv_records._is_plain(F.col("text")))
+    names = [f"_c{i}" for i in range(6)]
+    parsed = F.from_csv("text", ", ".join(f"{n} string" for n in names), csv_records._PARSER)
+    split = F.split("text", ",")
+    mine = F.array(*(F.nullif(F.get(split, F.lit(i)), F.lit("")) for i in range(6)))
+    both = df.select("text", parsed.alias("row"), mine.alias("mine")).select("text", F.array(*(f"row.{n}" for n in names)).alias("theirs"), "mine")
+    assert df.count() > 2500 and both.where(~F.col("mine").eqNullSafe(F.col("theirs"))).collect() == []
+
+
+def test_plain_records_pass_by_the_parser(spark, write):
+    folder = write("region=us/a.csv", 'id,title,n\n1,a,\n2,"b, c",5\n3,,6,7\n4\n,"",\n')
+    with cleared_staging(spark):
+        got = read_csv_files(spark, folder, COLUMNS)
+        assert "split(" in _plan(got.rows)
+        assert as_tuples(got.rows, "id", "title", "n") == as_tuples(spark.createDataFrame([("1", "a", None), ("2", "b, c", "5"), ("3", None, "6"), ("4", None, None), (None, None, None)], "id string, title string, n string"), "id", "title", "n")
+
+
+def test_first_lines_meet_python_in_few_tasks(spark, write, monkeypatch):
+    for i in range(6):
+        folder = write(f"region=r{i}/a.csv", "id,title,n\n1,a,2\n")
+    seen, real = [], csv_records.materialize
+    monkeypatch.setattr(csv_records, "materialize", lambda df, label: seen.append(_plan(df)) or real(df, label))
+    with cut_into(spark, 10), cleared_staging(spark):
+        assert len(as_tuples(read_csv_files(spark, folder, COLUMNS).rows, "id")) == 6
+    assert "RepartitionByExpression" in seen[0]
+
+
+def test_days_are_found_by_file_before_folder(spark, tmp_path, monkeypatch):
+    seen, real = [], silver.materialize
+    monkeypatch.setattr(silver, "materialize", lambda df, label: seen.append((label, _plan(df))) or real(df, label))
+    head = "video_id,trending_date,title,channel_title,category_id,publish_time,views,likes,comment_count\n"
+    place = tmp_path / "csv" / "region=us"
+    place.mkdir(parents=True)
+    store = str(tmp_path / "store")
+    for days in ("123", "24"):
+        (place / "a.csv").write_text(head + "".join(f"v,2024-01-0{d},t,c,1,p,5,0,0\n" for d in days))
+        silver.bronze_to_silver_statistics(spark, str(tmp_path / "csv"), store)
+    assert sorted(f.name[-1] for f in Path(store, "region=us").iterdir()) == ["2", "4"]
+    plans = [plan.splitlines() for label, plan in seen if label == "touched-days"]
+    grouped = [[line for line in plan if "Aggregate" in line] for plan in plans]
+    assert len(grouped) == 2 and all(len(g) == 2 for g in grouped)
+    assert all("regexp_replace" not in line for plan in plans for line in plan if "Project" in line)  # no row's, before the first of them
+
+
+def test_documents_that_go_on_are_found_as_without_the_first_look(spark):
+    rng = random.Random(5)
+    pieces = ["{", "}", "}", '"', "\\", "x", " ", "\n", ",", '{"items": []}', '"}{"', '{"a": "}"}', '"s"', "\t"]
+    texts = ["".join(rng.choices(pieces, k=rng.randint(1, 9))) for _ in range(3000)] + ['{}"a"{}', '{}"a" "b"\n{}', '{"a": "}{"}', "{} {}", '{"items": []} x', '{"items": []}']
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    got = parse_documents(df, T.StructType([T.StructField("items", T.ArrayType(T.StringType()))]))
+    text = F.btrim(F.col("value"), F.lit(" \t\r\n"))
+    goes_on = ~text.endswith("}") | F.regexp_replace(text, _STRINGS, "").rlike(r"\}\s*\{")
+    wrong = got.where(goes_on & F.col("_corrupt_record").isNull())
+    assert wrong.collect() == [] and got.where(goes_on).count() > 100 and got.where("_corrupt_record IS NULL").count() > 10
+    assert _plan(got).count("RLIKE") + _plan(got).count("rlike") >= 2

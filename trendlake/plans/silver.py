@@ -174,9 +174,12 @@ def remove_stale_days(spark: SparkSession, silver: str, regions: Sequence[str],
     stored = spark.read.schema(STORE_SCHEMA).parquet(silver)
     ours = F.col("region").isin([name for name in regions if name])
     stored = stored.filter(ours | F.col("region").isNull() if "" in regions else ours)
-    folder = F.regexp_replace(stored.metadataColumn("_metadata").getField("file_path"), "/[^/]*$", "")
+    file = stored.metadataColumn("_metadata").getField("file_path").alias("file")
     fresh = (F.unix_micros("_processed_at") == stamp).alias("fresh")
-    days = stored.select(*SILVER_PARTITIONS, folder.alias("folder"), fresh).groupBy(*SILVER_PARTITIONS, "folder").agg(F.bool_or("fresh").alias("fresh"))
+    # By file first: the folder is taken out of its name once a file, not once a row.
+    files = stored.select(*SILVER_PARTITIONS, file, fresh).groupBy(*SILVER_PARTITIONS, "file").agg(F.bool_or("fresh").alias("fresh"))
+    folder = F.regexp_replace("file", "/[^/]*$", "").alias("folder")
+    days = files.groupBy(*SILVER_PARTITIONS, folder).agg(F.bool_or("fresh").alias("fresh"))
     touched = materialize(days, "touched-days")
     write_run_rows(touched.select(*SILVER_PARTITIONS), silver, "changes", run_id)
     remove_folders(spark, [unquote(row["folder"]) for row in touched.filter("NOT fresh").select("folder").collect()])
