@@ -148,3 +148,14 @@ def test_flatten_struct_keeps_arrays(spark):
     assert flat.columns == ["a", "s.b", "s.c.d"]
     assert tuple(flat.first()) == (1, 2, [3])
     assert missing_columns(flat, ["a", "z", "y"]) == ["y", "z"]
+
+
+def test_four_decimals_are_those_of_round(spark):
+    ties = [sign * (k + 0.5) / 10_000 for k in (*range(300), 10**6, 10**8, 10**10) for sign in (1, -1)]
+    odd = [0.0, -0.0, -0.00001, 1e-300, 99999.99995, 123456.78905, 1e5, 1e9 + 0.00005, 1e17, -1e17, 1e300, float("inf"), float("nan"), None]
+    rng = random.Random(6)
+    any_ = [rng.uniform(-1, 1) * 10 ** rng.randint(-6, 9) for _ in range(3000)] + [100 * rng.randint(0, 999) / rng.randint(1, 9999) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in ties + odd + any_], "v double")
+    got, want = cleaning.four_decimals(F.col("v")), F.round("v", 4)
+    assert df.where(~got.cast("string").eqNullSafe(want.cast("string"))).collect() == []
+    assert "floor" in df.select(cleaning.percent_of_views(F.col("v"), F.lit(3)))._jdf.queryExecution().optimizedPlan().toString().lower()
