@@ -150,3 +150,35 @@ def test_documents_that_go_on_are_found_as_without_the_first_look(spark):
     wrong = got.where(goes_on & F.col("_corrupt_record").isNull())
     assert wrong.collect() == [] and got.where(goes_on).count() > 100 and got.where("_corrupt_record IS NULL").count() > 10
     assert _plan(got).count("RLIKE") + _plan(got).count("rlike") >= 2
+
+
+def _batches(lines, is_open, width):
+    for at in range(0, len(lines), width):
+        part = lines[at : at + width]
+        yield pa.RecordBatch.from_pydict({"file": ["f"] * len(part), "slice": [7] * len(part), "value": part, "is_open": [is_open] * len(part)})
+
+
+def test_torn_records_kept_with_a_slice_are_those_read_again(monkeypatch):
+    rng, kept = random.Random(3), 0
+    for i in range(400):
+        monkeypatch.setattr(csv_records, "_KEPT", 12 if i % 4 == 0 else 1 << 20)
+        lines = ["".join(rng.choices(['"', ",", "a", '""', ',"', "é"], k=rng.randint(0, 5))) for _ in range(rng.randint(1, 9))]
+        (row,) = [r for b in csv_records.slice_ends(_batches(lines, False, 2)) for r in b.to_pylist()]
+        for is_open, name in ((False, "torn_if_fresh"), (True, "torn_if_open")):
+            want = [{k: r[k] for k in ("kind", "first", "text")} for b in csv_records.torn_records(_batches(lines, is_open, 3)) for r in b.to_pylist()]
+            assert row[name] == want if row[name] is not None else any(len(p["text"].encode()) >= 12 for p in want)
+            kept += bool(row[name])
+    assert kept > 100
+
+
+def test_torn_records_are_not_read_again_but_long_ones(spark, write, monkeypatch):
+    folder = write("region=us/a.csv", made([(str(i), "a\nb, c\n" * 5, "1") for i in range(40)]))
+    want, again, real = spark_rows(spark, folder), [], csv_records.materialize
+    monkeypatch.setattr(csv_records, "materialize", lambda df, label: again.append(label) or real(df, label))
+    with cut_into(spark, 70), cleared_staging(spark):
+        assert as_tuples(read_csv_files(spark, folder, COLUMNS).rows, *COLUMNS) == want
+    assert "csv-pieces" not in again
+    write("region=us/a.csv", made([("1", "a\n", "2"), ("3", "long, long\n" * 400_000, "4"), ("5", "b\n", "6")]))
+    with cut_into(spark, csv_records._KEPT + 100_000), cleared_staging(spark):
+        rows = read_csv_files(spark, folder, COLUMNS).rows.select("id", F.length("title"), "n").collect()
+    assert sorted(map(tuple, rows)) == [("1", 2, "2"), ("3", 4_400_000, "4"), ("5", 2, "6")] and "csv-pieces" in again
