@@ -17,7 +17,9 @@ from trendlake.plans import silver
 from trendlake.sources import csv_records
 from trendlake.sources.csv_records import ends_open, read_csv_files
 from trendlake.sources.files import _STRINGS, parse_documents
-from trendlake.staging import cleared_staging
+from trendlake.sinks.tables import write_partitions
+from trendlake.staging import _CLEANUP, brief_shuffles, cleared_staging
+from trendlake.streaming import incremental
 from trendlake.streaming.incremental import incremental_statistics
 from trendlake.workload.statistics import _OPEN_FILES, _write_csv
 
@@ -182,3 +184,31 @@ def test_torn_records_are_not_read_again_but_long_ones(spark, write, monkeypatch
     with cut_into(spark, csv_records._KEPT + 100_000), cleared_staging(spark):
         rows = read_csv_files(spark, folder, COLUMNS).rows.select("id", F.length("title"), "n").collect()
     assert sorted(map(tuple, rows)) == [("1", 2, "2"), ("3", 4_400_000, "4"), ("5", 2, "6")] and "csv-pieces" in again
+
+
+def test_new_records_are_parsed_once(spark, tmp_path, monkeypatch):
+    (tmp_path / "drops" / "region=us").mkdir(parents=True)
+    head = "video_id,trending_date,title,channel_title,category_id,publish_time,views,likes,comment_count\n"
+    (tmp_path / "drops" / "region=us" / "a.csv").write_text(head + 'v,2024-01-01,"t, u",c,1,p,1,0,0\n,2024-01-01,t,c,1,p,1,0,0\n')
+    plans = []
+    real = incremental.silver_statistics
+    monkeypatch.setattr(incremental, "silver_statistics", lambda *a, **k: plans.append(_plan(real(*a, **k))) or real(*a, **k))
+    incremental_statistics(spark, str(tmp_path / "drops"), str(tmp_path / "store"), str(tmp_path / "progress"), source="csv")
+    assert [(plan.count("split("), plan.count("from_csv(")) for plan in plans] == [(1, 1)]
+    assert [r.title for r in spark.read.parquet(str(tmp_path / "store")).collect()] == ["t, u"]
+
+
+def test_shuffle_files_of_a_write_go_when_it_ends(spark, tmp_path):
+    with brief_shuffles(spark):
+        assert spark.conf.get(_CLEANUP) == "true"
+    assert spark.conf.get(_CLEANUP, None) is None
+    rows = spark.range(100).withColumn("region", F.col("id") % 2).repartition(3, "id")
+    before = set(_shuffle_files(spark))
+    write_partitions(rows, str(tmp_path / "t"))
+    assert set(_shuffle_files(spark)) - before == set()
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 100
+
+
+def _shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return [f for d in folders for f in Path(d).rglob("shuffle_*.data")]

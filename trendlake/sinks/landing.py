@@ -9,7 +9,7 @@ from trendlake.functions import clock
 from trendlake.functions.cleaning import landing_region
 from trendlake.sinks.tables import partition_folder
 from trendlake.sources.files import LINES_FOLDER
-from trendlake.staging import existing, materialize
+from trendlake.staging import brief_shuffles, existing, materialize
 
 
 def landing_metadata(
@@ -53,7 +53,8 @@ def land_raw_json(documents: DataFrame, root: str, landed_at: Column) -> None:
     The rebalancing brings the responses of a folder together before they are written.
     """
     landed = landing_metadata(documents, landed_at).hint("rebalance", "region", "date", "hour")
-    _as_lines(landed).write.mode("append").partitionBy("region", "date", "hour", "layout").json(root)
+    with brief_shuffles(documents.sparkSession):
+        _as_lines(landed).write.mode("append").partitionBy("region", "date", "hour", "layout").json(root)
 
 
 #: What is landed where a response had its content before: the digest of region, time and payload.
