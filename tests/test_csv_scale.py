@@ -212,3 +212,13 @@ def test_shuffle_files_of_a_write_go_when_it_ends(spark, tmp_path):
 def _shuffle_files(spark):
     folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
     return [f for d in folders for f in Path(d).rglob("shuffle_*.data")]
+
+
+def test_rows_are_staged_between_their_two_shuffles(spark, write, tmp_path, monkeypatch):
+    head = "video_id,trending_date,title,channel_title,category_id,publish_time,views,likes,comment_count\n"
+    folder = write("region=us/a.csv", head + "v,2024-01-01,t,c,1,p,4,1,0\nv,2024-01-01,t,c,1,p,2,1,0\n")
+    seen, real = {}, silver.materialize
+    monkeypatch.setattr(silver, "materialize", lambda df, label: seen.update({label: _plan(df)}) or real(df, label))
+    silver.bronze_to_silver_statistics(spark, folder, str(tmp_path / "store"))
+    assert "row_number" in seen["unique"] and "Rebalance" not in seen["unique"] and "like_ratio" not in seen["unique"]
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "store")).select("views", "like_ratio").collect()] == [(4, 25.0)]

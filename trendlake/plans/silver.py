@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trendlake import schemas
-from trendlake.operators.clean import silver_statistics
+from trendlake.operators.clean import dedup_statistics, finished_silver, standardize
 from trendlake.operators.normalize import unify_formats
 from trendlake.operators.reference import missing_fields, newest_landing_per_region, silver_reference
 from trendlake.schemas import SILVER_PARTITIONS
@@ -123,9 +123,11 @@ def bronze_to_silver_statistics(
         if raw is None or raw.isEmpty():
             return StatisticsRun(errors, run_id, skipped=True)
         read, written = RowMetrics.new("read"), RowMetrics.new("written")
-        result = silver_statistics(read.watch(raw), job_name, keep_landed_at=True).select(*STORE_SCHEMA.names)
+        unique = read.watch(raw).transform(standardize).transform(dedup_statistics)
         if rebalance:
-            result = result.hint("rebalance", *SILVER_PARTITIONS)
+            # Staged, so that the disk holds one shuffle of the rows at a time; ratios and stamps follow the second.
+            unique = materialize(unique, "unique").hint("rebalance", *SILVER_PARTITIONS)
+        result = finished_silver(unique, job_name, keep_landed_at=True).select(*STORE_SCHEMA.names)
         stamp = F.unix_micros(F.max("_processed_at")).alias("stamp")
         regions = F.collect_set(F.coalesce("region", F.lit(""))).alias("regions")  # some ten; null and empty are one folder
         checked = written.watch(result, nulls=("video_id", "title", "views"), more=[stamp, regions])
