@@ -120,3 +120,15 @@ def test_jobs_tell_their_changes(spark, write, tmp_path):
     silver_to_gold(spark.read.schema(STORE_SCHEMA).parquet(silver), None, anew)
     assert gold_rows(spark, gold) == gold_rows(spark, anew)
     assert spark.read.schema(schemas.TRENDING_ANALYTICS).parquet(f"{gold}/trending_analytics").select(F.sum("total_videos")).first()[0] == 1
+
+
+def test_new_tables_are_written_where_they_are_read(spark, tmp_path, monkeypatch):
+    silver, state, gold, anew = (f"{tmp_path}/{n}" for n in ("silver", "state", "gold", "anew"))
+    write_partitions(statistics(spark, random.Random(2), [(r, d) for r in "ab" for d in DAYS]), silver, SILVER_PARTITIONS)
+    stored = spark.read.schema(schemas.SILVER_STATISTICS).parquet(silver)
+    labels, real = [], gold_changes.materialize
+    monkeypatch.setattr(gold_changes, "materialize", lambda df, label: labels.append(label) or real(df, label))
+    assert "LocalRelation <empty>" in gold_changes.state_table(spark, state, "days")._jdf.queryExecution().optimizedPlan().toString()
+    update_gold(stored, names(spark, (1, "one")), stored, state, gold)
+    assert not {"new-days", "new-videos", "videos", "categories"} & set(labels)
+    check(spark, silver, names(spark, (1, "one")), state, gold, anew)
