@@ -138,11 +138,12 @@ def bronze_to_silver_statistics(
             remove_stale_days(spark, silver, regions, stamp, run_id)
             if table is not None:
                 register_table(spark, table, silver)
+        rows = counts.pop("rows", 0)
         return StatisticsRun(
             errors,
             run_id,
-            rows_read=read.result().get("rows"),
-            rows_written=counts.pop("rows", 0),
+            rows_read=read.result().get("rows") if rows else None,
+            rows_written=rows,
             null_counts={name.removeprefix("null_"): count for name, count in counts.items()},
         )
 
